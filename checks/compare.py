@@ -5,7 +5,7 @@ import time
 from collections import Counter
 
 import duckdb
-import pandas as pd
+import pyarrow as pa
 
 from checks.oracle import oracle_sql
 from checks.queries import queries
@@ -13,18 +13,21 @@ from checks.queries import queries
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
-def rows(frame: pd.DataFrame) -> Counter:
-    """Multiset of rows with columns by name; NULL and NaN are the same."""
-    columns = sorted(frame.columns)
-    values = frame[columns].astype(object).where(frame[columns].notna(), None)
-    return Counter(values.itertuples(index=False, name=None))
+def rows(table: pa.Table) -> Counter:
+    """Multiset of rows with columns by name."""
+    columns = [table.column(name).to_pylist() for name in sorted(table.column_names)]
+    return Counter(zip(*columns))
 
 
-def run_sql(sf_dir: str, sql: str) -> pd.DataFrame:
+def types(table: pa.Table) -> set:
+    return {(field.name, str(field.type)) for field in table.schema}
+
+
+def run_sql(sf_dir: str, sql: str) -> pa.Table:
     connection = duckdb.connect()
     for name in TABLES:
         connection.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
-    return connection.execute(sql).df()
+    return connection.sql(sql).to_arrow_table()
 
 
 def main() -> int:
@@ -48,7 +51,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            ours = query(spark, sf_dir).toPandas()
+            ours = query(spark, sf_dir).toArrow()
         except Exception as error:
             failed += 1
             print(f"ERROR {name} {str(error)[:600]}")
@@ -56,11 +59,11 @@ def main() -> int:
         seconds = time.time() - start
         theirs = run_sql(sf_dir, sql[name])
         left, right = rows(ours), rows(theirs)
-        same = sorted(ours.columns) == sorted(theirs.columns) and left == right
+        same = types(ours) == types(theirs) and left == right
         failed += not same
-        print(f"{'ok   ' if same else 'DIFF '} {name} rows={len(ours)}/{len(theirs)} {seconds:.2f}s")
+        print(f"{'ok   ' if same else 'DIFF '} {name} rows={ours.num_rows}/{theirs.num_rows} {seconds:.2f}s")
         if not same:
-            print("   columns", sorted(ours.columns), sorted(theirs.columns))
+            print("   columns", types(ours) ^ types(theirs))
             print("   only spark", list((left - right).items())[:3], "\n   only sql", list((right - left).items())[:3])
     return failed
 

@@ -82,10 +82,11 @@ def _data(spark: SparkSession, sf: str) -> DataFrame:
         "dia_31": F.concat(F.substring(iso, 1, 8), F.lit("31")),
         "prioridade": F.col("o_orderpriority"),
     }
+    julian = {name: parse.millis_to_julian(parse.to_millis(value)) for name, value in dirty.items()}
     moments = {
-        "dias_fuso": parse.julian_day(dirty["fuso"]) - parse.julian_day(dirty["iso"]),
-        "dias_relogio": parse.julian_day(dirty["relogio"]) - parse.julian_day(dirty["zulu"]),
-        "dias_barra": parse.julian_day(dirty["barra"]) - parse.julian_day(dirty["iso"]),
+        "dias_fuso": julian["fuso"] - julian["iso"],
+        "dias_relogio": julian["relogio"] - julian["zulu"],
+        "dias_barra": julian["barra"] - julian["iso"],
     }
     return t.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("chave"),

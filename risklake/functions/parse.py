@@ -8,12 +8,12 @@ here depends on the session time zone, and none raises under ANSI mode.
 from pyspark.sql import Column, functions as F
 
 _BLANK = r"[ \t\n\x0B\f\r]*"
-INTEGER_PREFIX = rf"^{_BLANK}([+-]?[0-9]{{1,38}})"
+INTEGER_PREFIX = rf"^{_BLANK}([+-]?[0-9]+)"
 REAL_PREFIX = rf"^{_BLANK}([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MOMENT = (
-    r"^[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])[ \t\n\x0B\f\rT]*"
-    r"(?:([01][0-9]|2[0-4]):([0-5][0-9])(?::([0-5][0-9](?:\.[0-9]+)?))?"
-    rf"{_BLANK}(?:[zZ]|([+-])(0[0-9]|1[0-4]):([0-5][0-9]))?)?{_BLANK}$"
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[ \t\n\x0B\f\rT]*"
+    rf"(?:([0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:\.[0-9]+)?)?){_BLANK}([zZ]|[+-][0-9]{{2}}:[0-9]{{2}})?)?{_BLANK}$"
 )
 
 # 64-bit integer range, milliseconds in a day, Julian date of 1970-01-01 in milliseconds.
@@ -24,15 +24,14 @@ JULIAN_EPOCH_MILLIS = 210866760000000
 
 
 def to_integer(text: Column) -> Column:
-    """Leading integer of ``text`` as a long; 0 where there is none, clamped to the long range."""
-    digits = F.regexp_extract(text, INTEGER_PREFIX, 1).try_cast("decimal(38,0)")
-    # greatest and least skip NULL, so the default has to be in place before the clamp
-    number = F.coalesce(digits, F.lit(0).cast("decimal(38,0)"))
-    clamped = F.greatest(
-        F.least(number, F.lit(LONG_MAX).cast("decimal(38,0)")),
-        F.lit(str(LONG_MIN)).cast("decimal(38,0)"),
+    """Leading integer of ``text`` as a long; 0 where there is none, held within the long range."""
+    digits = F.regexp_extract(text, INTEGER_PREFIX, 1)
+    no_long = (
+        F.when(digits == "", F.lit(0).cast("long"))
+        .when(digits.startswith("-"), F.lit(str(LONG_MIN)).cast("long"))
+        .otherwise(F.lit(LONG_MAX))
     )
-    return F.when(text.isNotNull(), clamped.cast("long"))
+    return F.when(text.isNotNull(), F.coalesce(digits.try_cast("long"), no_long))
 
 
 def to_real(text: Column) -> Column:
@@ -41,29 +40,30 @@ def to_real(text: Column) -> Column:
     return F.when(text.isNotNull(), F.coalesce(number, F.lit(0.0)))
 
 
-def _day(text: Column) -> Column:
-    return F.when(text.rlike(MOMENT), F.substring(text, 1, 10).try_cast("date"))
+def to_millis(text: Column) -> Column:
+    """Milliseconds from 1970-01-01 UTC to the moment in ``text``; NULL unless it is a strict ISO day or moment."""
+    midnight = F.unix_date(F.substring(text, 1, 10).try_cast("date")).cast("long") * DAY_MILLIS
+    # seconds and zone are always written out: the cast wants seconds before a zone, and would otherwise fall back to
+    # the zone of the session
+    timed = F.regexp_replace(F.regexp_replace(text, MOMENT, "$1T$2$3"), "^(.{16})(?!:)", "$1:00")
+    zoned = F.regexp_replace(timed, "(T[0-9:.]+)[zZ]?$", "$1Z")
+    return (
+        F.when(text.rlike(DAY), midnight)
+        .when(F.regexp_extract(text, MOMENT, 2) != "", F.unix_millis(zoned.try_cast("timestamp")))
+        .when(text.rlike(MOMENT), midnight)
+    )
 
 
-def _clock_millis(text: Column) -> Column:
-    """Milliseconds from midnight of the written day to the moment in UTC; 0 without a clock."""
+def millis_to_date(millis: Column) -> Column:
+    """UTC calendar day."""
+    return F.date_from_unix_date(F.floor(millis / F.lit(float(DAY_MILLIS))).cast("int"))
 
-    def part(group: int, kind: str) -> Column:
-        return F.coalesce(F.regexp_extract(text, MOMENT, group).try_cast(kind), F.lit(0).cast(kind))
 
-    clock = (part(1, "long") * 3600 + part(2, "long") * 60) * 1000 + F.round(part(3, "double") * 1000).cast("long")
-    ahead = (part(5, "long") * 60 + part(6, "long")) * 60000
-    shift = F.when(F.regexp_extract(text, MOMENT, 4) == "-", ahead).otherwise(-ahead)
-    return F.when(F.length(text) > 10, clock + shift).otherwise(F.lit(0).cast("long"))
+def millis_to_julian(millis: Column) -> Column:
+    """Fractional Julian day number."""
+    return (millis + JULIAN_EPOCH_MILLIS) / F.lit(float(DAY_MILLIS))
 
 
 def to_date(text: Column) -> Column:
     """UTC calendar day of ``text``; NULL unless it is a strict ISO day or moment."""
-    days = F.floor(_clock_millis(text) / F.lit(float(DAY_MILLIS))).cast("int")
-    return F.when(F.length(text) == 10, _day(text)).otherwise(F.date_add(_day(text), days))
-
-
-def julian_day(text: Column) -> Column:
-    """Fractional Julian day number of ``text`` (UTC); NULL where ``to_date`` is NULL."""
-    midnight = F.unix_date(_day(text)).cast("long") * DAY_MILLIS
-    return (midnight + _clock_millis(text) + JULIAN_EPOCH_MILLIS).cast("double") / F.lit(float(DAY_MILLIS))
+    return millis_to_date(to_millis(text))

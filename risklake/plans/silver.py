@@ -9,7 +9,7 @@ projection: no shuffle.
 from pyspark.sql import DataFrame, functions as F
 
 from risklake.functions.bands import LOAN_STATUSES, income_band, score_band, severity
-from risklake.functions.parse import julian_day, to_date, to_integer, to_real
+from risklake.functions.parse import millis_to_date, millis_to_julian, to_date, to_integer, to_millis, to_real
 from risklake.functions.text import code, document_number
 
 
@@ -49,17 +49,21 @@ def emprestimos(bronze: DataFrame) -> DataFrame:
 
 
 def pagamentos(bronze: DataFrame) -> DataFrame:
-    paid, due = F.col("data_pagamento"), F.col("data_vencimento")
-    parsed = bronze.dropna(subset=["pagamento_id"]).select(
-        "pagamento_id",
-        "emprestimo_id",
-        "parcela_num",
-        to_date(due).alias("data_vencimento"),
-        to_date(paid).alias("data_pagamento"),
-        to_real(F.col("valor_devido")).alias("valor_devido"),
-        to_real(F.col("valor_pago")).alias("valor_pago"),
-        code(F.col("status")).alias("status"),
-        F.when(paid.isNotNull(), julian_day(paid) - julian_day(due)).alias("dias_atraso"),
+    paid, due = F.col("_pago"), F.col("_vence")
+    parsed = (
+        bronze.dropna(subset=["pagamento_id"])
+        .withColumns({"_pago": to_millis(F.col("data_pagamento")), "_vence": to_millis(F.col("data_vencimento"))})
+        .select(
+            "pagamento_id",
+            "emprestimo_id",
+            "parcela_num",
+            millis_to_date(due).alias("data_vencimento"),
+            millis_to_date(paid).alias("data_pagamento"),
+            to_real(F.col("valor_devido")).alias("valor_devido"),
+            to_real(F.col("valor_pago")).alias("valor_pago"),
+            code(F.col("status")).alias("status"),
+            (millis_to_julian(paid) - millis_to_julian(due)).alias("dias_atraso"),
+        )
     )
     return parsed.withColumn("diferenca_valor", F.col("valor_pago") - F.col("valor_devido"))
 
