@@ -1,6 +1,8 @@
 """RANK() over a whole dataset without one task that sees all of it."""
 
-from pyspark.ml.feature import QuantileDiscretizer
+from math import inf, isfinite
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 NULL_BUCKET = -1.0
@@ -17,14 +19,14 @@ def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None
     ``df`` is read several times, so pass a stored table (see ``stage``). The cut points are computed at once, the
     rest is lazy.
     """
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_x", F.col(value).cast("double"))
-    cut = QuantileDiscretizer(
-        numBuckets=max(buckets, 2), relativeError=0.1 / max(buckets, 2), handleInvalid="keep",
-        inputCol="_x", outputCol="_bucket",
-    ).fit(counts.where(F.col("_x").isNotNull()).select("_x"))
-    ranges = cut.transform(counts).withColumn(
-        "_bucket", F.when(F.col("_x").isNull(), NULL_BUCKET).otherwise(F.col("_bucket"))
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = {cut for cut in counts.approxQuantile("_x", shares, 0.1 / buckets) if isfinite(cut)} or {0.0}
+    ranges = (
+        Bucketizer(splits=[-inf, *sorted(cuts), inf], handleInvalid="keep", inputCol="_x", outputCol="_bucket")
+        .transform(counts)
+        .withColumn("_bucket", F.when(F.col("_x").isNull(), NULL_BUCKET).otherwise(F.col("_bucket")))
     )
 
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)

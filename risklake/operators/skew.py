@@ -32,7 +32,9 @@ def join_spread(
         return rows.join(lookup, key, how)
     slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.col(key).isin(list(hot))
-    sliced = rows.withColumn("_slice", F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(slices))).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
-    copied = lookup.withColumn("_slice", F.explode(copies).cast("long"))
+    zero, last = F.lit(0).cast("long"), F.lit(slices - 1).cast("long")
+    by_row = F.pmod(F.xxhash64(*rows.columns), F.lit(slices).cast("long"))
+    sliced = rows.withColumn("_slice", F.when(is_hot, by_row).otherwise(zero))
+    copies = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
+    copied = lookup.withColumn("_slice", F.explode(copies))
     return sliced.join(copied, [key, "_slice"], how).drop("_slice")

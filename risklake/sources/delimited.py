@@ -33,7 +33,10 @@ def read_raw(spark: SparkSession, path: str, source: Source) -> DataFrame:
     bare = F.regexp_replace(RECORD, QUOTED, "")
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
     too_long = F.col(RECORD).isNotNull() & (separators >= len(source.columns))
-    message = F.concat(F.lit(f"{source.table}: more than {len(source.columns)} fields in: "), F.col(RECORD))
+    # the message names the row by its first field too: a scan of the record column alone is not allowed
+    first = source.columns[0]
+    label = f"{source.table}: more than {len(source.columns)} fields where {first} is "
+    message = F.concat_ws("", F.lit(label), F.col(first), F.lit(": "), F.col(RECORD))
     checked = lines.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
     return checked.select([na_to_null(F.col(name)).alias(name) for name in source.columns])
 
