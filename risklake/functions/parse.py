@@ -26,18 +26,16 @@ JULIAN_EPOCH_MILLIS = 210866760000000
 def to_integer(text: Column) -> Column:
     """Leading integer of ``text`` as a long; 0 where there is none, held within the long range."""
     digits = F.regexp_extract(text, INTEGER_PREFIX, 1)
-    no_long = (
-        F.when(digits == "", F.lit(0).cast("long"))
-        .when(digits.startswith("-"), F.lit(str(LONG_MIN)).cast("long"))
-        .otherwise(F.lit(LONG_MAX))
-    )
-    return F.when(text.isNotNull(), F.coalesce(digits.try_cast("long"), no_long))
+    bound = F.when(digits.startswith("-"), F.lit(str(LONG_MIN)).cast("long")).otherwise(F.lit(LONG_MAX))
+    # a failing cast costs an exception: only numbers that may be too long come to one
+    number = F.when(F.length(digits) < 19, digits.cast("long")).otherwise(F.coalesce(digits.try_cast("long"), bound))
+    return F.when(text.isNotNull(), F.when(digits == "", F.lit(0).cast("long")).otherwise(number))
 
 
 def to_real(text: Column) -> Column:
     """Leading number of ``text`` as a double; 0.0 where there is none. A comma ends the number."""
-    number = F.regexp_extract(text, REAL_PREFIX, 1).try_cast("double")
-    return F.when(text.isNotNull(), F.coalesce(number, F.lit(0.0)))
+    number = F.nullif(F.regexp_extract(text, REAL_PREFIX, 1), F.lit("")).cast("double")
+    return F.coalesce(number, F.when(text.isNotNull(), F.lit(0.0)))
 
 
 def to_millis(text: Column) -> Column:
