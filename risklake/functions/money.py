@@ -1,15 +1,31 @@
 """Money and ratios.
 
 Doubles are the surface type. Inside a sum, amounts are exact decimals, so that totals (and ranks over them) do not
-depend on the order in which tasks finish; products of money that are rounded to cents go through integer cents.
+depend on the order in which tasks finish; the rare amounts too large for that are summed beside them as doubles.
+Products of money that are rounded to cents go through integer cents.
 """
 
 from pyspark.sql import Column, functions as F
 
 
-def exact(amount: Column) -> Column:
-    """Amount in exact decimal cents, to be summed."""
-    return amount.cast("decimal(18,2)")
+def _fits(amount: Column, digits: int) -> Column:
+    return F.abs(amount) < F.lit(10.0 ** (17 - digits))
+
+
+def exact(amount: Column, digits: int = 2) -> Column:
+    """Amount as an exact decimal to be summed; NULL if it is too large for one (see ``beyond``)."""
+    return F.when(_fits(amount, digits), amount.cast(f"decimal(18,{digits})"))
+
+
+def beyond(amount: Column, digits: int = 2) -> Column:
+    """The amounts that ``exact`` leaves out: junk such as a bar code in an amount field, or infinity."""
+    return F.when(~_fits(amount, digits), amount)
+
+
+def total(exact_sum: Column, beyond_sum: Column) -> Column:
+    """Double total of both sums; NULL if both are."""
+    whole = exact_sum.cast("double")
+    return F.when(beyond_sum.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + beyond_sum)
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

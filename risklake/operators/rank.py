@@ -5,7 +5,7 @@ from math import inf, isfinite
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-NULL_BUCKET = -1.0
+NULL_BUCKET = -1
 
 
 def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None) -> DataFrame:
@@ -26,7 +26,7 @@ def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None
     ranges = (
         Bucketizer(splits=[-inf, *sorted(cuts), inf], handleInvalid="keep", inputCol="_x", outputCol="_bucket")
         .transform(counts)
-        .withColumn("_bucket", F.when(F.col("_x").isNull(), NULL_BUCKET).otherwise(F.col("_bucket")))
+        .withColumn("_bucket", F.when(F.col("_x").isNull(), NULL_BUCKET).otherwise(F.col("_bucket").cast("int")))
     )
 
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -35,10 +35,11 @@ def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None
 
     within = Window.partitionBy("_bucket").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
     prior = F.coalesce(F.sum("_n").over(within), F.lit(0))
-    # one row per bucket: the bucket count bounds the broadcast
+    # one row per bucket: the bucket count bounds the broadcast. Every bucket has its row; a left join adds no filter
+    # to this side, so that both uses of the counts share one shuffle
     ranks = (
         ranges.select(value, "_bucket", prior.alias("_prior"))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), "_bucket", "left")
         .select(F.col(value).alias("_value"), (F.col("_offset") + F.col("_prior") + 1).cast("long").alias(rank))
     )
     return df.join(ranks, df[value].eqNullSafe(F.col("_value"))).drop("_value")

@@ -8,7 +8,7 @@ shrink in the map-side combine before a shuffle, and no join emits all pairs of
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from risklake.functions.bands import ACTIVE, DEFAULTED, delay_points
-from risklake.functions.money import exact, percent
+from risklake.functions.money import beyond, exact, percent, total
 from risklake.operators.rank import global_rank
 from risklake.operators.skew import hot_keys, join_spread
 from risklake.operators.stage import stage
@@ -26,35 +26,36 @@ def _defaulted() -> Column:
 
 
 def _if_defaulted(amount: Column) -> Column:
-    return F.when(_defaulted(), amount).otherwise(F.lit(0).cast("decimal(18,2)"))
-
-
-def _double(column: str) -> Column:
-    return F.col(column).cast("double").alias(column)
+    """Amount of a defaulted loan, 0 of another."""
+    return F.when(_defaulted(), amount).otherwise(F.lit(0.0))
 
 
 def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     """Default rate and amount at risk by state of the client."""
-    risk = _if_defaulted(exact(F.col("valor_emprestado"))) * F.col("copias")
+    risk, copies = _if_defaulted(F.col("valor_emprestado")), F.col("copias")
     # one row per state and loan makes the distinct counts plain counts: no Expand, no hot state
     per_loan = (
         emprestimos.join(_folded(clientes, "cliente_id", "estado"), "cliente_id")
         .groupBy("estado", "emprestimo_id")
-        .agg(F.max(_defaulted()).alias("inadimplente"), F.sum(risk).alias("valor"))
+        .agg(
+            F.max(_defaulted()).alias("inadimplente"),
+            F.sum(exact(risk) * copies).alias("valor"),
+            F.sum(beyond(risk) * copies).alias("valor_alem"),
+        )
     )
     return (
         per_loan.groupBy("estado")
         .agg(
             F.count("emprestimo_id").alias("total_emprestimos"),
             F.count(F.when(F.col("inadimplente"), F.col("emprestimo_id"))).alias("inadimplentes"),
-            F.sum("valor").alias("valor"),
+            total(F.sum("valor"), F.sum("valor_alem")).alias("valor"),
         )
         .select(
             "estado",
             "total_emprestimos",
             "inadimplentes",
             percent(F.col("inadimplentes"), F.col("total_emprestimos")).alias("taxa_inadimplencia_pct"),
-            F.round(F.col("valor").cast("double"), 2).alias("valor_em_risco"),
+            F.round("valor", 2).alias("valor_em_risco"),
         )
         .orderBy(F.desc_nulls_last("taxa_inadimplencia_pct"), "estado")
     )
@@ -62,10 +63,11 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
 
 def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
     """Monthly defaults with the change from the previous month that has loans."""
+    risk = _if_defaulted(F.col("valor_emprestado"))
     monthly = emprestimos.groupBy(F.date_format("data_concessao", "yyyy-MM").alias("mes")).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.when(_defaulted(), 1).otherwise(0)).alias("inadimplentes"),
-        F.sum(_if_defaulted(exact(F.col("valor_emprestado")))).alias("valor_inadimplente"),
+        total(F.sum(exact(risk)), F.sum(beyond(risk))).alias("valor_inadimplente"),
     )
     # one row per calendar month reaches the unpartitioned window, at most 12 for each of 10000 years
     previous = F.lag("inadimplentes").over(Window.orderBy(F.asc_nulls_first("mes")))
@@ -77,7 +79,7 @@ def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
             "total",
             "inadimplentes",
             percent(F.col("inadimplentes"), F.col("total")).alias("taxa_pct"),
-            _double("valor_inadimplente"),
+            "valor_inadimplente",
             "inadimplentes_mes_anterior",
             change.alias("variacao_absoluta"),
             percent(change, F.col("inadimplentes_mes_anterior")).alias("variacao_pct"),
@@ -93,16 +95,19 @@ def exposicao(clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, f
     counts once per event of its client and each event once per loan. That product is never built: both sides are
     folded per client and multiplied by the size of the other. Without it every loan and event counts once.
     """
-    amount = exact(F.col("valor_emprestado"))
+    amount = F.col("valor_emprestado")
+    risk = _if_defaulted(amount)
     loans = (
         emprestimos.groupBy("cliente_id")
         .agg(
             F.count(F.lit(1)).alias("linhas_emprestimo"),
             F.count("emprestimo_id").alias("emprestimos"),
-            F.sum(amount).alias("emprestado"),
-            F.sum(_if_defaulted(amount)).alias("inadimplente"),
+            F.sum(exact(amount)).alias("emprestado"),
+            F.sum(beyond(amount)).alias("emprestado_alem"),
+            F.sum(exact(risk)).alias("inadimplente"),
+            F.sum(beyond(risk)).alias("inadimplente_alem"),
         )
-        .where(F.col("inadimplente") > 0)
+        .where(total(F.col("inadimplente"), F.col("inadimplente_alem")) > 0)
     )
     events = eventos.groupBy("cliente_id").agg(
         F.count(F.lit(1)).alias("linhas_evento"),
@@ -120,8 +125,8 @@ def exposicao(clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, f
     return joined.select(
         *PROFILE,
         (F.col("emprestimos") * per_loan).alias("total_emprestimos"),
-        (F.col("emprestado") * per_loan).alias("valor_total_emprestado"),
-        (F.col("inadimplente") * per_loan).alias("valor_inadimplente"),
+        total(F.col("emprestado") * per_loan, F.col("emprestado_alem") * per_loan).alias("valor_total_emprestado"),
+        total(F.col("inadimplente") * per_loan, F.col("inadimplente_alem") * per_loan).alias("valor_inadimplente"),
         (F.coalesce(F.col("eventos"), F.lit(0).cast("long")) * per_event).alias("total_eventos_risco"),
         "maior_severidade",
     )
@@ -132,18 +137,10 @@ def ranking_risco_clientes(
 ) -> DataFrame:
     """Clients ranked by defaulted amount. The ranked rows are staged once, as the rank reads them several times."""
     rows = stage(exposicao(clientes, emprestimos, eventos, fan_out), "exposicao")
+    share = percent(F.col("valor_inadimplente"), F.col("valor_total_emprestado"))
     return (
         global_rank(rows, "valor_inadimplente", "ranking_exposicao")
-        .select(
-            *PROFILE,
-            "total_emprestimos",
-            _double("valor_total_emprestado"),
-            _double("valor_inadimplente"),
-            "total_eventos_risco",
-            "maior_severidade",
-            "ranking_exposicao",
-            percent(F.col("valor_inadimplente"), F.col("valor_total_emprestado")).alias("pct_inadimplente"),
-        )
+        .withColumn("pct_inadimplente", share)
         .orderBy("ranking_exposicao", "cliente_id")
     )
 
@@ -152,20 +149,22 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
     """Profile of each score band; averages are over loans, so a client weighs by its loans."""
     copies = F.col("copias")
 
-    def mean(amount: Column, digits: int) -> Column:
-        present = F.sum(F.when(amount.isNotNull(), copies))
-        return F.round(F.sum(amount * copies).cast("double") / present, digits)
+    def mean(column: str, digits: int) -> Column:
+        value = F.col(column)
+        whole = total(F.sum(exact(value, digits) * copies), F.sum(beyond(value, digits) * copies))
+        return whole / F.sum(F.when(value.isNotNull(), copies))
 
     joined = emprestimos.join(_folded(clientes, "cliente_id", "faixa_risco", "score_credito"), "cliente_id")
     return (
-        joined.groupBy("faixa_risco")
+        joined.withColumn("score_credito", F.col("score_credito").cast("double"))
+        .groupBy("faixa_risco")
         .agg(
-            mean(F.col("score_credito").cast("decimal(19,0)"), 0).alias("score_medio"),
+            F.round(mean("score_credito", 0), 0).alias("score_medio"),
             F.countDistinct("cliente_id").alias("total_clientes"),
             F.countDistinct("emprestimo_id").alias("total_emprestimos"),
             F.countDistinct(F.when(_defaulted(), F.col("emprestimo_id"))).alias("inadimplentes"),
-            mean(F.col("taxa_juros").cast("decimal(18,6)"), 2).alias("taxa_juros_media"),
-            mean(exact(F.col("valor_emprestado")), 2).alias("ticket_medio"),
+            F.round(mean("taxa_juros", 6), 2).alias("taxa_juros_media"),
+            F.round(mean("valor_emprestado", 2), 2).alias("ticket_medio"),
         )
         .withColumn("taxa_inadimplencia_pct", percent(F.col("inadimplentes"), F.col("total_emprestimos")))
         .orderBy(F.desc_nulls_last("score_medio"), "faixa_risco")
@@ -186,10 +185,12 @@ def alerta_risco_iminente(clientes: DataFrame, emprestimos: DataFrame, pagamento
         )
     )
     active = F.col("status") == ACTIVE
+    amount = F.when(active, F.col("valor_emprestado"))
     loans = emprestimos.groupBy("emprestimo_id", "cliente_id").agg(
         F.count(F.lit(1)).alias("copias"),
         F.count(F.when(active, 1)).alias("ativos"),
-        F.sum(F.when(active, exact(F.col("valor_emprestado")))).alias("exposto"),
+        F.sum(exact(amount)).alias("exposto"),
+        F.sum(beyond(amount)).alias("exposto_alem"),
     )
     history = (
         join_spread(loans, late, "emprestimo_id", "left", hot=hot_keys(emprestimos, "emprestimo_id"))
@@ -200,20 +201,25 @@ def alerta_risco_iminente(clientes: DataFrame, emprestimos: DataFrame, pagamento
             F.sum(F.col("copias") * F.col("dias")).alias("dias"),
             F.sum("ativos").alias("ativos"),
             F.sum("exposto").alias("exposto"),
+            F.sum("exposto_alem").alias("exposto_alem"),
         )
         .where((F.col("qtd_atrasos") > 0) & (F.col("ativos") > 0))
     )
     profiles = _folded(clientes, *PROFILE)
     joined = join_spread(profiles, history, "cliente_id", hot=hot_keys(clientes, "cliente_id"))
+    copies = F.col("copias")
+    # in doubles: the score of a junk text may be the smallest long
     composite = (
-        F.col("qtd_atrasos") * 10 + delay_points(F.col("maior_atraso")) + (F.lit(850) - F.col("score_credito")) / 20.0
+        F.col("qtd_atrasos") * 10
+        + delay_points(F.col("maior_atraso"))
+        + (F.lit(850.0) - F.col("score_credito").cast("double")) / 20.0
     )
     return joined.select(
         *PROFILE,
         "qtd_atrasos",
         "maior_atraso",
         F.round(F.col("dias").cast("double") / F.col("qtd_atrasos"), 1).alias("media_atraso"),
-        (F.col("exposto") * F.col("copias")).cast("double").alias("exposicao_total"),
+        total(F.col("exposto") * copies, F.col("exposto_alem") * copies).alias("exposicao_total"),
         F.round(composite, 1).alias("score_risco_composto"),
     ).orderBy(F.desc_nulls_last("score_risco_composto"), "cliente_id")
 

@@ -111,3 +111,23 @@ def test_join_spread_equals_join_and_spreads(spark, how):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert tasks == 8
+
+
+def test_junk_amounts_do_not_stop_the_views(spark):
+    book = make_book(4, False)
+    junk = [1e20, float("inf"), 123456789012345678.0, -1e18]
+    book["l"] = [(*row[:2], junk[i % 4] if i % 40 == 0 else row[2], *row[3:]) for i, row in enumerate(book["l"])]
+    tables = load(spark, book)
+    states = gold.inadimplencia_por_estado(tables["l"], tables["c"])
+    plain = spark.sql("""select estado, sum(if(status = 'INADIMPLENTE', valor_emprestado, 0D)) as v
+                         from l join c using (cliente_id) group by estado""")
+    expected = {row.estado: row.v for row in plain.collect()}
+    got = {row.estado: row.valor_em_risco for row in states.collect()}
+    assert got.keys() == expected.keys()
+    for state, value in expected.items():
+        assert got[state] == pytest.approx(value, rel=1e-12), state
+    assert gold.evolucao_inadimplencia(tables["l"].withColumn("data_concessao", F.lit("2024-01-01").cast("date"))).count()
+    assert gold.risco_por_score(tables["c"], tables["l"]).count() == 3
+    assert gold.ranking_risco_clientes(tables["c"], tables["l"], tables["v"]).where("ranking_exposicao = 1").count()
+    junk_score = tables["c"].withColumn("score_credito", F.lit("-9223372036854775808").cast("long"))
+    assert gold.alerta_risco_iminente(junk_score, tables["l"], tables["p"]).count() > 0
