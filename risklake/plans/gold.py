@@ -1,8 +1,10 @@
 """Risk views over the cleaned tables.
 
-Cleaned tables are not deduplicated, and a view counts a row once for each row it joins to. All joins below are
-between sides that were first folded to one row per key and carry how many rows they stand for, so copies and hot keys
-shrink in the map-side combine before a shuffle, and no join emits all pairs of a key.
+Cleaned tables are not deduplicated, and a view counts a row once for each row it joins to. Before a join at least one
+side is folded to one row per key that carries how many rows it stands for, so copies and hot keys shrink in the
+map-side combine before a shuffle, and no join emits all pairs of a key. Where a hot key can still reach a join, either
+both sides come straight from a shuffle, where adaptive execution splits it, or the join is spread (``hot`` holds the
+hot clients, and is found if not given).
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,6 +23,10 @@ def _folded(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copias"))
 
 
+def _hot_clients(clientes: DataFrame, hot: list | None) -> list:
+    return hot_keys(clientes, "cliente_id") if hot is None else hot
+
+
 def _defaulted() -> Column:
     return F.col("status") == DEFAULTED
 
@@ -64,10 +70,15 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
 def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
     """Monthly defaults with the change from the previous month that has loans."""
     risk = _if_defaulted(F.col("valor_emprestado"))
-    monthly = emprestimos.groupBy(F.date_format("data_concessao", "yyyy-MM").alias("mes")).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum(F.when(_defaulted(), 1).otherwise(0)).alias("inadimplentes"),
-        total(F.sum(exact(risk)), F.sum(beyond(risk))).alias("valor_inadimplente"),
+    # loans are grouped by the first day of the month, and only the groups are formatted
+    monthly = (
+        emprestimos.groupBy(F.trunc("data_concessao", "month").alias("inicio"))
+        .agg(
+            F.count(F.lit(1)).alias("total"),
+            F.sum(F.when(_defaulted(), 1).otherwise(0)).alias("inadimplentes"),
+            total(F.sum(exact(risk)), F.sum(beyond(risk))).alias("valor_inadimplente"),
+        )
+        .withColumn("mes", F.date_format("inicio", "yyyy-MM"))
     )
     # one row per calendar month reaches the unpartitioned window, at most 12 for each of 10000 years
     previous = F.lag("inadimplentes").over(Window.orderBy(F.asc_nulls_first("mes")))
@@ -88,7 +99,9 @@ def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
     )
 
 
-def exposicao(clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool) -> DataFrame:
+def exposicao(
+    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool, hot: list | None = None
+) -> DataFrame:
     """Loans and risk events per client with a defaulted amount above zero.
 
     With ``fan_out`` the totals are those of joining clients to loans and to events on the client alone: each loan
@@ -116,7 +129,7 @@ def exposicao(clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, f
     )
     per_client = loans.join(events, "cliente_id", "left")
     profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, per_client, "cliente_id", hot=hot_keys(clientes, "cliente_id"))
+    joined = join_spread(profiles, per_client, "cliente_id", hot=_hot_clients(clientes, hot))
 
     one = F.lit(1).cast("long")
     copies = F.col("copias") if fan_out else one
@@ -133,10 +146,10 @@ def exposicao(clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, f
 
 
 def ranking_risco_clientes(
-    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool = True
+    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool = True, hot: list | None = None
 ) -> DataFrame:
     """Clients ranked by defaulted amount. The ranked rows are staged once, as the rank reads them several times."""
-    rows = stage(exposicao(clientes, emprestimos, eventos, fan_out), "exposicao")
+    rows = stage(exposicao(clientes, emprestimos, eventos, fan_out, hot), "exposicao")
     share = percent(F.col("valor_inadimplente"), F.col("valor_total_emprestado"))
     return (
         global_rank(rows, "valor_inadimplente", "ranking_exposicao")
@@ -145,33 +158,63 @@ def ranking_risco_clientes(
     )
 
 
-def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
-    """Profile of each score band; averages are over loans, so a client weighs by its loans."""
-    copies = F.col("copias")
+def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | None = None) -> DataFrame:
+    """Profile of each score band; averages are over loans, so a client weighs by its loans.
 
-    def mean(column: str, digits: int) -> Column:
-        value = F.col(column)
-        whole = total(F.sum(exact(value, digits) * copies), F.sum(beyond(value, digits) * copies))
-        return whole / F.sum(F.when(value.isNotNull(), copies))
+    Averages and clients are counted on loans folded per client; distinct loans are counted per band and loan. Both
+    go into one aggregate per band, without the row copies of several distinct counts in one.
+    """
+    rate, amount = F.col("taxa_juros"), F.col("valor_emprestado")
+    loans = emprestimos.groupBy("cliente_id").agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.count(rate).alias("taxas"),
+        F.sum(exact(rate, 6)).alias("taxa"),
+        F.sum(beyond(rate, 6)).alias("taxa_alem"),
+        F.count(amount).alias("valores"),
+        F.sum(exact(amount)).alias("valor"),
+        F.sum(beyond(amount)).alias("valor_alem"),
+    )
+    bands = _folded(clientes, "cliente_id", "faixa_risco", "score_credito")
+    copies, score = F.col("copias"), F.col("score_credito").cast("double")
+    weighed = ["taxas", "taxa", "taxa_alem", "valores", "valor", "valor_alem"]
+    per_client = (
+        join_spread(bands, loans, "cliente_id", hot=_hot_clients(clientes, hot))
+        .groupBy("faixa_risco", "cliente_id")
+        .agg(
+            F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
+            F.sum(exact(score, 0) * copies * F.col("linhas")).alias("escore"),
+            F.sum(beyond(score, 0) * copies * F.col("linhas")).alias("escore_alem"),
+            *[F.sum(F.col(name) * copies).alias(name) for name in weighed],
+        )
+    )
+    per_loan = (
+        emprestimos.join(clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
+        .groupBy("faixa_risco", "emprestimo_id")
+        .agg(F.max(_defaulted()).alias("inadimplente"))
+    )
+
+    def mean(part: str, count: str) -> Column:
+        return total(F.sum(part), F.sum(f"{part}_alem")) / F.sum(count)
 
-    joined = emprestimos.join(_folded(clientes, "cliente_id", "faixa_risco", "score_credito"), "cliente_id")
     return (
-        joined.withColumn("score_credito", F.col("score_credito").cast("double"))
+        per_client.unionByName(per_loan, allowMissingColumns=True)
         .groupBy("faixa_risco")
         .agg(
-            F.round(mean("score_credito", 0), 0).alias("score_medio"),
-            F.countDistinct("cliente_id").alias("total_clientes"),
-            F.countDistinct("emprestimo_id").alias("total_emprestimos"),
-            F.countDistinct(F.when(_defaulted(), F.col("emprestimo_id"))).alias("inadimplentes"),
-            F.round(mean("taxa_juros", 6), 2).alias("taxa_juros_media"),
-            F.round(mean("valor_emprestado", 2), 2).alias("ticket_medio"),
+            F.round(mean("escore", "escores"), 0).alias("score_medio"),
+            F.count("cliente_id").alias("total_clientes"),
+            F.count("emprestimo_id").alias("total_emprestimos"),
+            F.count(F.when(F.col("inadimplente"), F.col("emprestimo_id"))).alias("inadimplentes"),
+            F.round(mean("taxa", "taxas"), 2).alias("taxa_juros_media"),
+            F.round(mean("valor", "valores"), 2).alias("ticket_medio"),
         )
         .withColumn("taxa_inadimplencia_pct", percent(F.col("inadimplentes"), F.col("total_emprestimos")))
         .orderBy(F.desc_nulls_last("score_medio"), "faixa_risco")
     )
 
 
-def alerta_risco_iminente(clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame) -> DataFrame:
+def alerta_risco_iminente(
+    clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, hot: list | None = None
+) -> DataFrame:
     """Clients with active loans who paid late on any loan, with a composite score (not clamped to 100)."""
     # clients without a late payment drop out, and the largest delay of the others is a late one: early and unpaid
     # instalments can be left out at the scan
@@ -206,7 +249,7 @@ def alerta_risco_iminente(clientes: DataFrame, emprestimos: DataFrame, pagamento
         .where((F.col("qtd_atrasos") > 0) & (F.col("ativos") > 0))
     )
     profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, history, "cliente_id", hot=hot_keys(clientes, "cliente_id"))
+    joined = join_spread(profiles, history, "cliente_id", hot=_hot_clients(clientes, hot))
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (
@@ -237,10 +280,11 @@ def preview_score(por_score: DataFrame) -> DataFrame:
 
 def views(clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, eventos: DataFrame) -> dict:
     """The five views by name."""
+    hot = hot_keys(clientes, "cliente_id")
     return {
         "gold_inadimplencia_por_estado": inadimplencia_por_estado(emprestimos, clientes),
         "gold_evolucao_inadimplencia": evolucao_inadimplencia(emprestimos),
-        "gold_ranking_risco_clientes": ranking_risco_clientes(clientes, emprestimos, eventos),
-        "gold_risco_por_score": risco_por_score(clientes, emprestimos),
-        "gold_alerta_risco_iminente": alerta_risco_iminente(clientes, emprestimos, pagamentos),
+        "gold_ranking_risco_clientes": ranking_risco_clientes(clientes, emprestimos, eventos, hot=hot),
+        "gold_risco_por_score": risco_por_score(clientes, emprestimos, hot),
+        "gold_alerta_risco_iminente": alerta_risco_iminente(clientes, emprestimos, pagamentos, hot),
     }
