@@ -8,18 +8,18 @@ Products of money that are rounded to cents go through integer cents.
 from pyspark.sql import Column, functions as F
 
 
-def _fits(amount: Column, digits: int) -> Column:
-    return F.abs(amount) < F.lit(10.0 ** (17 - digits))
+def _fits(amount: Column) -> Column:
+    return F.abs(amount) < F.lit(1e11)
 
 
-def exact(amount: Column, digits: int = 2) -> Column:
+def exact(amount: Column) -> Column:
     """Amount as an exact decimal to be summed; NULL if it is too large for one (see ``beyond``)."""
-    return F.when(_fits(amount, digits), amount.cast(f"decimal(18,{digits})"))
+    return F.when(_fits(amount), amount.cast("decimal(18,6)"))
 
 
-def beyond(amount: Column, digits: int = 2) -> Column:
+def beyond(amount: Column) -> Column:
     """The amounts that ``exact`` leaves out: junk such as a bar code in an amount field, or infinity."""
-    return F.when(~_fits(amount, digits), amount)
+    return F.when(~_fits(amount), amount)
 
 
 def total(exact_sum: Column, beyond_sum: Column) -> Column:

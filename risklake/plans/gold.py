@@ -168,8 +168,8 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     loans = emprestimos.groupBy("cliente_id").agg(
         F.count(F.lit(1)).alias("linhas"),
         F.count(rate).alias("taxas"),
-        F.sum(exact(rate, 6)).alias("taxa"),
-        F.sum(beyond(rate, 6)).alias("taxa_alem"),
+        F.sum(exact(rate)).alias("taxa"),
+        F.sum(beyond(rate)).alias("taxa_alem"),
         F.count(amount).alias("valores"),
         F.sum(exact(amount)).alias("valor"),
         F.sum(beyond(amount)).alias("valor_alem"),
@@ -182,8 +182,8 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
         .groupBy("faixa_risco", "cliente_id")
         .agg(
             F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
-            F.sum(exact(score, 0) * copies * F.col("linhas")).alias("escore"),
-            F.sum(beyond(score, 0) * copies * F.col("linhas")).alias("escore_alem"),
+            F.sum(exact(score) * copies * F.col("linhas")).alias("escore"),
+            F.sum(beyond(score) * copies * F.col("linhas")).alias("escore_alem"),
             *[F.sum(F.col(name) * copies).alias(name) for name in weighed],
         )
     )

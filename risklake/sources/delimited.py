@@ -1,6 +1,6 @@
 """Semicolon-separated files: tolerant in content, strict in shape."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from risklake.functions.text import na_to_null
 from risklake.sources.schemas import Source
@@ -10,21 +10,32 @@ RECORD = "_registro"
 QUOTED = r'"(?:[^"]|"")*"'
 
 
+def _reader(spark: SparkSession, source: Source) -> DataFrameReader:
+    return (
+        spark.read.option("sep", SEPARATOR)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", source.multiline)
+    )
+
+
 def read_raw(spark: SparkSession, path: str, source: Source) -> DataFrame:
     """Raw rows of ``source`` as text, with missing-value words as NULL.
 
-    The header must be the declared one. A short row is padded with NULL; a row with more fields than the header
-    fails the read.
+    Columns go by the names in the header, in any order; a missing one fails, further ones are kept. All files below
+    ``path`` must have the same header. A short row is padded with NULL; a row with more fields than the header fails
+    the read.
     """
-    schema = source.schema.add(T.StructField(RECORD, T.StringType()))
+    header = _reader(spark, source).csv(path).columns  # reads one line
+    missing = [name for name in source.columns if name not in header]
+    if missing:
+        raise ValueError(f"{source.table}: no column {', '.join(missing)} in {path}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, RECORD]])
     lines = (
-        spark.read.schema(schema)
-        .option("sep", SEPARATOR)
-        .option("header", True)
+        _reader(spark, source)
+        .schema(schema)
         .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", source.multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RECORD)
         .option("columnPruning", False)  # a pruned parser does not count fields
@@ -32,13 +43,12 @@ def read_raw(spark: SparkSession, path: str, source: Source) -> DataFrame:
     )
     bare = F.regexp_replace(RECORD, QUOTED, "")
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
-    too_long = F.col(RECORD).isNotNull() & (separators >= len(source.columns))
+    too_long = F.col(RECORD).isNotNull() & (separators >= len(header))
     # the message names the row by its first field too: a scan of the record column alone is not allowed
-    first = source.columns[0]
-    label = f"{source.table}: more than {len(source.columns)} fields where {first} is "
-    message = F.concat_ws("", F.lit(label), F.col(first), F.lit(": "), F.col(RECORD))
+    label = f"{source.table}: more than {len(header)} fields where {header[0]} is "
+    message = F.concat_ws("", F.lit(label), F.col(f"`{header[0]}`"), F.lit(": "), F.col(RECORD))
     checked = lines.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
-    return checked.select([na_to_null(F.col(name)).alias(name) for name in source.columns])
+    return checked.select([na_to_null(F.col(f"`{name}`")).alias(name) for name in header])
 
 
 def write_raw(df: DataFrame, path: str) -> None:

@@ -2,22 +2,16 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 
 @dataclass(frozen=True)
 class Source:
-    """One raw entity: its bronze table, its file below the source folder, its header."""
+    """One raw entity: its bronze table, its file below the source folder, the columns its header must have."""
 
     table: str
     file: str
     columns: tuple[str, ...]
     multiline: bool = False  # quoted line breaks; such a file cannot be split between tasks
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(name, T.StringType()) for name in self.columns])
-
 
 # File headers.
 SOURCES = {

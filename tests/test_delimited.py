@@ -39,9 +39,27 @@ def test_quoted_separators_are_not_fields(spark, tmp_path):
     assert values(read(spark, tmp_path, 'a;b;c\n"1;1;1;1";2\n')) == [("1;1;1;1", "2", None)]
 
 
-def test_header_has_to_match(spark, tmp_path):
+def test_columns_go_by_name(spark, tmp_path):
+    df = read(spark, tmp_path, "c;x;a;b\n3;0;1;2\n")
+    assert values(df.select("a", "b", "c", "x")) == [("1", "2", "3", "0")]
+
+
+def test_missing_column_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="bronze_t: no column b, c"):
+        read(spark, tmp_path, "a;x\n1;2\n")
+
+
+def test_header_without_rows(spark, tmp_path):
+    assert read(spark, tmp_path, "a;b;c\n").count() == 0
+
+
+def test_files_with_different_headers_fail(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a;b;c\n1;2;3\n")
+    (folder / "2.csv").write_text("a;c;b\n1;3;2\n")
     with pytest.raises(Exception, match="FAILED_READ_FILE|CSV header"):
-        read(spark, tmp_path, "a;c;b\n1;2;3\n").collect()
+        read_raw(spark, str(folder), SOURCE).collect()
 
 
 def test_quoted_line_breaks(spark, tmp_path):
