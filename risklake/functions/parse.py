@@ -45,11 +45,11 @@ def to_millis(text: Column) -> Column:
     # the zone of the session
     timed = F.regexp_replace(F.regexp_replace(text, MOMENT, "$1T$2$3"), "^(.{16})(?!:)", "$1:00")
     zoned = F.regexp_replace(timed, "(T[0-9:.]+)[zZ]?$", "$1Z")
-    return (
-        F.when(text.rlike(DAY), midnight)
-        .when(F.regexp_extract(text, MOMENT, 2) != "", F.unix_millis(zoned.try_cast("timestamp")))
-        .when(text.rlike(MOMENT), midnight)
-    )
+    moment = F.when(
+        F.regexp_extract(text, MOMENT, 2) != "", F.unix_millis(zoned.try_cast("timestamp"))
+    ).when(text.rlike(MOMENT), midnight)
+    length = F.length(text)
+    return F.when(length == 10, F.when(text.rlike(DAY), midnight)).when(length > 10, moment)
 
 
 def millis_to_date(millis: Column) -> Column:

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile larger methods; beyond it Spark generates code per operator, in smaller methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
