@@ -413,6 +413,14 @@ select ' "' || tipo_evento || '"; ' as tipo_evento, count(*) as linhas, count(ev
        cast(sum(cast(valor_em_risco as decimal(18,2))) as double) as valor
 from bronze_eventos_risco group by 1
 """,
+    "carga_completa": _RAW
+    + f""", clientes as (
+  select cliente_id, upper(trim(estado)) as estado from bronze_clientes where {_KEPT["clientes"]}
+), emprestimos as (
+  select emprestimo_id, cliente_id, status, {_real("valor_emprestado")} as valor_emprestado
+  from bronze_emprestimos where {_KEPT["emprestimos"]}
+)"""
+    + _BY_STATE,
     "rank_global_distribuido": """
 with linhas as (
   select l_orderkey as emprestimo_id, cast(l_linenumber as bigint) as parcela_num,

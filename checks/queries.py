@@ -9,7 +9,7 @@ from risklake.functions import bands, parse, text
 from risklake.operators.rank import global_rank
 from risklake.operators.stage import stage_path
 from risklake.plans import gold, loanbook, silver
-from risklake.plans.refresh import count_rows
+from risklake.plans.refresh import count_rows, refresh
 from risklake.sources.delimited import read_raw, write_raw
 from risklake.sources.schemas import SOURCES, Source
 
@@ -177,6 +177,20 @@ def _csv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _carga(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files written from the tables, all layers refreshed from them, one view read."""
+    source = stage_path(spark, "raw")
+    raw = {
+        "clientes": t.raw_clientes,
+        "emprestimos": t.raw_emprestimos,
+        "pagamentos": t.raw_pagamentos,
+        "eventos_risco": t.raw_eventos,
+    }
+    for name, rows in raw.items():
+        write_raw(rows(spark, sf), f"{source}/{SOURCES[name].file}")
+    return refresh(spark, source, stage_path(spark, "lake")).views["gold_inadimplencia_por_estado"]
+
+
 def _rank(spark: SparkSession, sf: str) -> DataFrame:
     rows = t.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("emprestimo_id"),
@@ -234,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filtro_status_bruto": _status_bruto,
     "auditoria_contagens": _auditoria,
     "csv_ida_e_volta": _csv,
+    "carga_completa": _carga,
     "rank_global_distribuido": _rank,
     "score_limitado": _score_limitado,
     "politica_preco": _politica,

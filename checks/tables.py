@@ -205,6 +205,6 @@ def raw_eventos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("cliente_id"),
         F.col("event_id").cast("string").alias("emprestimo_id"),
         F.when(F.col("value") > 20, dirty).otherwise(kind).alias("tipo_evento"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("data_evento"),
+        F.substring(F.col("ts").cast("string"), 1, 16).alias("data_evento"),
         _text("value").alias("valor_em_risco"),
     )

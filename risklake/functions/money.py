@@ -44,3 +44,8 @@ def half_up(numerator: Column, denominator: Column) -> Column:
 
 def from_cents(amount: Column) -> Column:
     return amount.cast("double") / 100.0
+
+
+def in_cents(amount: Column) -> Column:
+    """Whether products of ``amount`` fit integer cents; junk amounts are left to doubles."""
+    return (amount >= 0.0) & (amount < 1e10)

@@ -4,15 +4,20 @@ from pyspark.sql import DataFrame, functions as F
 
 # A sketch of this many counters finds every key with more than about 1/7500 of the rows.
 SKETCH_ITEMS = 10000
-MAX_HOT_KEYS = 100
+MAX_HOT_KEYS = 1000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 1_000_000) -> list:
-    """Keys that hold at least ``share`` of the rows and ``min_rows`` rows, at most 100 of them.
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    One pass over one column with a sketch of fixed size. The list steers the load only; a key more or less in it
-    never changes a result.
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None, min_rows: int = 1_000_000) -> list:
+    """Keys that hold at least ``share`` of the rows and ``min_rows`` rows, the 1000 largest if there are more.
+
+    By default a key is hot if it holds twice the rows of an average shuffle partition. One pass over one column with a
+    sketch of fixed size. The list steers the load only; a key more or less in it never changes a result.
     """
+    share = share or 2 / _partitions(df)
     sketch = F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
     found = df.where(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows")).first()
     floor = max(min_rows, share * found["rows"])
@@ -30,7 +35,7 @@ def join_spread(
     """
     if not hot:
         return rows.join(lookup, key, how)
-    slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or _partitions(rows)
     is_hot = F.col(key).isin(list(hot))
     zero, last = F.lit(0).cast("long"), F.lit(slices - 1).cast("long")
     by_row = F.pmod(F.xxhash64(*rows.columns), F.lit(slices).cast("long"))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def stage_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir``, or a new temporary one in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="risklake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from risklake.functions.bands import DEFAULTED
-from risklake.functions.money import cents, exact, from_cents, half_up
+from risklake.functions.money import beyond, cents, exact, from_cents, half_up, in_cents, total
 
 # Score range; lowest score, rate range and amount range of each price band; probability floors in
 # thousandths of 700 - score; days between instalments; late fee; stages of the default ladder with days after
@@ -26,15 +26,17 @@ def score_limitado(score: Column) -> Column:
 
 
 def _excess(score: Column, floor: int) -> Column:
-    return F.when(score.isNotNull(), F.greatest(F.lit(floor), F.lit(SCORE_PIVOT) - score).cast("long"))
+    """Points below the pivot, at least ``floor``; a decimal, as the score of a junk text may be the smallest long."""
+    points = F.lit(SCORE_PIVOT) - score.cast("decimal(19,0)")
+    return F.when(score.isNotNull(), F.greatest(F.lit(floor).cast("decimal(20,0)"), points))
 
 
 def prob_inadimplencia(score: Column) -> Column:
-    return _excess(score, DEFAULT_FLOOR) / float(DEFAULT_SCALE)
+    return _excess(score, DEFAULT_FLOOR).cast("double") / float(DEFAULT_SCALE)
 
 
 def prob_atraso(score: Column) -> Column:
-    return _excess(score, LATE_FLOOR) / float(LATE_SCALE)
+    return _excess(score, LATE_FLOOR).cast("double") / float(LATE_SCALE)
 
 
 def probabilidades_risco(clientes: DataFrame) -> DataFrame:
@@ -75,28 +77,33 @@ def politica_preco(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
 
 def valor_cotado(valor: Column, parcelas: Column, taxa: Column) -> Column:
     """Instalment of ``valor`` over ``parcelas`` at ``taxa`` percent, rounded half up to cents."""
-    return from_cents(half_up(cents(valor) * (F.lit(10000).cast("long") + cents(taxa)), parcelas.cast("long") * 10000))
+    count = parcelas.cast("long")
+    exactly = half_up(cents(valor) * (F.lit(10000).cast("long") + cents(taxa)), count * 10000)
+    roughly = F.round(valor / F.nullif(count.cast("double"), F.lit(0.0)) * (taxa / 100.0 + 1.0), 2)
+    sane = in_cents(valor) & taxa.between(0.0, 10000.0) & count.between(0, 1000000)
+    return F.when(sane, from_cents(exactly)).otherwise(roughly)
 
 
 def cotacao_parcela(emprestimos: DataFrame) -> DataFrame:
     """Quoted instalment of each loan and whether the stored one agrees to the cent."""
     quote = valor_cotado(F.col("valor_emprestado"), F.col("num_parcelas"), F.col("taxa_juros"))
     return emprestimos.select("emprestimo_id", "valor_parcela", quote.alias("parcela_cotada")).withColumn(
-        "confere", cents(F.col("valor_parcela")) == cents(F.col("parcela_cotada"))
+        "confere", F.abs(F.col("valor_parcela") - F.col("parcela_cotada")) < 0.005
     )
 
 
 def perda_esperada(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     """Expected loss by score band: amount times default probability, summed exactly."""
-    amount = exact(F.col("valor_emprestado"))
-    weight = _excess(F.col("score_credito"), DEFAULT_FLOOR).cast("decimal(10,0)")
+    amount = F.col("valor_emprestado")
+    weight = _excess(F.col("score_credito"), DEFAULT_FLOOR)
+    loss = total(F.sum(exact(amount) * weight), F.sum(beyond(amount) * weight.cast("double")))
     return (
         _with_score(emprestimos, clientes, "score_credito", "faixa_risco")
         .groupBy("faixa_risco")
         .agg(
             F.count(F.lit(1)).alias("total_emprestimos"),
-            F.sum(amount).cast("double").alias("valor_total"),
-            (F.sum(amount * weight).cast("double") / float(DEFAULT_SCALE)).alias("perda_esperada"),
+            total(F.sum(exact(amount)), F.sum(beyond(amount))).alias("valor_total"),
+            (loss / float(DEFAULT_SCALE)).alias("perda_esperada"),
         )
     )
 
@@ -127,7 +134,8 @@ def multa_atraso(pagamentos: DataFrame) -> DataFrame:
     """Settlement of paid instalments: a late one owes the fee on top. Unpaid ones have no status and no amount."""
     late = F.col("data_pagamento") > F.col("data_vencimento")
     owed = F.col("valor_devido")
-    with_fee = from_cents(half_up(cents(owed) * (100 + LATE_FEE_PERCENT), F.lit(100).cast("long")))
+    exactly = from_cents(half_up(cents(owed) * (100 + LATE_FEE_PERCENT), F.lit(100).cast("long")))
+    with_fee = F.when(in_cents(owed), exactly).otherwise(F.round(owed * (1 + LATE_FEE_PERCENT / 100), 2))
     return pagamentos.select(
         "emprestimo_id",
         "parcela_num",
@@ -143,13 +151,13 @@ def escada_eventos(emprestimos: DataFrame) -> DataFrame:
     """All ladder stages of each defaulted loan."""
     steps = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("tipo"), F.lit(days).alias("dias"), F.lit(tenths).cast("long").alias("decimos")
-            )
-            for name, days, tenths in LADDER
+            F.struct(F.lit(kind).alias("tipo"), F.lit(days).alias("dias"), F.lit(part).cast("long").alias("decimos"))
+            for kind, days, part in LADDER
         ]
     )
-    at_risk = half_up(cents(F.col("valor_emprestado")) * F.col("etapa.decimos"), F.lit(10).cast("long"))
+    amount, tenths = F.col("valor_emprestado"), F.col("etapa.decimos")
+    exactly = from_cents(half_up(cents(amount) * tenths, F.lit(10).cast("long")))
+    at_risk = F.when(in_cents(amount), exactly).otherwise(F.round(amount * tenths / 10.0, 2))
     return (
         emprestimos.where(F.col("status") == DEFAULTED)
         .withColumn("etapa", F.explode(steps))
@@ -158,6 +166,6 @@ def escada_eventos(emprestimos: DataFrame) -> DataFrame:
             "emprestimo_id",
             F.col("etapa.tipo").alias("tipo_evento"),
             F.date_add("data_concessao", F.col("etapa.dias")).alias("data_evento"),
-            from_cents(at_risk).alias("valor_em_risco"),
+            at_risk.alias("valor_em_risco"),
         )
     )

@@ -69,7 +69,7 @@ def book(request, spark):
 def spreading(request, monkeypatch):
     """With spreading on, every key with a hundredth of the rows counts as hot."""
     if request.param:
-        monkeypatch.setattr(gold, "hot_keys", lambda df, key: skew.hot_keys(df, key, min_rows=1))
+        monkeypatch.setattr(gold, "hot_keys", lambda df, key: skew.hot_keys(df, key, share=0.01, min_rows=1))
     return request.param
 
 
@@ -92,7 +92,8 @@ def test_alerta(spark, book, spreading):
 def test_hot_keys_are_found_by_share(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
     assert skew.hot_keys(df, "k", share=0.1, min_rows=100) == [7]
-    assert skew.hot_keys(df, "k") == []
+    assert skew.hot_keys(df, "k") == []  # too small to matter
+    assert skew.hot_keys(df, "k", min_rows=1) == [7]  # a third is more than two of eight partitions
     assert skew.hot_keys(df.where("k < 0"), "k") == []
 
 
@@ -100,7 +101,7 @@ def test_hot_keys_are_found_by_share(spark):
 def test_join_spread_equals_join_and_spreads(spark, how):
     left = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(0, 2000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    hot = skew.hot_keys(left, "k", min_rows=1)
+    hot = skew.hot_keys(left, "k", share=0.01, min_rows=1)
     same(skew.join_spread(left, right, "k", how, hot, slices=5), left.join(right, "k", how))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

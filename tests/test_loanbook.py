@@ -64,10 +64,12 @@ def test_score_limitado(spark):
 
 
 def test_probabilities(spark):
-    df = spark.createDataFrame([(0, 300), (1, 690), (2, 850), (3, None)], "i int, s long")
+    rows = [(0, 300), (1, 690), (2, 850), (3, None), (4, -(2**63))]
+    df = spark.createDataFrame(rows, "i int, s long")
     default, late = loanbook.prob_inadimplencia(F.col("s")), loanbook.prob_atraso(F.col("s"))
     got = [tuple(r) for r in df.orderBy("i").select(default, late).collect()]
-    assert got == [(0.4, 0.5), (0.02, 0.05), (0.02, 0.05), (None, None)]
+    assert got[:4] == [(0.4, 0.5), (0.02, 0.05), (0.02, 0.05), (None, None)]
+    assert got[4][0] == pytest.approx(9.223372036854776e15)
 
 
 def test_politica_preco(loans, clients):
@@ -173,3 +175,28 @@ def test_escada_eventos(loans):
     rows = loanbook.escada_eventos(loans).collect()
     assert len(rows) == len(expected)
     assert {tuple(row) for row in rows} == expected
+
+
+def test_junk_amounts(spark):
+    """Amounts beyond integer cents are calculated in doubles, and none is lost or fails."""
+    day = dt.date(2024, 1, 1)
+    amounts = [1e20, float("inf"), -50.0, 250.0, None]
+    rows = [(str(i), "1", v, 10, 2.0, day, "INADIMPLENTE", 1.0) for i, v in enumerate(amounts)]
+    rows += [("n", "1", 100.0, 2**62, 2.0, day, "INADIMPLENTE", 1.0), ("t", "1", 100.0, 10, 1e18, day, "ATIVO", 1.0)]
+    df = spark.createDataFrame(rows, LOAN)
+    quotes = {row.emprestimo_id: row.parcela_cotada for row in loanbook.cotacao_parcela(df).collect()}
+    assert (quotes["1"], quotes["2"], quotes["3"], quotes["4"]) == (float("inf"), -5.1, 25.5, None)
+    assert quotes["0"] == pytest.approx(1.02e19) and quotes["n"] == 0.0 and quotes["t"] == pytest.approx(1e17)
+    ladder = loanbook.escada_eventos(df.where("emprestimo_id = '0'")).collect()
+    assert [row.valor_em_risco for row in ladder] == pytest.approx([1e20, 8e19, 6e19, 4e19])
+    clients = spark.createDataFrame([("1", 300, "ALTO")], "cliente_id string, score_credito long, faixa_risco string")
+    finite = df.where("emprestimo_id in ('0', '3')")
+    row = loanbook.perda_esperada(finite, clients).first()
+    assert (row.total_emprestimos, row.valor_total) == (2, 1e20 + 250)
+    assert row.perda_esperada == pytest.approx(4e19)
+    late = day + dt.timedelta(5)
+    paid = spark.createDataFrame(
+        [("1", 1, day, late, 1e20)],
+        "emprestimo_id string, parcela_num int, data_vencimento date, data_pagamento date, valor_devido double",
+    )
+    assert loanbook.multa_atraso(paid).first().valor_apurado == pytest.approx(1.02e20)
