@@ -116,7 +116,7 @@ def cronograma_parcelas(emprestimos: DataFrame, as_of: str) -> DataFrame:
     elapsed = F.datediff(F.lit(as_of).cast("date"), F.col("data_concessao"))
     due = F.least(F.col("num_parcelas"), F.floor(elapsed / float(INSTALMENT_DAYS))).cast("int")
     return (
-        emprestimos.dropna(subset=["num_parcelas", "data_concessao"])  # least skips NULL
+        emprestimos.where("num_parcelas is not null and data_concessao is not null")  # least skips NULL
         .select("emprestimo_id", "cliente_id", "data_concessao", "valor_parcela", due.alias("_due"))
         .where(F.col("_due") >= 1)  # sequence counts down when its end is below its start
         .withColumn("parcela_num", F.explode(F.sequence(F.lit(1), F.col("_due"))))

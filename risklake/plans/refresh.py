@@ -1,5 +1,6 @@
 """Full refresh of all layers from raw files."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -35,6 +36,14 @@ def _store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _publish(path: str, tables: dict[str, DataFrame]) -> Refresh:
+    """Derive the views and point all names to these tables."""
+    views = gold.views(*[tables[f"silver_{entity}"] for entity in SOURCES])
+    for name, df in {**tables, **views}.items():
+        df.createOrReplaceTempView(name)
+    return Refresh(path, tables, views, count_rows(tables))
+
+
 def refresh(spark: SparkSession, source: str, target: str, version: str | None = None) -> Refresh:
     """Read the raw files below ``source`` and write both table layers below ``target``/``version``.
 
@@ -45,18 +54,24 @@ def refresh(spark: SparkSession, source: str, target: str, version: str | None =
     version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     path = f"{target.rstrip('/')}/{version}"
 
-    tables = {}
-    for origin in SOURCES.values():
+    def load(entity: str) -> tuple[DataFrame, DataFrame]:
+        origin = SOURCES[entity]
         raw = read_raw(spark, f"{source.rstrip('/')}/{origin.file}", origin)
-        tables[origin.table] = _store(raw.withColumn("_ingestao", F.current_timestamp()), f"{path}/{origin.table}")
-    for entity, clean in silver.TABLES.items():
-        table = f"silver_{entity}"
-        tables[table] = _store(clean(tables[SOURCES[entity].table]), f"{path}/{table}")
+        bronze = _store(raw.withColumn("_ingestao", F.current_timestamp()), f"{path}/{origin.table}")
+        return bronze, _store(silver.TABLES[entity](bronze), f"{path}/silver_{entity}")
 
-    views = gold.views(*[tables[f"silver_{entity}"] for entity in silver.TABLES])
-    for name, df in {**tables, **views}.items():
-        df.createOrReplaceTempView(name)
-    return Refresh(path, tables, views, count_rows(tables))
+    # the entities do not depend on each other: the tail of one table runs beside the next
+    with ThreadPoolExecutor(len(SOURCES)) as pool:
+        loaded = dict(zip(SOURCES, pool.map(load, SOURCES)))
+    tables = {SOURCES[entity].table: bronze for entity, (bronze, _) in loaded.items()}
+    tables |= {f"silver_{entity}": clean for entity, (_, clean) in loaded.items()}
+    return _publish(path, tables)
+
+
+def reopen(spark: SparkSession, path: str) -> Refresh:
+    """The version that an earlier refresh wrote to ``path``, with all names pointed to it."""
+    names = [origin.table for origin in SOURCES.values()] + [f"silver_{entity}" for entity in SOURCES]
+    return _publish(path, {name: spark.read.parquet(f"{path}/{name}") for name in names})
 
 
 def export_views(result: Refresh) -> dict[str, DataFrame]:

@@ -6,7 +6,7 @@ import pytest
 
 from golden import write_files
 from risklake.plans import gold
-from risklake.plans.refresh import export_views, refresh
+from risklake.plans.refresh import export_views, refresh, reopen
 
 
 @pytest.fixture(scope="module")
@@ -159,6 +159,15 @@ def test_refreshing_again_gives_the_same(spark, tmp_path, book):
         assert sorted(map(repr, rows(df.drop("_ingestao")))) == sorted(map(repr, rows(other.drop("_ingestao")))), name
 
 
+def test_a_written_version_reopens(spark, book):
+    again = reopen(spark, book.path)
+    for name, df in {**book.tables, **book.views}.items():
+        other = {**again.tables, **again.views}[name]
+        assert df.columns == other.columns
+        assert sorted(map(repr, rows(df))) == sorted(map(repr, rows(other))), name
+    assert sorted(rows(again.audit)) == sorted(rows(book.audit))
+
+
 def test_failed_refresh_leaves_names_alone(spark, tmp_path, book):
     source = write_files(tmp_path)
     (tmp_path / "pagamentos.csv").write_text("pagamento_id;outra\n1;2\n")
