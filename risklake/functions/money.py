@@ -7,6 +7,8 @@ Products of money that are rounded to cents go through integer cents.
 
 from pyspark.sql import Column, functions as F
 
+from risklake.functions.parse import LONG_MAX
+
 
 def _fits(amount: Column) -> Column:
     return F.abs(amount) < F.lit(1e11)
@@ -28,6 +30,12 @@ def total(exact_sum: Column, beyond_sum: Column) -> Column:
     return F.when(beyond_sum.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + beyond_sum)
 
 
+def count_of(product: Column) -> Column:
+    """Count from a product of counts, made as a decimal: it may pass the long range, where it is held."""
+    limit = F.lit(LONG_MAX)
+    return F.when(product <= limit, product.cast("long")).when(product > limit, limit)
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part`` as a percentage of ``whole``, rounded half up; NULL for a zero whole."""
     return F.round(part.cast("double") * 100.0 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)

@@ -10,7 +10,7 @@ hot clients, and is found if not given).
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from risklake.functions.bands import ACTIVE, DEFAULTED, delay_points
-from risklake.functions.money import beyond, exact, percent, total
+from risklake.functions.money import beyond, count_of, exact, percent, total
 from risklake.operators.rank import global_rank
 from risklake.operators.skew import hot_keys, join_spread
 from risklake.operators.stage import stage
@@ -19,8 +19,15 @@ PROFILE = ["cliente_id", "nome", "score_credito", "faixa_risco", "estado"]
 
 
 def _folded(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per distinct ``keys`` with the number of rows it stands for."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copias"))
+    """One row per distinct ``keys`` with the number of rows it stands for.
+
+    The number is a decimal, as it gets multiplied: a hot key of one table times a hot key of another passes a long.
+    """
+    return df.groupBy(*keys).agg(_rows().alias("copias"))
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1)).cast("decimal(20,0)")
 
 
 def _hot_clients(clientes: DataFrame, hot: list | None) -> list:
@@ -113,7 +120,7 @@ def exposicao(
     loans = (
         emprestimos.groupBy("cliente_id")
         .agg(
-            F.count(F.lit(1)).alias("linhas_emprestimo"),
+            _rows().alias("linhas_emprestimo"),
             F.count("emprestimo_id").alias("emprestimos"),
             F.sum(exact(amount)).alias("emprestado"),
             F.sum(beyond(amount)).alias("emprestado_alem"),
@@ -123,7 +130,7 @@ def exposicao(
         .where(total(F.col("inadimplente"), F.col("inadimplente_alem")) > 0)
     )
     events = eventos.groupBy("cliente_id").agg(
-        F.count(F.lit(1)).alias("linhas_evento"),
+        _rows().alias("linhas_evento"),
         F.count("evento_id").alias("eventos"),
         F.max("severidade").alias("maior_severidade"),
     )
@@ -131,16 +138,15 @@ def exposicao(
     profiles = _folded(clientes, *PROFILE)
     joined = join_spread(profiles, per_client, "cliente_id", hot=_hot_clients(clientes, hot))
 
-    one = F.lit(1).cast("long")
-    copies = F.col("copias") if fan_out else one
-    per_loan = copies * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
-    per_event = copies * F.col("linhas_emprestimo") if fan_out else one
+    one = F.lit(1).cast("decimal(20,0)")
+    per_loan = F.col("copias") * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
+    per_event = F.col("copias") * F.col("linhas_emprestimo") if fan_out else one
     return joined.select(
         *PROFILE,
-        (F.col("emprestimos") * per_loan).alias("total_emprestimos"),
+        count_of(F.col("emprestimos") * per_loan).alias("total_emprestimos"),
         total(F.col("emprestado") * per_loan, F.col("emprestado_alem") * per_loan).alias("valor_total_emprestado"),
         total(F.col("inadimplente") * per_loan, F.col("inadimplente_alem") * per_loan).alias("valor_inadimplente"),
-        (F.coalesce(F.col("eventos"), F.lit(0).cast("long")) * per_event).alias("total_eventos_risco"),
+        count_of(F.coalesce(F.col("eventos"), F.lit(0)) * per_event).alias("total_eventos_risco"),
         "maior_severidade",
     )
 
@@ -166,7 +172,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     """
     rate, amount = F.col("taxa_juros"), F.col("valor_emprestado")
     loans = emprestimos.groupBy("cliente_id").agg(
-        F.count(F.lit(1)).alias("linhas"),
+        _rows().alias("linhas"),
         F.count(rate).alias("taxas"),
         F.sum(exact(rate)).alias("taxa"),
         F.sum(beyond(rate)).alias("taxa_alem"),
@@ -182,8 +188,8 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
         .groupBy("faixa_risco", "cliente_id")
         .agg(
             F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
-            F.sum(exact(score) * copies * F.col("linhas")).alias("escore"),
-            F.sum(beyond(score) * copies * F.col("linhas")).alias("escore_alem"),
+            F.sum(exact(score) * (copies * F.col("linhas"))).alias("escore"),
+            F.sum(beyond(score) * (copies * F.col("linhas"))).alias("escore_alem"),
             *[F.sum(F.col(name) * copies).alias(name) for name in weighed],
         )
     )
@@ -194,7 +200,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     )
 
     def mean(part: str, count: str) -> Column:
-        return total(F.sum(part), F.sum(f"{part}_alem")) / F.sum(count)
+        return total(F.sum(part), F.sum(f"{part}_alem")) / F.sum(count).cast("double")
 
     return (
         per_client.unionByName(per_loan, allowMissingColumns=True)
@@ -230,7 +236,7 @@ def alerta_risco_iminente(
     active = F.col("status") == ACTIVE
     amount = F.when(active, F.col("valor_emprestado"))
     loans = emprestimos.groupBy("emprestimo_id", "cliente_id").agg(
-        F.count(F.lit(1)).alias("copias"),
+        _rows().alias("copias"),
         F.count(F.when(active, 1)).alias("ativos"),
         F.sum(exact(amount)).alias("exposto"),
         F.sum(beyond(amount)).alias("exposto_alem"),
@@ -239,29 +245,29 @@ def alerta_risco_iminente(
         join_spread(loans, late, "emprestimo_id", "left", hot=hot_keys(emprestimos, "emprestimo_id"))
         .groupBy("cliente_id")
         .agg(
-            F.sum(F.col("copias") * F.col("atrasos")).alias("qtd_atrasos"),
+            F.sum(F.col("copias") * F.col("atrasos")).alias("atrasos"),
             F.max("maior").alias("maior_atraso"),
             F.sum(F.col("copias") * F.col("dias")).alias("dias"),
             F.sum("ativos").alias("ativos"),
             F.sum("exposto").alias("exposto"),
             F.sum("exposto_alem").alias("exposto_alem"),
         )
-        .where((F.col("qtd_atrasos") > 0) & (F.col("ativos") > 0))
+        .where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
     )
     profiles = _folded(clientes, *PROFILE)
     joined = join_spread(profiles, history, "cliente_id", hot=_hot_clients(clientes, hot))
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (
-        F.col("qtd_atrasos") * 10
+        count_of(F.col("atrasos")).cast("double") * 10.0
         + delay_points(F.col("maior_atraso"))
         + (F.lit(850.0) - F.col("score_credito").cast("double")) / 20.0
     )
     return joined.select(
         *PROFILE,
-        "qtd_atrasos",
+        count_of(F.col("atrasos")).alias("qtd_atrasos"),
         "maior_atraso",
-        F.round(F.col("dias").cast("double") / F.col("qtd_atrasos"), 1).alias("media_atraso"),
+        F.round(F.col("dias").cast("double") / F.col("atrasos").cast("double"), 1).alias("media_atraso"),
         total(F.col("exposto") * copies, F.col("exposto_alem") * copies).alias("exposicao_total"),
         F.round(composite, 1).alias("score_risco_composto"),
     ).orderBy(F.desc_nulls_last("score_risco_composto"), "cliente_id")

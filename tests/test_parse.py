@@ -91,3 +91,9 @@ def test_rounding_and_ratios(spark):
     assert [r[0] for r in results(ties, F.round("v", 2))] == [2.68, 1.01, 8.35, -2.5]
     quotients = spark.createDataFrame([(0, 5, 10), (1, 4, 10), (2, 15, 10), (3, 1, 0)], "i int, n long, d long")
     assert [r[0] for r in results(quotients, money.half_up(F.col("n"), F.col("d")))] == [1, 0, 2, None]
+
+
+def test_counts_past_the_long_range_are_held(spark):
+    df = spark.createDataFrame([(0, 3, 4), (1, 10**12, 10**12), (2, None, 2)], "i int, a long, b long")
+    product = F.col("a").cast("decimal(20,0)") * F.col("b")
+    assert [r[0] for r in results(df, money.count_of(product))] == [12, 2**63 - 1, None]
