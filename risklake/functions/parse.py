@@ -13,7 +13,8 @@ REAL_PREFIX = rf"^{_BLANK}([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?
 DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MOMENT = (
     r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[ \t\n\x0B\f\rT]*"
-    rf"(?:([0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:\.[0-9]+)?)?){_BLANK}([zZ]|[+-][0-9]{{2}}:[0-9]{{2}})?)?{_BLANK}$"
+    rf"(?:([0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:\.[0-9]+)?)?){_BLANK}"
+    rf"([zZ]|[+-](?:0[0-9]|1[0-4]):[0-5][0-9])?)?{_BLANK}$"
 )
 
 # 64-bit integer range, milliseconds in a day, Julian date of 1970-01-01 in milliseconds.
