@@ -45,13 +45,20 @@ def _if_defaulted(amount: Column) -> Column:
 
 def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     """Default rate and amount at risk by state of the client."""
-    risk, copies = _if_defaulted(F.col("valor_emprestado")), F.col("copias")
+    # flags are smaller to shuffle than statuses
+    loans = emprestimos.select(
+        "emprestimo_id",
+        "cliente_id",
+        _defaulted().alias("inadimplente"),
+        _if_defaulted(F.col("valor_emprestado")).alias("risco"),
+    )
+    risk, copies = F.col("risco"), F.col("copias")
     # one row per state and loan makes the distinct counts plain counts: no Expand, no hot state
     per_loan = (
-        emprestimos.join(_folded(clientes, "cliente_id", "estado"), "cliente_id")
+        loans.join(_folded(clientes, "cliente_id", "estado"), "cliente_id")
         .groupBy("estado", "emprestimo_id")
         .agg(
-            F.max(_defaulted()).alias("inadimplente"),
+            F.max("inadimplente").alias("inadimplente"),
             F.sum(exact(risk) * copies).alias("valor"),
             F.sum(beyond(risk) * copies).alias("valor_alem"),
         )
@@ -194,9 +201,10 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
         )
     )
     per_loan = (
-        emprestimos.join(clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
+        emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
+        .join(clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
         .groupBy("faixa_risco", "emprestimo_id")
-        .agg(F.max(_defaulted()).alias("inadimplente"))
+        .agg(F.max("inadimplente").alias("inadimplente"))
     )
 
     def mean(part: str, count: str) -> Column:
