@@ -5,19 +5,24 @@ from math import inf, isfinite
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from risklake.operators.skew import hot_keys, join_spread
+
 NULL_BUCKET = -1
 
 
-def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None) -> DataFrame:
+def global_rank(
+    df: DataFrame, value: str, rank: str, buckets: int | None = None, hot: list | None = None
+) -> DataFrame:
     """Add ``rank`` = ``RANK() OVER (ORDER BY value DESC)`` as a long; NULL values come last.
 
     A window without a partition key would sort everything in a single task. Here the rows are first counted per
     distinct value, which folds ties however many rows share them; the distinct values are cut into ranges of about
     equal size; each range is ranked on its own; and the rows in higher ranges are added from a table of one row per
-    range. The cut points only steer the load: any cut gives the same ranks.
+    range. The cut points only steer the load: any cut gives the same ranks. Values that many rows share (``hot``,
+    found if not given) are spread in the join that brings the ranks back to the rows.
 
-    ``df`` is read several times, so pass a stored table (see ``stage``). The cut points are computed at once, the
-    rest is lazy.
+    ``df`` is read several times, so pass a stored table (see ``stage``). Cut points and hot values are computed at
+    once, the rest is lazy.
     """
     buckets = max(buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_x", F.col(value).cast("double"))
@@ -40,6 +45,13 @@ def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None
     ranks = (
         ranges.select(value, "_bucket", prior.alias("_prior"))
         .join(F.broadcast(offsets), "_bucket", "left")
-        .select(F.col(value).alias("_value"), (F.col("_offset") + F.col("_prior") + 1).cast("long").alias(rank))
+        .withColumn(rank, (F.col("_offset") + F.col("_prior") + 1).cast("long"))
     )
-    return df.join(ranks, df[value].eqNullSafe(F.col("_value"))).drop("_value")
+    # NULL joins NULL
+    key = {
+        "_value": F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)),
+        "_null": F.col(value).isNull(),
+    }
+    rows = df.withColumns(key)
+    hot = hot_keys(rows, "_value") if hot is None else hot
+    return join_spread(rows, ranks.withColumns(key).select(*key, rank), list(key), hot=hot).drop(*key)

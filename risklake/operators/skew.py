@@ -25,21 +25,27 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None, min_rows: int
 
 
 def join_spread(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot: list = (), slices: int | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: str | list[str],
+    how: str = "inner",
+    hot: list = (),
+    slices: int | None = None,
 ) -> DataFrame:
-    """Equi-join on ``key`` with the ``hot`` keys of ``rows`` cut into ``slices``.
+    """Equi-join with the ``hot`` values of the first key cut into ``slices``.
 
-    ``lookup`` should hold few rows per key; its rows for hot keys are copied to each slice. ``how`` is inner or left.
+    ``lookup`` should hold few rows per key; its rows for hot values are copied to each slice. ``how`` is inner or left.
     Adaptive execution splits skewed joins by itself only when both sides come straight from a shuffle; this is for
     a lookup that was grouped by the join key. The slice is a hash of the row, so a retried task repeats it.
     """
+    keys = [keys] if isinstance(keys, str) else keys
     if not hot:
-        return rows.join(lookup, key, how)
+        return rows.join(lookup, keys, how)
     slices = slices or _partitions(rows)
-    is_hot = F.col(key).isin(list(hot))
+    is_hot = F.col(keys[0]).isin(list(hot))
     zero, last = F.lit(0).cast("long"), F.lit(slices - 1).cast("long")
     by_row = F.pmod(F.xxhash64(*rows.columns), F.lit(slices).cast("long"))
     sliced = rows.withColumn("_slice", F.when(is_hot, by_row).otherwise(zero))
     copies = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
     copied = lookup.withColumn("_slice", F.explode(copies))
-    return sliced.join(copied, [key, "_slice"], how).drop("_slice")
+    return sliced.join(copied, [*keys, "_slice"], how).drop("_slice")

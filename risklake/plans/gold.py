@@ -167,7 +167,7 @@ def ranking_risco_clientes(
     return (
         global_rank(rows, "valor_inadimplente", "ranking_exposicao")
         .withColumn("pct_inadimplente", share)
-        .orderBy("ranking_exposicao", "cliente_id")
+        .orderBy("ranking_exposicao", *PROFILE)  # all of it, so that the rows of one client can be split
     )
 
 
@@ -278,7 +278,7 @@ def alerta_risco_iminente(
         F.round(F.col("dias").cast("double") / F.col("atrasos").cast("double"), 1).alias("media_atraso"),
         total(F.col("exposto") * copies, F.col("exposto_alem") * copies).alias("exposicao_total"),
         F.round(composite, 1).alias("score_risco_composto"),
-    ).orderBy(F.desc_nulls_last("score_risco_composto"), "cliente_id")
+    ).orderBy(F.desc_nulls_last("score_risco_composto"), *PROFILE)
 
 
 def preview_estados(por_estado: DataFrame, rows: int = 5) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from risklake.operators.rank import global_rank
+from risklake.operators.skew import hot_keys
 
 
 def expected(df, value):
@@ -15,7 +16,8 @@ def same(left, right):
     assert sorted(map(repr, left.select(columns).collect())) == sorted(map(repr, right.select(columns).collect()))
 
 
-@pytest.mark.parametrize("buckets", [2, 8, 50])
+@pytest.mark.parametrize("spread", [False, True])
+@pytest.mark.parametrize("buckets", [2, 50])
 @pytest.mark.parametrize(
     "value",
     [
@@ -24,12 +26,15 @@ def same(left, right):
         "case when id % 5 = 0 then null else id end",  # NULLs
         "7L",  # a single value
         "-id",
+        "case when id % 4 = 0 then cast('NaN' as double) when id % 4 = 1 then cast('Infinity' as double) "
+        "when id % 4 = 2 then -0.0D else id - 10000D end",
     ],
 )
-def test_rank(spark, tmp_path, value, buckets):
+def test_rank(spark, tmp_path, value, buckets, spread):
     spark.range(20000).selectExpr("id", f"{value} as v").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    same(global_rank(df, "v", "r", buckets), expected(df, "v"))
+    hot = hot_keys(df.select(F.coalesce("v", F.lit(0)).alias("v")), "v", 0.001, 1) if spread else []
+    same(global_rank(df, "v", "r", buckets, hot), expected(df, "v"))
 
 
 def test_rank_of_nothing_and_of_nulls(spark):
