@@ -2,9 +2,8 @@
 
 Cleaned tables are not deduplicated, and a view counts a row once for each row it joins to. Before a join at least one
 side is folded to one row per key that carries how many rows it stands for, so copies and hot keys shrink in the
-map-side combine before a shuffle, and no join emits all pairs of a key. Where a hot key can still reach a join, either
-both sides come straight from a shuffle, where adaptive execution splits it, or the join is spread (``hot`` holds the
-hot clients, and is found if not given).
+map-side combine before a shuffle, and no join emits all pairs of a key. The rows of hot clients and loans are spread in
+the joins they reach (``hot`` holds the hot clients, and is found if not given).
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -30,8 +29,9 @@ def _rows() -> Column:
     return F.count(F.lit(1)).cast("decimal(20,0)")
 
 
-def _hot_clients(clientes: DataFrame, hot: list | None) -> list:
-    return hot_keys(clientes, "cliente_id") if hot is None else hot
+def hot_clients(clientes: DataFrame, emprestimos: DataFrame) -> list:
+    """Clients with a large share of the client and loan rows."""
+    return hot_keys(clientes.select("cliente_id").unionAll(emprestimos.select("cliente_id")), "cliente_id")
 
 
 def _defaulted() -> Column:
@@ -43,8 +43,11 @@ def _if_defaulted(amount: Column) -> Column:
     return F.when(_defaulted(), amount).otherwise(F.lit(0.0))
 
 
-def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
+def inadimplencia_por_estado(
+    emprestimos: DataFrame, clientes: DataFrame, hot: list | None = None
+) -> DataFrame:
     """Default rate and amount at risk by state of the client."""
+    hot = hot_clients(clientes, emprestimos) if hot is None else hot
     # flags are smaller to shuffle than statuses
     loans = emprestimos.select(
         "emprestimo_id",
@@ -55,7 +58,7 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
     risk, copies = F.col("risco"), F.col("copias")
     # one row per state and loan makes the distinct counts plain counts: no Expand, no hot state
     per_loan = (
-        loans.join(_folded(clientes, "cliente_id", "estado"), "cliente_id")
+        join_spread(loans, _folded(clientes, "cliente_id", "estado"), "cliente_id", hot=hot)
         .groupBy("estado", "emprestimo_id")
         .agg(
             F.max("inadimplente").alias("inadimplente"),
@@ -143,7 +146,8 @@ def exposicao(
     )
     per_client = loans.join(events, "cliente_id", "left")
     profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, per_client, "cliente_id", hot=_hot_clients(clientes, hot))
+    hot = hot_clients(clientes, emprestimos) if hot is None else hot
+    joined = join_spread(profiles, per_client, "cliente_id", hot=hot)
 
     one = F.lit(1).cast("decimal(20,0)")
     per_loan = F.col("copias") * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
@@ -177,6 +181,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     Averages and clients are counted on loans folded per client; distinct loans are counted per band and loan. Both
     go into one aggregate per band, without the row copies of several distinct counts in one.
     """
+    hot = hot_clients(clientes, emprestimos) if hot is None else hot
     rate, amount = F.col("taxa_juros"), F.col("valor_emprestado")
     loans = emprestimos.groupBy("cliente_id").agg(
         _rows().alias("linhas"),
@@ -191,7 +196,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     copies, score = F.col("copias"), F.col("score_credito").cast("double")
     weighed = ["taxas", "taxa", "taxa_alem", "valores", "valor", "valor_alem"]
     per_client = (
-        join_spread(bands, loans, "cliente_id", hot=_hot_clients(clientes, hot))
+        join_spread(bands, loans, "cliente_id", hot=hot)
         .groupBy("faixa_risco", "cliente_id")
         .agg(
             F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
@@ -200,9 +205,9 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
             *[F.sum(F.col(name) * copies).alias(name) for name in weighed],
         )
     )
+    flags = emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
     per_loan = (
-        emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
-        .join(clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
+        join_spread(flags, clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id", hot=hot)
         .groupBy("faixa_risco", "emprestimo_id")
         .agg(F.max("inadimplente").alias("inadimplente"))
     )
@@ -263,7 +268,8 @@ def alerta_risco_iminente(
         .where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
     )
     profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, history, "cliente_id", hot=_hot_clients(clientes, hot))
+    hot = hot_clients(clientes, emprestimos) if hot is None else hot
+    joined = join_spread(profiles, history, "cliente_id", hot=hot)
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (
@@ -294,9 +300,9 @@ def preview_score(por_score: DataFrame) -> DataFrame:
 
 def views(clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, eventos: DataFrame) -> dict:
     """The five views by name."""
-    hot = hot_keys(clientes, "cliente_id")
+    hot = hot_clients(clientes, emprestimos)
     return {
-        "gold_inadimplencia_por_estado": inadimplencia_por_estado(emprestimos, clientes),
+        "gold_inadimplencia_por_estado": inadimplencia_por_estado(emprestimos, clientes, hot),
         "gold_evolucao_inadimplencia": evolucao_inadimplencia(emprestimos),
         "gold_ranking_risco_clientes": ranking_risco_clientes(clientes, emprestimos, eventos, hot=hot),
         "gold_risco_por_score": risco_por_score(clientes, emprestimos, hot),

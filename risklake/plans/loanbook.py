@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from risklake.functions.bands import DEFAULTED
 from risklake.functions.money import beyond, cents, exact, from_cents, half_up, in_cents, total
+from risklake.operators.skew import hot_keys, join_spread
 
 # Score range; lowest score, rate range and amount range of each price band; probability floors in
 # thousandths of 700 - score; days between instalments; late fee; stages of the default ladder with days after
@@ -52,7 +53,8 @@ def probabilidades_risco(clientes: DataFrame) -> DataFrame:
 
 def _with_score(emprestimos: DataFrame, clientes: DataFrame, *columns: str) -> DataFrame:
     """Loans with columns of their client; copies of a client count once."""
-    return emprestimos.join(clientes.select("cliente_id", *columns).distinct(), "cliente_id")
+    profiles = clientes.select("cliente_id", *columns).distinct()
+    return join_spread(emprestimos, profiles, "cliente_id", hot=hot_keys(emprestimos, "cliente_id"))
 
 
 def politica_preco(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
@@ -64,7 +66,8 @@ def politica_preco(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
             chain = chain.when(F.col("score_credito") >= low, ~value.between(*ranges[position]))
         return chain.otherwise(~value.between(*PRICE_REST[position]))
 
-    return _with_score(emprestimos, clientes, "score_credito").select(
+    loans = emprestimos.select("emprestimo_id", "cliente_id", "taxa_juros", "valor_emprestado")
+    return _with_score(loans, clientes, "score_credito").select(
         "emprestimo_id",
         "cliente_id",
         "score_credito",
@@ -98,7 +101,12 @@ def perda_esperada(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     weight = _excess(F.col("score_credito"), DEFAULT_FLOOR)
     loss = total(F.sum(exact(amount) * weight), F.sum(beyond(amount) * weight.cast("double")))
     return (
-        _with_score(emprestimos, clientes, "score_credito", "faixa_risco")
+        _with_score(
+            emprestimos.select("emprestimo_id", "cliente_id", "valor_emprestado"),
+            clientes,
+            "score_credito",
+            "faixa_risco",
+        )
         .groupBy("faixa_risco")
         .agg(
             F.count(F.lit(1)).alias("total_emprestimos"),

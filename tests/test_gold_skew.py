@@ -73,7 +73,7 @@ def spreading(request, monkeypatch):
     return request.param
 
 
-def test_por_estado(spark, book):
+def test_por_estado(spark, book, spreading):
     same(gold.inadimplencia_por_estado(book["l"], book["c"]), naive.por_estado(spark))
 
 
@@ -81,7 +81,7 @@ def test_ranking(spark, book, spreading):
     same(gold.ranking_risco_clientes(book["c"], book["l"], book["v"]), naive.ranking(spark))
 
 
-def test_por_score(spark, book):
+def test_por_score(spark, book, spreading):
     same(gold.risco_por_score(book["c"], book["l"]), naive.por_score(spark))
 
 
