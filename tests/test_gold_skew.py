@@ -128,7 +128,8 @@ def test_junk_amounts_do_not_stop_the_views(spark):
     assert got.keys() == expected.keys()
     for state, value in expected.items():
         assert got[state] == pytest.approx(value, rel=1e-12), state
-    assert gold.evolucao_inadimplencia(tables["l"].withColumn("data_concessao", F.lit("2024-01-01").cast("date"))).count()
+    dated = tables["l"].withColumn("data_concessao", F.lit("2024-01-01").cast("date"))
+    assert gold.evolucao_inadimplencia(dated).count() == 1
     assert gold.risco_por_score(tables["c"], tables["l"]).count() == 3
     assert gold.ranking_risco_clientes(tables["c"], tables["l"], tables["v"]).where("ranking_exposicao = 1").count()
     junk_score = tables["c"].withColumn("score_credito", F.lit("-9223372036854775808").cast("long"))

@@ -147,10 +147,8 @@ def test_cronograma_of_odd_counts(spark):
 def test_multa_atraso(spark):
     r = random.Random(7)
     day = dt.date(2024, 1, 1)
-    rows = [
-        (str(i), 1, day, r.choice([None, day, day + dt.timedelta(1), day - dt.timedelta(1)]), r.randrange(1, 99999) / 100)
-        for i in range(400)
-    ]
+    paid = [None, day, day + dt.timedelta(1), day - dt.timedelta(1)]
+    rows = [(str(i), 1, day, r.choice(paid), r.randrange(1, 99999) / 100) for i in range(400)]
     df = spark.createDataFrame(
         rows,
         "emprestimo_id string, parcela_num int, data_vencimento date, data_pagamento date, valor_devido double",

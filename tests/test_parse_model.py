@@ -113,7 +113,8 @@ def test_random_moments(spark):
     r = random.Random(12)
     days = ["2024-02-29", "2023-02-29", "1999-12-31", "2021-06-15", "2021-6-15", "2021-00-10", "1960-01-01"]
     gaps = ["", " ", "T", "  ", " T", "t", "\t"]
-    clocks = ["", "10:30", "23:59", "24:00", "10:60", "1:30", "00:00:00", "12:34:56", "12:34:56.789", "12:34:5", "9", "12:34:61"]
+    clocks = ["", "10:30", "23:59", "24:00", "10:60", "1:30", "9"]
+    clocks += ["00:00:00", "12:34:56", "12:34:56.789", "12:34:5", "12:34:61"]
     zones = ["", "Z", "z", " Z", "+02:00", "-03:30", " -11:00", "+2:00", "UTC", "+14:00", "+15:00", "-18:00"]
     ends = ["", " ", "\n", "x"]
     pick = [days, gaps, clocks, zones, ends]

@@ -1,4 +1,4 @@
-"""The plans that large books depend on: no shuffle in cleaning, pruned and pushed scans, no products, split hot keys."""
+"""The plans that large books depend on: cleaning without shuffles, pruned scans, no products, split hot keys."""
 
 import contextlib
 import io
