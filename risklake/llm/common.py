@@ -1,5 +1,10 @@
 """Helpers shared by the operators: words, exact row positions, copies of one id."""
 
+import sys
+import types
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from risklake.operators.stage import stage
@@ -49,3 +54,11 @@ def positions(df: DataFrame, order: list[Column], name: str, at: str) -> DataFra
         .withColumn(at, F.col("_offset") + F.col("_in_range"))
         .drop("_range", "_in_range", "_offset")
     )
+
+
+def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept for all tasks of a Python worker: tables that are costly to load or to fill."""
+    kept = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -4,11 +4,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from risklake.llm import mixing, sharding
+from risklake.llm import mixing, repetition, sharding, token_counts, token_files
 from risklake.llm.common import n_words, table
 from risklake.operators.stage import stage, stage_path
 
 SHARDS = 40
+FILE_VOCABULARY, END_ID = "byte_bpe_50k.json", 2
+COUNT_VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return repetition.with_figures(docs, "text").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        repetition.base_failed().alias("base_failed"), repetition.kept().alias("kept"), "repeat_covered", "longest_repeat",
+    )
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    folder = stage_path(spark, "token-files")
+    index = token_files.write(docs, "doc_id", "text", folder, vocabulary(FILE_VOCABULARY), END_ID)
+    return token_files.read_back(index, folder)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = token_counts.with_tokens(docs, "text", vocabulary(COUNT_VOCABULARY))
+    return counted.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"),
+    )
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +65,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op3_token_files": op3_token_files,
+    "op7_token_counts": op7_token_counts,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
