@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from risklake.llm import mixing, repetition, sharding, token_counts, token_files
+from risklake.llm import decontamination, mixing, repetition, secrets, sharding, token_counts, token_files, url_filter
 from risklake.llm.common import n_words, table
 from risklake.operators.stage import stage, stage_path
 
@@ -34,6 +34,28 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(index, folder)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secrets.with_secrets(docs, "text", ["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+
+    def number(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("secrets")).alias("spans"),
+        number("random"),
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontamination.with_matches(docs, "text", table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.start", "m.end", "m.edits")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     counted = token_counts.with_tokens(docs, "text", vocabulary(COUNT_VOCABULARY))
@@ -64,10 +86,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    judged = url_filter.judge(pages, "url", url_filter.seed(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
+    "op5_secrets": op5_secrets,
+    "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
