@@ -22,10 +22,16 @@ from risklake.llm.common import per_worker
 LENGTH, BATCH_ROWS = 2048, 128
 INDEX = "file string, doc_id long, place long, n_tokens long"
 
-#: a text is cut before each blank that a non-blank follows, where no pre-token ever continues; texts with other blanks
-#: after a blank are cut by the pattern, which plain splitting can't tell apart
-_blanks = re.compile(r" \s")
+#: Texts are cut where no pre-token continues: before each blank that a non-blank follows, around a single line break, and
+#: before a full stop or comma after a letter or digit. Texts in which plain splitting can't tell such places from others are
+#: cut by a pattern at the blanks only.
+_LINE, _BARE = "\x01", "\x02"
+_ODD = (
+    r"[\x{01}\x{02}\x{0b}\x{0c}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \t\n\r][ \t\n\r]|(?:^|[^A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}])[.,]"
+)
 _cuts = re.compile(r" (?=\S)")
+_letters = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ſ]+")
 #: units given to the library in one text, units remembered by a worker, and bytes of text encoded together
 JOINED, REMEMBERED, CHUNK = 1000, 800_000, 8_000_000
 
@@ -50,18 +56,21 @@ class Encoder:
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self, units: list[str]) -> None:
-        """Encode units that follow a blank."""
+        """Encode units. Those of letters are one pre-token each, so many go into one text."""
+        plain = [u for u in units if _letters.fullmatch(u)]
+        other = [u for u in units if not _letters.fullmatch(u)]
         ids, sizes = [], []
-        for at in range(0, len(units), JOINED):
-            lot = units[at : at + JOINED]
-            begins = np.cumsum([0, *(len(u) + 1 for u in lot)])[:-1]
+        for at in range(0, len(plain), JOINED):
+            lot = plain[at : at + JOINED]
             encoded = self.library.encode(" " + " ".join(lot), add_special_tokens=False)
-            places = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(encoded.ids))
-            owner = np.searchsorted(begins, places, "right") - 1
             ids.append(np.array(encoded.ids, self.kind))
-            sizes.append(np.bincount(owner, minlength=len(lot)))
-        for unit in units:
-            self.known[unit] = len(self.known)
+            sizes.append(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(lot)))
+        texts = ["\n" if u == _LINE else u[1:] if u[:1] == _BARE else " " + u for u in other]
+        for encoded in self.library.encode_batch_fast(texts, add_special_tokens=False):
+            ids.append(np.array(encoded.ids, self.kind))
+            sizes.append([len(ids[-1])])
+        first = len(self.known)
+        self.known.update(zip(plain + other, range(first, first + len(units))))
         self.ids = np.concatenate([self.ids, *ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
 
@@ -76,13 +85,18 @@ class Encoder:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of ids of each."""
-        lists = pc.split_pattern(texts, " ")
-        odd = [i for i, text in enumerate(texts.to_pylist()) if _blanks.search(text)]
-        if odd:
-            cut = lists.to_pylist()
-            for i in odd:
-                cut[i] = _cuts.split(texts[i].as_py())
-            lists = pa.array(cut, pa.list_(pa.string()))
+        odd = pc.match_substring_regex(texts, _ODD)
+        cut = texts
+        for mark, put in (("\n", f" {_LINE} {_BARE}"), (".", f" {_BARE}."), (",", f" {_BARE},")):
+            cut = pc.replace_substring(cut, mark, put)
+        lists = pc.split_pattern(cut, " ")
+        if pc.any(odd).as_py():
+            # a text that has a mark itself is left whole: the first unit of a text is encoded as it is
+            cut = [
+                None if not o else [t] if _LINE in t or _BARE in t else _cuts.split(t)
+                for t, o in zip(texts.to_pylist(), odd.to_pylist())
+            ]
+            lists = pc.if_else(odd, pa.array(cut, lists.type), lists)
         offsets = lists.offsets.to_numpy()
         offsets, units = offsets - offsets[0], lists.flatten()
         coded = units.dictionary_encode()
