@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from risklake.llm import decontamination, mixing, repetition, secrets, sharding, token_counts, token_files, url_filter
+from risklake.llm import decontamination, mixing, near_dedup, repetition, secrets, sharding, token_counts, token_files, url_filter
 from risklake.llm.common import n_words, table
 from risklake.operators.stage import stage, stage_path
 
@@ -19,6 +19,11 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_dedup.near_duplicates(docs, "doc_id", "text", words=2, percent=80)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return repetition.with_figures(docs, "text").select(
@@ -93,6 +98,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op5_secrets": op5_secrets,
