@@ -13,9 +13,8 @@ def components(links: DataFrame) -> DataFrame:
     Every round is written, which cuts the lineage.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    edges = stage(edges, "links")
-    mark = _mark(edges)
-    while mark[0]:
+    mark = None
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -25,7 +25,7 @@ WORDS, PERCENT = 5, 80
 #: minwise functions; two bits of each make the sketch
 FUNCTIONS = 64
 #: depth of the first nodes, documents of a node that are compared exhaustively, and depth at which branching ends
-DEPTH, EXHAUSTIVE, MAX_DEPTH = 3, 24, 12
+DEPTH, EXHAUSTIVE, MAX_DEPTH = 3, 200, 10
 #: share of the pairs at the threshold that is to be found
 RECALL = 0.9999999
 _FACTORS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -167,109 +167,110 @@ def signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return stage(one, "signatures")
 
 
-def links(docs: DataFrame, key: str, text: str, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between documents with different sets, enough of them to connect all that are connected."""
-    spark, threshold = docs.sparkSession, percent / 100.0
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
+class _Links:
+    """Links found so far, and the components they make."""
+
+    def __init__(self, texts: DataFrame, reps: DataFrame, words: int, percent: int):
+        self.texts, self.reps, self.words, self.percent = texts, reps, words, percent
+        self.found: DataFrame | None = None
+        self.connected: DataFrame | None = None
+
+    def add(self, pairs: DataFrame) -> None:
+        """Confirm pairs (a, b) on the full sets, which are made anew for their documents only."""
+        if pairs.isEmpty():
+            return
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = self.reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
+        sets = self.texts.join(ids, "id", "left_semi").mapInArrow(_sets(self.words), "id long, d0 long, d1 long, tokens array<long>")
+        sets = stage(sets.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]), "sets")
+        new = stage(_confirm(pairs, sets, self.percent), "confirmed")
+        if not new.isEmpty():
+            self.found = new if self.found is None else self.found.unionByName(new)
+            self.connected = components(self.found)
+
+    def open(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that would connect something."""
+        if self.connected is None:
+            return pairs
+        a = self.connected.select(F.col("id").alias("a"), F.col("component").alias("_ca"))
+        b = self.connected.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
+        both = pairs.join(a, "a", "left").join(b, "b", "left")
+        return both.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b")
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """Add ``of``, the component of ``id``."""
+        if self.connected is None:
+            return rows.withColumn("of", F.col("id"))
+        return rows.join(self.connected, "id", "left").withColumn("of", F.coalesce("component", "id")).drop("component")
+
+
+def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, component) of the documents that are linked with others of different sets. Only links that connect something
+    are looked for: a pair that others connect already is not confirmed."""
+    threshold = percent / 100.0
     limit = bits_apart(threshold)
-    roots = F.transform(F.sequence(F.lit(1), F.lit(trees(threshold))), lambda t: F.xxhash64(t))
-    nodes = roots
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
+    known = _Links(texts, reps, words, percent)
+    nodes = F.transform(F.sequence(F.lit(1), F.lit(trees(threshold))), lambda t: F.xxhash64(t))
     for _ in range(DEPTH):
         nodes = _descend(nodes, F.col("tokens"), threshold)
     rows = stage(reps.select("id", "s0", "s1", F.explode(F.array_distinct(nodes)).alias("node")), "nodes")
-    found: DataFrame | None = None
-    connected: DataFrame | None = None
     for depth in range(DEPTH, MAX_DEPTH + 1):
         heads = rows.groupBy("node").agg(F.min(F.struct("id", "s0", "s1")).alias("head"), F.count(F.lit(1)).alias("n"))
         members = stage(rows.join(heads.where("n > 1"), "node"), "members")
+        # every document with the first of its node: one pair for each document, then those that still connect something
         star = members.where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
-        pairs = star.select(F.col("head.id").alias("a"), F.col("id").alias("b"))
-        # at most EXHAUSTIVE documents: all pairs among those that are not the head
-        few = members.where((F.col("n") > 2) & (F.col("n") <= EXHAUSTIVE) & (F.col("id") != F.col("head.id")))
-        lists = few.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("id", "s0", "s1"))).alias("docs"))
-        inner = F.flatten(
-            F.transform(
-                "docs",
-                lambda x, i: F.transform(
-                    F.filter(
-                        F.slice("docs", i + 2, F.lit(EXHAUSTIVE)),
-                        lambda y: F.bit_count(x["s0"].bitwiseXOR(y["s0"])) + F.bit_count(x["s1"].bitwiseXOR(y["s1"])) <= limit,
-                    ),
-                    lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")),
-                ),
-            )
-        )
-        pairs = pairs.unionByName(lists.select(F.explode(inner).alias("p")).select("p.a", "p.b")).distinct()
-        pairs = stage(_unconnected(pairs, connected), "pairs")
-        # a pair for each document first; of the others only those that still connect something
-        nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        for lot in (nearest, pairs):
-            lot = stage(_unconnected(lot, connected), "lot") if connected is not None else lot
-            if lot.isEmpty():
-                continue
-            ids = lot.select(F.col("a").alias("id")).union(lot.select(F.col("b").alias("id"))).distinct()
-            wanted = reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
-            sets = texts.join(ids, "id", "left_semi").mapInArrow(_sets(words), "id long, d0 long, d1 long, tokens array<long>")
-            sets = stage(sets.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]), "sets")
-            new = stage(_confirm(lot, sets, percent), "confirmed")
-            found = new if found is None else found.unionByName(new)
-            connected = components(found)
-        large = members.where(F.col("n") > EXHAUSTIVE).select("node", "id", "s0", "s1")
-        if connected is not None:
-            large = large.join(connected, "id", "left").withColumn("_of", F.coalesce("component", "id")).drop("component")
-        else:
-            large = large.withColumn("_of", F.col("id"))
-        mixed = large.groupBy("node").agg(F.min("_of").alias("_x"), F.max("_of").alias("_y")).where("_x != _y").select("node")
-        going = stage(large.join(mixed, "node", "left_semi").select("node", "id", "s0", "s1"), "going")
+        star = stage(known.open(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()), "star")
+        nearest = stage(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+        known.add(nearest)
+        known.add(stage(known.open(star.join(nearest, ["a", "b"], "left_anti")), "star-rest"))
+        # then all pairs of the components that meet in a node
+        labelled = stage(known.labelled(members.select("node", "n", "id", "s0", "s1")), "labelled")
+        mixed = labelled.groupBy("node").agg(F.min("of").alias("_x"), F.max("of").alias("_y")).where("_x != _y").select("node")
+        labelled = stage(labelled.join(mixed, "node", "left_semi"), "mixed")
+        pairs = _all_pairs(labelled.where(F.col("n") <= EXHAUSTIVE), limit)
+        known.add(stage(known.open(pairs.distinct().join(star, ["a", "b"], "left_anti")), "pairs"))
+        going = labelled.where(F.col("n") > EXHAUSTIVE)
         if going.isEmpty():
             break
         if depth == MAX_DEPTH:
-            found = _rest(going, found, connected, texts, reps, words, percent, limit)
+            known.add(stage(known.open(_blocked_pairs(going, limit).distinct()), "rest"))
             break
         down = going.join(reps.select("id", "tokens"), "id").select(
             "id", "s0", "s1", F.explode(_children(F.col("node"), F.col("tokens"), threshold)).alias("node")
         )
         rows = stage(down.distinct(), "nodes")
-    return found if found is not None else spark.createDataFrame([], "a long, b long")
+    return known.connected if known.connected is not None else docs.sparkSession.createDataFrame([], "id long, component long")
 
 
-def _apart_head() -> Column:
-    return F.bit_count(F.col("s0").bitwiseXOR(F.col("head.s0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("head.s1")))
+def _all_pairs(rows: DataFrame, limit: int) -> DataFrame:
+    """Pairs (a, b) of a node, of different components, whose sketches are near; nodes are of bounded size."""
+    lists = rows.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("id", "s0", "s1", "of"))).alias("docs"))
+
+    def near(x: Column, y: Column) -> Column:
+        apart = F.bit_count(x["s0"].bitwiseXOR(y["s0"])) + F.bit_count(x["s1"].bitwiseXOR(y["s1"]))
+        return (x["of"] != y["of"]) & (apart <= limit)
 
+    def partners(x: Column, i: Column) -> Column:
+        others = F.filter(F.slice("docs", i + 2, F.lit(EXHAUSTIVE)), lambda y: near(x, y))
+        return F.transform(others, lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))
 
-def _unconnected(pairs: DataFrame, connected: DataFrame | None) -> DataFrame:
-    if connected is None:
-        return pairs
-    a = connected.select(F.col("id").alias("a"), F.col("component").alias("_ca"))
-    b = connected.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
-    both = pairs.join(a, "a", "left").join(b, "b", "left")
-    return both.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b")
+    return lists.select(F.explode(F.flatten(F.transform("docs", partners))).alias("p")).select("p.a", "p.b")
 
 
-def _rest(going, found, connected, texts, reps, words, percent, limit) -> DataFrame:
-    """Nodes that are still large and mixed at the last depth: their documents are compared block against block, each block
-    with the documents of the node that are not connected to it, and the survivors confirmed."""
+def _blocked_pairs(rows: DataFrame, limit: int) -> DataFrame:
+    """The same for nodes of any size: block against block of their documents."""
     blocks = 64
-    tagged = going.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    if connected is not None:
-        tagged = tagged.join(connected, "id", "left").withColumn("_of", F.coalesce("component", "id")).drop("component")
-    else:
-        tagged = tagged.withColumn("_of", F.col("id"))
-    left = tagged.select("node", "_block", F.col("id").alias("a"), F.col("_of").alias("_oa"), F.struct("s0", "s1").alias("x"))
-    right = tagged.select(
-        "node", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("_block"), F.col("id").alias("b"),
-        F.col("_of").alias("_ob"), F.struct("s0", "s1").alias("y"),
-    )
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    left = rows.select("node", block.alias("block"), F.col("id").alias("a"), F.col("of").alias("_oa"), F.struct("s0", "s1").alias("x"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
+    right = rows.select("node", every.alias("block"), F.col("id").alias("b"), F.col("of").alias("_ob"), F.struct("s0", "s1").alias("y"))
     close = (F.col("a") < F.col("b")) & (F.col("_oa") != F.col("_ob")) & (_apart("x", "y") <= limit)
-    pairs = stage(left.join(right, ["node", "_block"]).where(close).select("a", "b").distinct(), "rest")
-    if pairs.isEmpty():
-        return found
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
-    sets = texts.join(ids, "id", "left_semi").mapInArrow(_sets(words), "id long, d0 long, d1 long, tokens array<long>")
-    sets = stage(sets.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]), "sets")
-    new = stage(_confirm(pairs, sets, percent), "confirmed")
-    return new if found is None else found.unionByName(new)
+    return left.join(right, ["node", "block"]).where(close).select("a", "b")
+
+
+def _apart_head() -> Column:
+    return F.bit_count(F.col("s0").bitwiseXOR(F.col("head.s0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("head.s1")))
 
 
 def near_duplicates(docs: DataFrame, key: str, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -288,8 +289,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, words: int = WORDS, pe
     fields = ["id", "s0", "s1", "tokens"]
     reps = filled.groupBy("d0", "d1", "n").agg(F.min(F.struct(*fields)).alias("r")).select("r.*", "d0", "d1", "n")
     reps = stage(reps, "sets-once")
-    found = links(docs, key, text, reps, words, percent)
-    connected = components(found)
+    connected = connections(docs, key, text, reps, words, percent)
     own = reps.select("d0", "d1", "n", F.col("id").alias("_rep"))
     of_rep = own.join(connected.withColumnRenamed("id", "_rep"), "_rep", "left").select(
         "d0", "d1", "n", F.coalesce("component", "_rep").alias("_component")
