@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from risklake.llm import decontamination, mixing, near_dedup, repetition, secrets, sharding, token_counts, token_files, url_filter
+from risklake.llm import decontamination, mixing, near_dedup, passages, repetition, secrets, sharding, token_counts, token_files, url_filter
 from risklake.llm.common import n_words, table
 from risklake.operators.stage import stage, stage_path
 
@@ -39,6 +39,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(index, folder)
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage that occurs in several documents."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = secrets.with_secrets(docs, "text", ["doc_id"])
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
+    "op4_passages": op4_passages,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
