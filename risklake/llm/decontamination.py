@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from risklake.llm.common import per_worker
 
@@ -24,7 +24,14 @@ Q, BUDGET = 8, 0.08
 SECTION, STEP, SHORTEST = 160, 80, 30
 #: bytes of the items that are searched for in one pass, and characters of text looked at together
 BLOCK_BYTES, CHUNK = 16 << 20, 2_000_000
-MATCHES = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
+MATCHES = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("item_id", T.LongType()), T.StructField("start", T.IntegerType()),
+            T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType()),
+        ]
+    )
+)
 _BITS = 21
 _FACTORS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
@@ -246,9 +253,8 @@ def with_matches(df: DataFrame, text: str, items: DataFrame, column: str = "matc
         last = block == blocks - 1
         own = f"{column}_{block}"
         names = [*df.columns, *parts] if not last else [*kept, *parts]
-        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in (df.schema[n] for n in names if n in df.columns)]
-        schema = ", ".join([*fields, *(f"`{p}` {MATCHES}" for p in parts), f"`{own}` {MATCHES}"])
         source = df if not parts else done
+        schema = T.StructType([*(source.schema[n] for n in names), T.StructField(own, MATCHES)])
         tag = str(hash(tuple(rows)))
         done = source.mapInArrow(_searched(rows, tag, source.columns.index(text), names, own), schema)
         parts.append(own)

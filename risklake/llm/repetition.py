@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from risklake.llm.common import WORD
 
@@ -26,10 +26,9 @@ BATCH_WORDS = 400_000
 SYMBOLS = "#*$%&|<>"
 
 _word = re.compile(WORD)
-SCHEMA = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, repeat_covered long, "
-    "longest_repeat long"
-)
+FIGURES = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "repeat_covered", "longest_repeat",
+]
 
 
 def _refine(rank: np.ndarray, at: np.ndarray, follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,14 +160,13 @@ def _figures(text_at: int, names: list[str]):
 
 
 def with_figures(df: DataFrame, text: str) -> DataFrame:
-    """Add the figures of ``SCHEMA`` to every row; columns of these names are replaced.
+    """Add the ``FIGURES`` to every row; columns of these names are replaced.
 
     NULL and empty texts have zeros. Rows are handled one by one, so equal rows get equal figures.
     """
-    added = [field.split()[0] for field in SCHEMA.split(", ")]
-    df = df.drop(*added)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [SCHEMA])
-    return df.mapInArrow(_figures(df.columns.index(text), df.columns + added), schema)
+    df = df.drop(*FIGURES)
+    schema = T.StructType([*df.schema, *(T.StructField(c, T.LongType()) for c in FIGURES)])
+    return df.mapInArrow(_figures(df.columns.index(text), df.columns + FIGURES), schema)
 
 
 def base_failed() -> Column:

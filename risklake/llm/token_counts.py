@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from risklake.llm.common import per_worker
 
@@ -166,5 +166,5 @@ def with_tokens(df: DataFrame, text: str, path: str, column: str = "n_tokens") -
     library takes them by default. NULL and empty texts have no tokens.
     """
     df = df.drop(column)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), f"`{column}` long"])
+    schema = T.StructType([*df.schema, T.StructField(column, T.LongType())])
     return df.mapInArrow(_counted(path, df.columns.index(text), [*df.columns, column]), schema)
