@@ -34,6 +34,8 @@ FIGURES = [
 def _refine(rank: np.ndarray, at: np.ndarray, follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Split the buckets of ``rank`` at places ``at`` by the key ``follow``; returns the new ranks and the places that
     still share a bucket. A rank is the number of suffixes in the buckets before."""
+    if not len(at):
+        return rank, at
     key = rank[at].astype(np.int64) * (len(rank) + 2) + follow + 1
     order = np.argsort(key, kind="stable")
     key, at = key[order], at[order]
