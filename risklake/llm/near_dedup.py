@@ -2,11 +2,13 @@
 
 Each tree branches documents from its root: a node chooses, by its own hash, one or two of the minwise functions, so
 that 1 / threshold of them are chosen on average, and a document goes to the child of its token under each. Similar documents
-share a path down the tree with a chance that hardly falls with the depth, others part at once. Nodes of few documents are compared
-exhaustively; in larger ones every document is compared with the first, and the node branches on while it holds
-documents that are not yet known to be connected. Independent trees raise the recall to its target.
+share a path down the tree with a chance that hardly falls with the depth, others part at once. Nodes of up to ``EXHAUSTIVE``
+documents are compared exhaustively; larger ones branch on while they hold documents that are not known to be connected.
+Independent trees raise the recall to its target.
 
-Sketches of 128 bits, which ride along, sort out most pairs; the rest is confirmed on the full sets.
+Sketches of 128 bits, which ride along, tell which documents of a node are near; a node passes on a spanning tree of
+its near documents, not their pairs. Links are confirmed on the full sets. Documents that hang together by near sketches, but
+not all by confirmed links, are compared set by set, in blocks.
 """
 
 import math
@@ -25,7 +27,9 @@ WORDS, PERCENT = 5, 80
 #: minwise functions; two bits of each make the sketch
 FUNCTIONS = 64
 #: depth of the first nodes, documents of a node that are compared exhaustively, and depth at which branching ends
-DEPTH, EXHAUSTIVE, MAX_DEPTH = 3, 200, 10
+DEPTH, EXHAUSTIVE, MAX_DEPTH = 4, 2000, 10
+#: documents of a block in which sets are compared, and tokens compared at a time
+BLOCK, TOKENS = 256, 4096
 #: share of the pairs at the threshold that is to be found
 RECALL = 0.9999999
 _FACTORS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -46,9 +50,9 @@ def trees(threshold: float, recall: float = RECALL, depth: int = DEPTH + 2) -> i
 
 
 def bits_apart(threshold: float) -> int:
-    """Most bits in which the sketches of a pair at the threshold differ: the mean, and 5.5 standard deviations."""
+    """Most bits in which the sketches of a pair at the threshold differ: the mean, and five standard deviations."""
     far = 1.0 - threshold
-    return math.ceil(FUNCTIONS * far + 5.5 * math.sqrt(FUNCTIONS * (1.5 * far - far * far)))
+    return math.ceil(FUNCTIONS * far + 5 * math.sqrt(FUNCTIONS * (1.5 * far - far * far)))
 
 
 def _lots(texts: pa.StringArray) -> Iterator[pa.StringArray]:
@@ -141,12 +145,6 @@ def _descend(nodes: Column, tokens: Column, threshold: float) -> Column:
     return F.flatten(F.transform(nodes, lambda node: _children(node, tokens, threshold)))
 
 
-def _apart(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))) + F.bit_count(
-        F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1"))
-    )
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full sets are similar enough."""
     a = sets.select(F.col("id").alias("a"), F.col("tokens").alias("_ta"))
@@ -176,14 +174,36 @@ class _Links:
         self.connected: DataFrame | None = None
 
     def add(self, pairs: DataFrame) -> None:
-        """Confirm pairs (a, b) on the full sets, which are made anew for their documents only."""
-        if pairs.isEmpty():
+        """Confirm pairs (a, b) on the full sets."""
+        if not pairs.isEmpty():
+            ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+            self.merge(stage(_confirm(pairs, stage(self.sets(ids), "sets"), self.percent), "confirmed"))
+
+    def add_within(self, clusters: DataFrame) -> None:
+        """Compare the sets of each cluster (id, cluster) block against block, and keep links between components."""
+        labelled = stage(self.labelled(clusters), "clusters")
+        counts = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("_x"), F.max("of").alias("_y"))
+        open_ = stage(labelled.join(counts.where("n > 2 and _x != _y").select("cluster", "n"), "cluster"), "open")
+        if open_.isEmpty():
             return
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        blocks = F.ceil(F.col("n") / BLOCK)
+        rows = open_.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+        rows = rows.join(self.sets(open_.select("id")), "id")
+        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+        rows = rows.select(
+            F.xxhash64("cluster", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("block"), "id", "of",
+            (F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right"), "tokens",
+        )
+        dealt = rows.repartition("block").sortWithinPartitions("block", "id")
+        self.merge(stage(dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct(), "linked"))
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """Full sets (id, tokens), made anew for these documents only."""
         wanted = self.reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
-        sets = self.texts.join(ids, "id", "left_semi").mapInArrow(_sets(self.words), "id long, d0 long, d1 long, tokens array<long>")
-        sets = stage(sets.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]), "sets")
-        new = stage(_confirm(pairs, sets, self.percent), "confirmed")
+        made = self.texts.join(ids, "id", "left_semi").mapInArrow(_sets(self.words), "id long, d0 long, d1 long, tokens array<long>")
+        return made.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]).select("id", "tokens")
+
+    def merge(self, new: DataFrame) -> None:
         if not new.isEmpty():
             self.found = new if self.found is None else self.found.unionByName(new)
             self.connected = components(self.found)
@@ -218,24 +238,34 @@ def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: in
     for depth in range(DEPTH, MAX_DEPTH + 1):
         heads = rows.groupBy("node").agg(F.min(F.struct("id", "s0", "s1")).alias("head"), F.count(F.lit(1)).alias("n"))
         members = stage(rows.join(heads.where("n > 1"), "node"), "members")
-        # every document with the first of its node: one pair for each document, then those that still connect something
-        star = members.where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
-        star = stage(known.open(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()), "star")
-        nearest = stage(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+        last = depth == MAX_DEPTH
+        small = members if last else members.where(F.col("n") <= EXHAUSTIVE)
+        dealt = small.select("node", "id", "s0", "s1").repartition("node").sortWithinPartitions("node", "id")
+        near = dealt.mapInArrow(_near(limit), "a long, b long")
+        large = members.where(F.col("n") > EXHAUSTIVE)
+        star = large.where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
+        near = near.unionByName(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")))
+        near = stage(known.open(near.distinct()), "near")
+        # a pair for each document, then those that still connect something, then all that hang together
+        nearest = stage(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
         known.add(nearest)
-        known.add(stage(known.open(star.join(nearest, ["a", "b"], "left_anti")), "star-rest"))
-        # then all pairs of the components that meet in a node
-        labelled = stage(known.labelled(members.select("node", "n", "id", "s0", "s1")), "labelled")
+        known.add(stage(known.open(near.join(nearest, ["a", "b"], "left_anti")), "near-rest"))
+        left = stage(known.open(near), "near-open")
+        if not left.isEmpty():
+            ids = left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id")))
+            owners = known.labelled(ids.distinct()).select("of").distinct()
+            # whole components take part: a link may lead to any of their documents
+            everyone = known.labelled(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct())
+            own = everyone.join(owners, "of", "left_semi").select(F.col("id").alias("a"), F.col("of").alias("b"))
+            clusters = components(left.unionByName(own)).select("id", F.col("component").alias("cluster"))
+            known.add_within(clusters)
+        if last:
+            break
+        labelled = known.labelled(large.select("node", "id", "s0", "s1"))
         mixed = labelled.groupBy("node").agg(F.min("of").alias("_x"), F.max("of").alias("_y")).where("_x != _y").select("node")
-        labelled = stage(labelled.join(mixed, "node", "left_semi"), "mixed")
-        pairs = _all_pairs(labelled.where(F.col("n") <= EXHAUSTIVE), limit)
-        known.add(stage(known.open(pairs.distinct().join(star, ["a", "b"], "left_anti")), "pairs"))
-        going = labelled.where(F.col("n") > EXHAUSTIVE)
+        going = stage(large.select("node", "id", "s0", "s1").join(mixed, "node", "left_semi"), "going")
         if going.isEmpty():
             break
-        if depth == MAX_DEPTH:
-            known.add(stage(known.open(_blocked_pairs(going, limit).distinct()), "rest"))
-            break
         down = going.join(reps.select("id", "tokens"), "id").select(
             "id", "s0", "s1", F.explode(_children(F.col("node"), F.col("tokens"), threshold)).alias("node")
         )
@@ -243,30 +273,117 @@ def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: in
     return known.connected if known.connected is not None else docs.sparkSession.createDataFrame([], "id long, component long")
 
 
-def _all_pairs(rows: DataFrame, limit: int) -> DataFrame:
-    """Pairs (a, b) of a node, of different components, whose sketches are near; nodes are of bounded size."""
-    lists = rows.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("id", "s0", "s1", "of"))).alias("docs"))
+def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Whole groups of equal keys, several at a time, from batches sorted by the key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy()
+        if held and held[-1].column(key)[-1].as_py() == values[-1]:
+            held.append(batch)
+            continue
+        cut = int(np.flatnonzero(values != values[-1])[-1]) + 1 if values[0] != values[-1] else 0
+        if held and cut == 0:
+            yield pa.Table.from_batches(held)
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).astype(np.int32)
+
+
+def _labels(near: list[np.ndarray]) -> np.ndarray:
+    """Smallest place that each place of a node reaches; ``near`` lists the places near each one."""
+    label = np.arange(len(near))
+    while True:
+        new = np.array([min(label[i], label[to].min()) if len(to) else label[i] for i, to in enumerate(near)])
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _near(limit: int):
+    """For each node a spanning tree of its documents with near sketches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_key(batches, "node"):
+            node, ids, s0, s1 = (table.column(c).to_numpy() for c in ("node", "id", "s0", "s1"))
+            s0, s1 = s0.view(np.uint64), s1.view(np.uint64)
+            starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            sizes = np.diff(np.append(starts, len(node)))
+            of = np.repeat(sizes, sizes)
+            a, b = [], []
+            for k in range(1, min(8, int(sizes.max()))):  # small nodes, all at once
+                i = np.flatnonzero((node[k:] == node[:-k]) & (of[k:] <= 8))
+                i = i[_bits(s0[i], s0[i + k]) + _bits(s1[i], s1[i + k]) <= limit]
+                a.append(ids[i])
+                b.append(ids[i + k])
+            for start, n in zip(starts[sizes > 8], sizes[sizes > 8]):
+                own = slice(start, start + n)
+                x, y = s0[own], s1[own]
+                label = _labels([np.flatnonzero(_bits(x, x[i]) + _bits(y, y[i]) <= limit) for i in range(n)])
+                hung = np.flatnonzero(label != np.arange(n))
+                a.append(ids[own][label[hung]])
+                b.append(ids[own][hung])
+            if a:
+                pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["a", "b"])
 
-    def near(x: Column, y: Column) -> Column:
-        apart = F.bit_count(x["s0"].bitwiseXOR(y["s0"])) + F.bit_count(x["s1"].bitwiseXOR(y["s1"]))
-        return (x["of"] != y["of"]) & (apart <= limit)
+    return run
 
-    def partners(x: Column, i: Column) -> Column:
-        others = F.filter(F.slice("docs", i + 2, F.lit(EXHAUSTIVE)), lambda y: near(x, y))
-        return F.transform(others, lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))
 
-    return lists.select(F.explode(F.flatten(F.transform("docs", partners))).alias("p")).select("p.a", "p.b")
+def _compared(percent: int):
+    """Links between different components, one for each pair of them, in pairs of blocks of full sets."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_key(batches, "block"):
+            table = table.combine_chunks()
+            block = table.column("block").to_numpy()
+            edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            for start, stop in zip(edges[:-1], edges[1:]):
+                part = table.slice(start, stop - start)
+                ids, of = part.column("id").to_numpy(), part.column("of").to_numpy()
+                left, right = (np.flatnonzero(part.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
+                lists = part.column("tokens").combine_chunks()
+                sizes = np.diff(lists.offsets.to_numpy())
+                common = _common(lists.flatten().to_numpy(), sizes, left, right)
+                union = sizes[left][:, None] + sizes[right][None, :] - common
+                linked = (100 * common >= percent * union) & (of[left][:, None] != of[right][None, :])
+                i, j = np.nonzero(linked)
+                if len(i):
+                    i, j = left[i], right[j]
+                    key = np.stack([np.minimum(of[i], of[j]), np.maximum(of[i], of[j])], 1)
+                    _, once = np.unique(key, axis=0, return_index=True)
+                    a, b = np.minimum(ids[i], ids[j])[once], np.maximum(ids[i], ids[j])[once]
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def _blocked_pairs(rows: DataFrame, limit: int) -> DataFrame:
-    """The same for nodes of any size: block against block of their documents."""
-    blocks = 64
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    left = rows.select("node", block.alias("block"), F.col("id").alias("a"), F.col("of").alias("_oa"), F.struct("s0", "s1").alias("x"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
-    right = rows.select("node", every.alias("block"), F.col("id").alias("b"), F.col("of").alias("_ob"), F.struct("s0", "s1").alias("y"))
-    close = (F.col("a") < F.col("b")) & (F.col("_oa") != F.col("_ob")) & (_apart("x", "y") <= limit)
-    return left.join(right, ["node", "block"]).where(close).select("a", "b")
+    return run
+
+
+def _common(tokens: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets: products of 0-1 matrices, some tokens at a time."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, number, count = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = count[number] > 1
+    number, owner = np.cumsum(count > 1)[number[shared]] - 1, owner[shared]
+    order = np.argsort(number, kind="stable")
+    number, owner = number[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    width = int(number[-1]) + 1 if len(number) else 0
+    for begin in range(0, width, TOKENS):
+        some = slice(np.searchsorted(number, begin), np.searchsorted(number, begin + TOKENS))
+        matrix = np.zeros((len(sizes), min(TOKENS, width - begin)), np.float32)
+        matrix[owner[some], number[some] - begin] = 1
+        out += (matrix[left] @ matrix[right].T).astype(np.int64)
+    return out
 
 
 def _apart_head() -> Column:
