@@ -4,6 +4,8 @@ DuckDB rounds a double by its binary value, so rounded results go through a wide
 integer division differ from Spark's and are written out.
 """
 
+from risklake.sources.schemas import SOURCES
+
 
 def _rounded(value: str, digits: int) -> str:
     return f"cast(round(cast({value} as decimal(38,12)), {digits}) as double)"
@@ -33,14 +35,14 @@ _SCORE = "300 + cast(floor((c_acctbal + 1000) / 20) as bigint)"
 _INSTALMENTS = (
     "(case o_orderkey % 6 when 0 then 6 when 1 then 12 when 2 then 18 when 3 then 24 when 4 then 36 else 48 end)"
 )
-_RATE = "(cast(8 + (o_orderkey % 73) as double) / 10)"
+_RATE = "(cast(800 + (o_orderkey % 7300) as double) / 1000)"
 _STATUS = "case o_orderstatus when 'P' then 'INADIMPLENTE' when 'O' then 'ATIVO' else 'QUITADO' end"
 _EVENT = (
     "case event_type when 'click' then 'ATRASO_30' when 'view' then 'ATRASO_60' when 'error' then 'ATRASO_90' "
     "when 'purchase' then 'CALOTE' else upper(event_type) end"
 )
 _QUOTE = _half_up(
-    f"{_cents('o_totalprice')} * (10000 + {_cents(_RATE)})", f"10000 * cast({_INSTALMENTS} as bigint)"
+    f"{_cents('o_totalprice')} * (100800 + o_orderkey % 7300)", f"100000 * cast({_INSTALMENTS} as bigint)"
 )
 
 
@@ -159,7 +161,13 @@ def _date(text: str) -> str:
 
 
 def _julian(text: str) -> str:
-    return f"(cast(epoch_ms({_utc(text)}) + 210866760000000 as double) / 86400000)"
+    """Julian day of a moment; days count on from the first of the month, and hour 24 from midnight."""
+    beyond = (
+        f"cast(substr({text}, 1, 7) || '-01' as timestamp) + to_days(cast(substr({text}, 9, 2) as integer) - 1) "
+        f"+ to_hours(if({text} like '% 24:00', 24, 0))"
+    )
+    odd = f"regexp_matches({text}, '^[0-9]{{4}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])( 24:00)?$')"
+    return f"(cast(epoch_ms(case when {odd} then {beyond} else {_utc(text)} end) + 210866760000000 as double) / 86400000)"
 
 
 def _fixed(amount: str) -> str:
@@ -209,6 +217,8 @@ with bronze_clientes as (
          strftime(l_shipdate, '%Y-%m-%d') as data_vencimento,
          case when l_linestatus = 'O' and l_returnflag = 'N' then null
               when l_linestatus = 'F' and l_returnflag = 'N' then 'em aberto'
+              when l_linenumber = 6 then substr({_PAID_TEXT}, 1, 8) || '31'
+              when l_linenumber = 5 then {_PAID_TEXT} || ' 24:00'
               when l_returnflag = 'R' then {_PAID_TEXT} || ' 12:00' else {_PAID_TEXT} end as data_pagamento,
          {_fixed("l_extendedprice")} as valor_devido,
          case when l_returnflag = 'A' then {_fixed("l_extendedprice")} || ' BRL' else {_fixed("l_discount")} end
@@ -356,12 +366,66 @@ _DATES = {
     "curta": f"regexp_replace({_ISO}, '-0', '-', 'g')",
     "mes_treze": f"regexp_replace({_ISO}, '-[0-9]{{2}}-', '-13-')",
     "dia_31": f"substr({_ISO}, 1, 8) || '31'",
+    "hora_24": f"{_ISO} || ' 24:00'",
     "prioridade": "o_orderpriority",
 }
 _DATES = {name: f"({text})" for name, text in _DATES.items()}
 _KIND = f"(case when value >= 1 then {_EVENT} end)"
 _WRITTEN = f"(case when value > 20 then lower({_KIND}) else {_KIND} end)"
 
+def _csv() -> str:
+    """All raw columns; the last one in quotes, with a separator, and with a line break for clients."""
+    parts = []
+    for name, source in SOURCES.items():
+        *others, last = source.columns
+        mark = "'\"; '" if name != "clientes" else "chr(10) || '\"'"
+        shown = [f"coalesce({c}, '<nulo>')" for c in others] + [f"coalesce(' \"' || {last} || {mark}, '<nulo>')"]
+        parts.append(
+            f"select '{name}' as tabela, {others[0]} as chave, concat_ws('|', {', '.join(shown)}) as linha from bronze_{name}"
+        )
+    return _RAW + " union all ".join(parts)
+
+
+#: columns of the views in their order; doubles, which are compared in hundredths, with a star
+_VIEW_COLUMNS = {
+    "gold_inadimplencia_por_estado": "estado total_emprestimos inadimplentes taxa_inadimplencia_pct* valor_em_risco*",
+    "gold_evolucao_inadimplencia": "mes total inadimplentes taxa_pct* valor_inadimplente* inadimplentes_mes_anterior "
+    "variacao_absoluta variacao_pct*",
+    "gold_ranking_risco_clientes": "cliente_id nome score_credito faixa_risco estado total_emprestimos "
+    "valor_total_emprestado* valor_inadimplente* total_eventos_risco maior_severidade ranking_exposicao pct_inadimplente*",
+    "gold_risco_por_score": "faixa_risco score_medio* total_clientes total_emprestimos inadimplentes taxa_juros_media* "
+    "ticket_medio* taxa_inadimplencia_pct*",
+    "gold_alerta_risco_iminente": "cliente_id nome score_credito faixa_risco estado qtd_atrasos maior_atraso* media_atraso* "
+    "exposicao_total* score_risco_composto*",
+}
+
+
+def _refreshed() -> str:
+    """The views over the tables cleaned in SQL, and the size of every table with its rows that have an ingest time."""
+    clean = "".join(
+        f", {alias} as ({SILVER['silver_' + name][len(_RAW) :]})"
+        for name, alias in zip(_KEPT, ("clientes", "emprestimos_texto", "pagamentos", "eventos"))
+    )
+    clean += (
+        ", emprestimos as (select * replace (try_cast(data_concessao as date) as data_concessao) from emprestimos_texto)"
+    )
+    parts = []
+    for name, columns in _VIEW_COLUMNS.items():
+        body = GOLD[name][len(_CLEAN) :].strip()
+        body = f"with {body[1:]}" if body.startswith(",") else body
+        shown = [
+            f"coalesce(cast(cast(round({c[:-1]} * 100) as decimal(38,0)) as varchar), '<nulo>')"
+            if c.endswith("*")
+            else f"coalesce(cast({c} as varchar), '<nulo>')"
+            for c in columns.split()
+        ]
+        parts.append(f"select '{name}' as tabela, concat_ws('|', {', '.join(shown)}) as linha from ({body})")
+    for name, kept in _KEPT.items():
+        parts.append(f"select 'bronze_{name}', count(*) || '|' || count(*) from bronze_{name}")
+        parts.append(f"select 'silver_{name}', count(*) || '|0' from bronze_{name} where {kept}")
+    return _RAW.rstrip() + clean + " " + " union all ".join(parts)
+
+
 SMALL = {
     "parse_inteiro_real": _numbers(
         {
@@ -379,7 +443,9 @@ SMALL = {
     + ", ".join(f"{_date(text)} as {name}" for name, text in _DATES.items())
     + f", {_julian(_DATES['fuso'])} - {_julian(_DATES['iso'])} as dias_fuso"
     + f", {_julian(_DATES['relogio'])} - {_julian(_DATES['zulu'])} as dias_relogio"
-    + f", {_julian(_DATES['barra'])} - {_julian(_DATES['iso'])} as dias_barra from orders",
+    + f", {_julian(_DATES['barra'])} - {_julian(_DATES['iso'])} as dias_barra"
+    # fixed rules, not the parser: the 31st lies 31 - day days on, hour 24 one day
+    + ", cast(31 - day(o_orderdate) as double) as dias_31, 1.0::double as dias_24 from orders",
     "limpeza_texto": """
 select o_orderkey as chave, upper(trim('  ' || lower(o_orderpriority) || ' ')) as codigo,
        'SãO ' || o_orderstatus || chr(9) as acento, '123' || o_orderkey || '789-01' as documento
@@ -407,20 +473,8 @@ select *, {_score_band("score")} as faixa_risco, {_income_band("renda_mensal")}
         [f"select 'bronze_{name}' as tabela, count(*) as registros from bronze_{name}" for name in _KEPT]
         + [f"select 'silver_{name}', count(*) from bronze_{name} where {kept}" for name, kept in _KEPT.items()]
     ),
-    "csv_ida_e_volta": _RAW
-    + """
-select ' "' || tipo_evento || '"; ' as tipo_evento, count(*) as linhas, count(evento_id) as com_id,
-       cast(sum(cast(valor_em_risco as decimal(18,2))) as double) as valor
-from bronze_eventos_risco group by 1
-""",
-    "carga_completa": _RAW
-    + f""", clientes as (
-  select cliente_id, upper(trim(estado)) as estado from bronze_clientes where {_KEPT["clientes"]}
-), emprestimos as (
-  select emprestimo_id, cliente_id, status, {_real("valor_emprestado")} as valor_emprestado
-  from bronze_emprestimos where {_KEPT["emprestimos"]}
-)"""
-    + _BY_STATE,
+    "csv_ida_e_volta": _csv(),
+    "carga_completa": _refreshed(),
     "rank_global_distribuido": """
 with linhas as (
   select l_orderkey as emprestimo_id, cast(l_linenumber as bigint) as parcela_num,
@@ -482,14 +536,6 @@ select emprestimo_id, parcela_num, strftime(data_vencimento, '%Y-%m-%d') as data
        case when dias_atraso > 0 then cast({_half_up(_cents("valor_devido") + " * 102", "100")} as double) / 100
             when dias_atraso <= 0 then valor_devido end as valor_apurado
 from pagamentos
-""",
-    "escada_eventos": _CLEAN
-    + f""", degraus(tipo_evento, dias, decimos) as (
-  values ('ATRASO_30', 30, 10), ('ATRASO_60', 60, 8), ('ATRASO_90', 90, 6), ('CALOTE', 120, 4)
-)
-select cliente_id, emprestimo_id, tipo_evento, strftime(data_concessao + dias, '%Y-%m-%d') as data_evento,
-       cast({_half_up(_cents("valor_emprestado") + " * decimos", "10")} as double) / 100 as valor_em_risco
-from emprestimos cross join degraus where status = 'INADIMPLENTE'
 """,
 }
 

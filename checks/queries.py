@@ -1,6 +1,7 @@
 """One query per dataset or operator. Dates are shown as ISO text, counts as longs."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,7 +12,7 @@ from risklake.operators.stage import stage_path
 from risklake.plans import gold, loanbook, silver
 from risklake.plans.refresh import count_rows, refresh
 from risklake.sources.delimited import read_raw, write_raw
-from risklake.sources.schemas import SOURCES, Source
+from risklake.sources.schemas import SOURCES
 
 AS_OF = "2000-01-01"
 
@@ -80,6 +81,7 @@ def _data(spark: SparkSession, sf: str) -> DataFrame:
         "curta": F.regexp_replace(iso, "-0", "-"),
         "mes_treze": F.regexp_replace(iso, "-[0-9]{2}-", "-13-"),
         "dia_31": F.concat(F.substring(iso, 1, 8), F.lit("31")),
+        "hora_24": F.concat(iso, F.lit(" 24:00")),
         "prioridade": F.col("o_orderpriority"),
     }
     julian = {name: parse.millis_to_julian(parse.to_millis(value)) for name, value in dirty.items()}
@@ -87,6 +89,8 @@ def _data(spark: SparkSession, sf: str) -> DataFrame:
         "dias_fuso": julian["fuso"] - julian["iso"],
         "dias_relogio": julian["relogio"] - julian["zulu"],
         "dias_barra": julian["barra"] - julian["iso"],
+        "dias_31": julian["dia_31"] - julian["iso"],
+        "dias_24": julian["hora_24"] - julian["iso"],
     }
     return t.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("chave"),
@@ -158,37 +162,55 @@ def _auditoria(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv(spark: SparkSession, sf: str) -> DataFrame:
-    path = stage_path(spark, "csv")
-    raw = t.raw_eventos(spark, sf).select(
-        "evento_id",
-        F.concat(F.lit(' "'), "tipo_evento", F.lit('"; ')).alias("tipo_evento"),
-        "valor_em_risco",
-    )
-    write_raw(raw, path)
-    source = Source("eventos", "", ("evento_id", "tipo_evento", "valor_em_risco"))
-    return (
-        read_raw(spark, path, source)
-        .groupBy("tipo_evento")
-        .agg(
-            F.count(F.lit(1)).alias("linhas"),
-            F.count("evento_id").alias("com_id"),
-            F.sum(F.col("valor_em_risco").cast("decimal(18,2)")).cast("double").alias("valor"),
+    """All columns of the four sources, written and read again; quotes and separators in them, line breaks in one."""
+    out = None
+    for name, rows in _raw_tables().items():
+        source = replace(SOURCES[name], multiline=name == "clientes")
+        first = source.columns[0]
+        mark = '\n"' if source.multiline else '"; '
+        dirty = rows(spark, sf).withColumn(source.columns[-1], F.concat(F.lit(' "'), source.columns[-1], F.lit(mark)))
+        path = stage_path(spark, "csv")
+        write_raw(dirty, path)
+        parts = [F.coalesce(F.col(c), F.lit("<nulo>")) for c in source.columns]
+        read = read_raw(spark, path, source).select(
+            F.lit(name).alias("tabela"), F.col(first).alias("chave"), F.concat_ws("|", *parts).alias("linha")
         )
-    )
+        out = read if out is None else out.unionByName(read)
+    return out
 
 
-def _carga(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw files written from the tables, all layers refreshed from them, one view read."""
-    source = stage_path(spark, "raw")
-    raw = {
+def _raw_tables() -> dict:
+    return {
         "clientes": t.raw_clientes,
         "emprestimos": t.raw_emprestimos,
         "pagamentos": t.raw_pagamentos,
         "eventos_risco": t.raw_eventos,
     }
-    for name, rows in raw.items():
+
+
+def _carga(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files written from the tables, all layers refreshed from them, the rows of all views and tables read."""
+    source = stage_path(spark, "raw")
+    for name, rows in _raw_tables().items():
         write_raw(rows(spark, sf), f"{source}/{SOURCES[name].file}")
-    return refresh(spark, source, stage_path(spark, "lake")).views["gold_inadimplencia_por_estado"]
+    result = refresh(spark, source, stage_path(spark, "lake"))
+    out = None
+    for name, df in result.views.items():
+        # the views as text: doubles in whole hundredths, which both engines print alike
+        shown = [
+            F.coalesce(
+                (F.round(F.col(f.name) * 100).cast("decimal(38,0)") if isinstance(f.dataType, T.DoubleType) else F.col(f.name)).cast("string"),
+                F.lit("<nulo>"),
+            )
+            for f in df.schema
+        ]
+        rows = df.select(F.lit(name).alias("tabela"), F.concat_ws("|", *shown).alias("linha"))
+        out = rows if out is None else out.unionByName(rows)
+    for name, df in result.tables.items():
+        timed = F.count("_ingestao") if "_ingestao" in df.columns else F.lit(0)
+        shown = F.concat_ws("|", F.count(F.lit(1)).cast("string"), timed.cast("string"))
+        out = out.unionByName(df.agg(shown.alias("linha")).select(F.lit(name).alias("tabela"), "linha"))
+    return out
 
 
 def _rank(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,7 +279,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "perda_esperada": _perda,
     "cronograma_parcelas": lambda s, d: loanbook.cronograma_parcelas(t.emprestimos(s, d), AS_OF),
     "multa_atraso": lambda s, d: loanbook.multa_atraso(t.pagamentos(s, d)),
-    "escada_eventos": lambda s, d: loanbook.escada_eventos(t.emprestimos(s, d)),
     "ranking_exposicao_corrigido": lambda s, d: _ranking(s, d, fan_out=False),
 }
 

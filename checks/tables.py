@@ -48,7 +48,7 @@ def emprestimos(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_custkey").alias("cliente_id"),
             F.col("o_totalprice").alias("valor_emprestado"),
             _choose(order % 6, {0: 6, 1: 12, 2: 18, 3: 24, 4: 36}, 48).cast("long").alias("num_parcelas"),
-            ((order % 73 + 8).cast("double") / 10).alias("taxa_juros"),
+            ((order % 7300 + 800).cast("double") / 1000).alias("taxa_juros"),
             F.col("o_orderdate").cast("date").alias("data_concessao"),
             _choose(F.col("o_orderstatus"), {"P": "INADIMPLENTE", "O": "ATIVO"}, "QUITADO").alias("status"),
         )
@@ -186,6 +186,8 @@ def raw_pagamentos(spark: SparkSession, sf_dir: str) -> DataFrame:
         due.cast("string").alias("data_vencimento"),
         F.when((line == "O") & (flag == "N"), F.lit(None))
         .when((line == "F") & (flag == "N"), F.lit("em aberto"))
+        .when(F.col("l_linenumber") == 6, F.concat(F.substring(paid, 1, 8), F.lit("31")))
+        .when(F.col("l_linenumber") == 5, F.concat(paid, F.lit(" 24:00")))
         .when(flag == "R", F.concat(paid, F.lit(" 12:00")))
         .otherwise(paid)
         .alias("data_pagamento"),

@@ -2,7 +2,6 @@
 
 Doubles are the surface type. Inside a sum, amounts are exact decimals, so that totals (and ranks over them) do not
 depend on the order in which tasks finish; the rare amounts too large for that are summed beside them as doubles.
-Products of money that are rounded to cents go through integer cents.
 """
 
 from pyspark.sql import Column, functions as F
@@ -39,21 +38,3 @@ def count_of(product: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part`` as a percentage of ``whole``, rounded half up; NULL for a zero whole."""
     return F.round(part.cast("double") * 100.0 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
-
-
-def cents(amount: Column) -> Column:
-    return F.round(amount * 100.0, 0).cast("long")
-
-
-def half_up(numerator: Column, denominator: Column) -> Column:
-    """Integer quotient of non-negative longs, rounded half up; NULL for a zero denominator."""
-    return F.call_function("div", numerator * 2 + denominator, F.nullif(denominator * 2, F.lit(0).cast("long")))
-
-
-def from_cents(amount: Column) -> Column:
-    return amount.cast("double") / 100.0
-
-
-def in_cents(amount: Column) -> Column:
-    """Whether products of ``amount`` fit integer cents; junk amounts are left to doubles."""
-    return (amount >= 0.0) & (amount < 1e10)

@@ -10,11 +10,12 @@ from pyspark.sql import Column, functions as F
 _BLANK = r"[ \t\n\x0B\f\r]*"
 INTEGER_PREFIX = rf"^{_BLANK}([+-]?[0-9]+)"
 REAL_PREFIX = rf"^{_BLANK}([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
-DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_DAY = r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+DAY = rf"^{_DAY}$"
 MOMENT = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[ \t\n\x0B\f\rT]*"
-    rf"(?:([0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:\.[0-9]+)?)?){_BLANK}"
-    rf"([zZ]|[+-](?:0[0-9]|1[0-4]):[0-5][0-9])?)?{_BLANK}$"
+    rf"^({_DAY})[ \t\n\x0B\f\rT]*"
+    rf"(?:([01][0-9]|2[0-4]):([0-5][0-9])(?::([0-5][0-9](?:\.[0-9]+)?))?{_BLANK}"
+    rf"(?:[zZ]|([+-])(0[0-9]|1[0-4]):([0-5][0-9]))?)?{_BLANK}$"
 )
 
 # 64-bit integer range, milliseconds in a day, Julian date of 1970-01-01 in milliseconds.
@@ -39,18 +40,36 @@ def to_real(text: Column) -> Column:
     return F.coalesce(number, F.when(text.isNotNull(), F.lit(0.0)))
 
 
+def _clock(parts: Column) -> Column:
+    """Milliseconds to add to midnight for hour, minute, second, sign and two numbers of the zone, as texts."""
+
+    def number(place: int, kind: str) -> Column:
+        return F.coalesce(F.nullif(F.element_at(parts, place), F.lit("")).cast(kind), F.lit(0).cast(kind))
+
+    clock = number(1, "long") * 3600000 + number(2, "long") * 60000 + F.floor(number(3, "decimal(38,9)") * 1000).cast("long")
+    offset = number(5, "long") * 3600000 + number(6, "long") * 60000
+    return clock - F.when(F.element_at(parts, 4) == "-", -offset).otherwise(offset)
+
+
 def to_millis(text: Column) -> Column:
-    """Milliseconds from 1970-01-01 UTC to the moment in ``text``; NULL unless it is a strict ISO day or moment."""
-    midnight = F.unix_date(F.substring(text, 1, 10).try_cast("date")).cast("long") * DAY_MILLIS
-    # seconds and zone are always written out: the cast wants seconds before a zone, and would otherwise fall back to
-    # the zone of the session
-    timed = F.regexp_replace(F.regexp_replace(text, MOMENT, "$1T$2$3"), "^(.{16})(?!:)", "$1:00")
-    zoned = F.regexp_replace(timed, "(T[0-9:.]+)[zZ]?$", "$1Z")
-    moment = F.when(
-        F.regexp_extract(text, MOMENT, 2) != "", F.unix_millis(zoned.try_cast("timestamp"))
-    ).when(text.rlike(MOMENT), midnight)
+    """Milliseconds from 1970-01-01 UTC to the moment in ``text``; NULL unless it is a strict ISO day or moment.
+
+    A day that its month lacks is the day so many days after the first, as delays are counted over it; ``to_date``
+    shows none for it. Hour 24 is the next day.
+    """
+    month = F.concat(F.substring(text, 1, 7), F.lit("-01")).try_cast("date")
+    midnight = (F.unix_date(month).cast("long") + F.substring(text, 9, 2).cast("int") - 1) * DAY_MILLIS
+    parts = F.split(F.regexp_replace(text, MOMENT, "$2,$3,$4,$5,$6,$7"), ",")
+    clock = F.element_at(F.transform(F.array(parts), _clock), 1)  # the parts are split once
     length = F.length(text)
-    return F.when(length == 10, F.when(text.rlike(DAY), midnight)).when(length > 10, moment)
+    return F.when(length == 10, F.when(text.rlike(DAY), midnight)).when(
+        length > 10, F.when(text.rlike(MOMENT), midnight + clock)
+    )
+
+
+def has_calendar_day(text: Column) -> Column:
+    """Whether the month of ``text`` has its day."""
+    return F.substring(text, 1, 10).try_cast("date").isNotNull()
 
 
 def millis_to_date(millis: Column) -> Column:
@@ -64,5 +83,5 @@ def millis_to_julian(millis: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    """UTC calendar day of ``text``; NULL unless it is a strict ISO day or moment."""
-    return millis_to_date(to_millis(text))
+    """UTC calendar day of ``text``; NULL unless it is a strict ISO day or moment that the calendar has."""
+    return F.when(has_calendar_day(text), millis_to_date(to_millis(text)))

@@ -1,23 +1,21 @@
-"""Loan-book rules as operators on cleaned tables: pricing policy, quotes, expected loss, schedules, fees, ladders."""
+"""Loan-book rules as operators on cleaned tables: pricing policy, quotes, expected loss, schedules, fees."""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from risklake.functions.bands import DEFAULTED
-from risklake.functions.money import beyond, cents, exact, from_cents, half_up, in_cents, total
+from risklake.functions.money import beyond, exact, total
 from risklake.operators.skew import hot_keys, join_spread
 
-# Score range; lowest score, rate range and amount range of each price band; probability floors in
-# thousandths of 700 - score; days between instalments; late fee; stages of the default ladder with days after
-# concession and tenths of the loan still at risk.
+# Score range; lowest score, rate range and amount range of each price band; floor of each probability, and
+# the points below 700 that make it 1; days between instalments; late fee.
 SCORE_RANGE = (300, 850)
 PRICE_BANDS = [(750, (0.8, 1.5), (5000.0, 50000.0)), (600, (1.5, 3.5), (1000.0, 20000.0))]
 PRICE_REST = ((3.5, 8.0), (500.0, 8000.0))
 SCORE_PIVOT = 700
-DEFAULT_FLOOR, DEFAULT_SCALE = 20, 1000
-LATE_FLOOR, LATE_SCALE = 40, 800
+DEFAULT_FLOOR, DEFAULT_SCALE = 0.02, 1000
+LATE_FLOOR, LATE_SCALE = 0.05, 800
 INSTALMENT_DAYS = 30
 LATE_FEE_PERCENT = 2
-LADDER = [("ATRASO_30", 30, 10), ("ATRASO_60", 60, 8), ("ATRASO_90", 90, 6), ("CALOTE", 120, 4)]
 
 
 def score_limitado(score: Column) -> Column:
@@ -26,18 +24,19 @@ def score_limitado(score: Column) -> Column:
     return F.when(score.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), score)).cast("long"))
 
 
-def _excess(score: Column, floor: int) -> Column:
-    """Points below the pivot, at least ``floor``; a decimal, as the score of a junk text may be the smallest long."""
-    points = F.lit(SCORE_PIVOT) - score.cast("decimal(19,0)")
-    return F.when(score.isNotNull(), F.greatest(F.lit(floor).cast("decimal(20,0)"), points))
+def _points_below(score: Column) -> Column:
+    """Points below the pivot; a decimal, as the score of a junk text may be the smallest long."""
+    return F.lit(SCORE_PIVOT) - score.cast("decimal(19,0)")
 
 
 def prob_inadimplencia(score: Column) -> Column:
-    return _excess(score, DEFAULT_FLOOR).cast("double") / float(DEFAULT_SCALE)
+    chance = _points_below(score).cast("double") / float(DEFAULT_SCALE)
+    return F.when(score.isNotNull(), F.greatest(F.lit(DEFAULT_FLOOR), chance))
 
 
 def prob_atraso(score: Column) -> Column:
-    return _excess(score, LATE_FLOOR).cast("double") / float(LATE_SCALE)
+    chance = _points_below(score).cast("double") / float(LATE_SCALE)
+    return F.when(score.isNotNull(), F.greatest(F.lit(LATE_FLOOR), chance))
 
 
 def probabilidades_risco(clientes: DataFrame) -> DataFrame:
@@ -78,13 +77,15 @@ def politica_preco(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     )
 
 
+def _to_cents(amount: Column) -> Column:
+    """Rounded half up to cents, for amounts of any size. Digits beyond the ninth decimal are noise of the doubles, and
+    would turn a half cent down."""
+    return F.round(F.round(amount, 9), 2)
+
+
 def valor_cotado(valor: Column, parcelas: Column, taxa: Column) -> Column:
-    """Instalment of ``valor`` over ``parcelas`` at ``taxa`` percent, rounded half up to cents."""
-    count = parcelas.cast("long")
-    exactly = half_up(cents(valor) * (F.lit(10000).cast("long") + cents(taxa)), count * 10000)
-    roughly = F.round(valor / F.nullif(count.cast("double"), F.lit(0.0)) * (taxa / 100.0 + 1.0), 2)
-    sane = in_cents(valor) & taxa.between(0.0, 10000.0) & count.between(0, 1000000)
-    return F.when(sane, from_cents(exactly)).otherwise(roughly)
+    """Instalment of ``valor`` over ``parcelas`` at ``taxa`` percent, in cents; NULL for a zero count."""
+    return _to_cents(valor / F.nullif(parcelas.cast("double"), F.lit(0.0)) * (taxa / 100.0 + 1.0))
 
 
 def cotacao_parcela(emprestimos: DataFrame) -> DataFrame:
@@ -98,7 +99,9 @@ def cotacao_parcela(emprestimos: DataFrame) -> DataFrame:
 def perda_esperada(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     """Expected loss by score band: amount times default probability, summed exactly."""
     amount = F.col("valor_emprestado")
-    weight = _excess(F.col("score_credito"), DEFAULT_FLOOR)
+    # the probability as whole thousandths keeps the sum exact
+    floor = F.lit(int(DEFAULT_FLOOR * DEFAULT_SCALE)).cast("decimal(20,0)")
+    weight = F.when(F.col("score_credito").isNotNull(), F.greatest(floor, _points_below(F.col("score_credito"))))
     loss = total(F.sum(exact(amount) * weight), F.sum(beyond(amount) * weight.cast("double")))
     return (
         _with_score(
@@ -122,11 +125,13 @@ def cronograma_parcelas(emprestimos: DataFrame, as_of: str) -> DataFrame:
     The count is cut to the due ones before the rows are made, so a wild instalment count costs nothing.
     """
     elapsed = F.datediff(F.lit(as_of).cast("date"), F.col("data_concessao"))
-    due = F.least(F.col("num_parcelas"), F.floor(elapsed / float(INSTALMENT_DAYS))).cast("int")
+    due = F.least(F.col("num_parcelas"), F.floor(elapsed / float(INSTALMENT_DAYS)))
     return (
         emprestimos.where("num_parcelas is not null and data_concessao is not null")  # least skips NULL
         .select("emprestimo_id", "cliente_id", "data_concessao", "valor_parcela", due.alias("_due"))
-        .where(F.col("_due") >= 1)  # sequence counts down when its end is below its start
+        # sequence counts down when its end is below its start; and a junk count may be the smallest long
+        .withColumn("_due", F.when(F.col("_due") >= 1, F.col("_due")).cast("int"))
+        .where(F.col("_due").isNotNull())
         .withColumn("parcela_num", F.explode(F.sequence(F.lit(1), F.col("_due"))))
         .select(
             "emprestimo_id",
@@ -142,8 +147,7 @@ def multa_atraso(pagamentos: DataFrame) -> DataFrame:
     """Settlement of paid instalments: a late one owes the fee on top. Unpaid ones have no status and no amount."""
     late = F.col("data_pagamento") > F.col("data_vencimento")
     owed = F.col("valor_devido")
-    exactly = from_cents(half_up(cents(owed) * (100 + LATE_FEE_PERCENT), F.lit(100).cast("long")))
-    with_fee = F.when(in_cents(owed), exactly).otherwise(F.round(owed * (1 + LATE_FEE_PERCENT / 100), 2))
+    with_fee = _to_cents(owed * (1 + LATE_FEE_PERCENT / 100))
     return pagamentos.select(
         "emprestimo_id",
         "parcela_num",
@@ -153,27 +157,3 @@ def multa_atraso(pagamentos: DataFrame) -> DataFrame:
         F.when(late, "ATRASADO").when(~late, "PAGO").alias("status_apurado"),
         F.when(late, with_fee).when(~late, owed).alias("valor_apurado"),
     )
-
-
-def escada_eventos(emprestimos: DataFrame) -> DataFrame:
-    """All ladder stages of each defaulted loan."""
-    steps = F.array(
-        *[
-            F.struct(F.lit(kind).alias("tipo"), F.lit(days).alias("dias"), F.lit(part).cast("long").alias("decimos"))
-            for kind, days, part in LADDER
-        ]
-    )
-    amount, tenths = F.col("valor_emprestado"), F.col("etapa.decimos")
-    exactly = from_cents(half_up(cents(amount) * tenths, F.lit(10).cast("long")))
-    at_risk = F.when(in_cents(amount), exactly).otherwise(F.round(amount * tenths / 10.0, 2))
-    return (
-        emprestimos.where(F.col("status") == DEFAULTED)
-        .withColumn("etapa", F.explode(steps))
-        .select(
-            "cliente_id",
-            "emprestimo_id",
-            F.col("etapa.tipo").alias("tipo_evento"),
-            F.date_add("data_concessao", F.col("etapa.dias")).alias("data_evento"),
-            at_risk.alias("valor_em_risco"),
-        )
-    )

@@ -9,7 +9,9 @@ projection: no shuffle.
 from pyspark.sql import DataFrame, functions as F
 
 from risklake.functions.bands import LOAN_STATUSES, income_band, score_band, severity
-from risklake.functions.parse import millis_to_date, millis_to_julian, to_date, to_integer, to_millis, to_real
+from risklake.functions.parse import (
+    has_calendar_day, millis_to_date, millis_to_julian, to_date, to_integer, to_millis, to_real,
+)
 from risklake.functions.text import code, document_number
 
 
@@ -62,8 +64,8 @@ def pagamentos(bronze: DataFrame) -> DataFrame:
             "pagamento_id",
             "emprestimo_id",
             "parcela_num",
-            millis_to_date(due).alias("data_vencimento"),
-            millis_to_date(paid).alias("data_pagamento"),
+            F.when(has_calendar_day(F.col("data_vencimento")), millis_to_date(due)).alias("data_vencimento"),
+            F.when(has_calendar_day(F.col("data_pagamento")), millis_to_date(paid)).alias("data_pagamento"),
             to_real(F.col("valor_devido")).alias("valor_devido"),
             to_real(F.col("valor_pago")).alias("valor_pago"),
             code(F.col("status")).alias("status"),

@@ -1,6 +1,6 @@
 """Semicolon-separated files: tolerant in content, strict in shape."""
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from risklake.functions.text import na_to_null
 from risklake.sources.schemas import Source
@@ -25,7 +25,7 @@ def read_raw(spark: SparkSession, path: str, source: Source) -> DataFrame:
 
     Columns go by the names in the header, in any order; a missing one fails, further ones are kept. All files below
     ``path`` must have the same header. A short row is padded with NULL; a row with more fields than the header fails
-    the read.
+    the read, and so does one with an open quote, unless the source is ``multiline``.
     """
     header = _reader(spark, source).csv(path).columns  # reads one line
     missing = [name for name in source.columns if name not in header]
@@ -45,9 +45,18 @@ def read_raw(spark: SparkSession, path: str, source: Source) -> DataFrame:
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(SEPARATOR), F.lit("")))
     too_long = F.col(RECORD).isNotNull() & (separators >= len(header))
     # the message names the row by its first field too: a scan of the record column alone is not allowed
-    label = f"{source.table}: more than {len(header)} fields where {header[0]} is "
-    message = F.concat_ws("", F.lit(label), F.col(f"`{header[0]}`"), F.lit(": "), F.col(RECORD))
-    checked = lines.where(F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(True))
+    def failure(what: str) -> Column:
+        label = f"{source.table}: {what} where {header[0]} is "
+        return F.raise_error(F.concat_ws("", F.lit(label), F.col(f"`{header[0]}`"), F.lit(": "), F.col(RECORD))).cast("boolean")
+
+    # a quoted line break ends the record early, in an open quote; what follows is then short, so both are checked
+    quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
+    open_quote = F.lit(not source.multiline) & F.col(RECORD).isNotNull() & (quotes % 2 == 1)
+    checked = lines.where(
+        F.when(open_quote, failure("an open quote (set multiline for quoted line breaks)"))
+        .when(too_long, failure(f"more than {len(header)} fields"))
+        .otherwise(True)
+    )
     return checked.select([na_to_null(F.col(f"`{name}`")).alias(name) for name in header])
 
 

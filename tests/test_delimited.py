@@ -67,6 +67,12 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert values(read(spark, tmp_path, 'a;b;c\n1;"x\ny";3\n', source)) == [("1", "x\ny", "3")]
 
 
+def test_quoted_line_breaks_fail_a_source_without_them(spark, tmp_path):
+    for text in ('a;b;c\n1;"x\ny";3\n', 'a;b;c\n1;"x;y\n2;2;2\n', 'a;b;c\n1;2;"x\ny"\n3;4;5\n'):
+        with pytest.raises(Exception, match="open quote .set multiline"):
+            read(spark, tmp_path, text).collect()
+
+
 def test_round_trip(spark, tmp_path):
     rows = [("1", ' "q"; ', "x"), ("2", None, " s "), ("3", "\\", "a;b")]
     df = spark.createDataFrame(rows, "a string, b string, c string")

@@ -163,20 +163,8 @@ def test_multa_atraso(spark):
         assert (row.status_apurado, row.valor_apurado) == expected
 
 
-def test_escada_eventos(loans):
-    expected = set()
-    for loan in LOANS:
-        if loan[6] == "INADIMPLENTE":
-            for i, kind in enumerate(["ATRASO_30", "ATRASO_60", "ATRASO_90", "CALOTE"]):
-                at_risk = half_up(dec(loan[2]) * (10 - 2 * i) / 10)
-                expected.add((loan[1], loan[0], kind, loan[5] + dt.timedelta(days=30 * (i + 1)), at_risk))
-    rows = loanbook.escada_eventos(loans).collect()
-    assert len(rows) == len(expected)
-    assert {tuple(row) for row in rows} == expected
-
-
 def test_junk_amounts(spark):
-    """Amounts beyond integer cents are calculated in doubles, and none is lost or fails."""
+    """Amounts of any size go by one rule, and none is lost or fails."""
     day = dt.date(2024, 1, 1)
     amounts = [1e20, float("inf"), -50.0, 250.0, None]
     rows = [(str(i), "1", v, 10, 2.0, day, "INADIMPLENTE", 1.0) for i, v in enumerate(amounts)]
@@ -185,8 +173,6 @@ def test_junk_amounts(spark):
     quotes = {row.emprestimo_id: row.parcela_cotada for row in loanbook.cotacao_parcela(df).collect()}
     assert (quotes["1"], quotes["2"], quotes["3"], quotes["4"]) == (float("inf"), -5.1, 25.5, None)
     assert quotes["0"] == pytest.approx(1.02e19) and quotes["n"] == 0.0 and quotes["t"] == pytest.approx(1e17)
-    ladder = loanbook.escada_eventos(df.where("emprestimo_id = '0'")).collect()
-    assert [row.valor_em_risco for row in ladder] == pytest.approx([1e20, 8e19, 6e19, 4e19])
     clients = spark.createDataFrame([("1", 300, "ALTO")], "cliente_id string, score_credito long, faixa_risco string")
     finite = df.where("emprestimo_id in ('0', '3')")
     row = loanbook.perda_esperada(finite, clients).first()
@@ -198,3 +184,17 @@ def test_junk_amounts(spark):
         "emprestimo_id string, parcela_num int, data_vencimento date, data_pagamento date, valor_devido double",
     )
     assert loanbook.multa_atraso(paid).first().valor_apurado == pytest.approx(1.02e20)
+
+
+def test_quotes_keep_all_decimals_of_the_rate(spark):
+    rows = [(10000.0, 1, 0.125, 10012.5), (10000.0, 10, 1.255, 1012.55), (100.0, 1, 0.005, 100.01), (200.0, 1, 0.0025, 200.01)]
+    df = spark.createDataFrame(rows, "v double, n long, t double, expected double")
+    for row in df.select(loanbook.valor_cotado(F.col("v"), F.col("n"), F.col("t")).alias("q"), "expected").collect():
+        assert row.q == row.expected
+
+
+def test_schedule_survives_junk_counts(spark):
+    day = dt.date(1999, 11, 1)
+    rows = [("a", "1", 1.0, -(2**63), 2.0, day, "ATIVO", 1.0), ("b", "1", 1.0, 2**63 - 1, 2.0, day, "ATIVO", 1.0)]
+    got = loanbook.cronograma_parcelas(spark.createDataFrame(rows, LOAN), "2000-01-01").collect()
+    assert [(r.emprestimo_id, r.parcela_num) for r in got] == [("b", 1), ("b", 2)]

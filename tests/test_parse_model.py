@@ -62,14 +62,16 @@ def model_millis(text):
             return None
         if text[4] != "-" or text[7] != "-":
             return None
-        day = dt.datetime(int(text[:4]), int(text[5:7]), int(text[8:10]))
+        if not 1 <= int(text[8:10]) <= 31:
+            return None
+        day = dt.datetime(int(text[:4]), int(text[5:7]), 1) + dt.timedelta(int(text[8:10]) - 1)
         rest = text[10:].lstrip(BLANK + "T")
         seconds = minutes = 0.0
         if rest:
             clock, zone = rest[:5], rest[5:]
             if len(clock) < 5 or clock[2] != ":" or not (clock[:2] + clock[3:]).isascii():
                 return None
-            if not (clock[:2] + clock[3:]).isdigit() or int(clock[:2]) > 23 or int(clock[3:]) > 59:
+            if not (clock[:2] + clock[3:]).isdigit() or int(clock[:2]) > 24 or int(clock[3:]) > 59:
                 return None
             if zone.startswith(":"):
                 end = scan_digits(zone, 1)
