@@ -173,11 +173,17 @@ class _Links:
         self.found: DataFrame | None = None
         self.connected: DataFrame | None = None
 
+    def load(self, ids: DataFrame) -> None:
+        """Make the full sets (id, tokens) of these documents, and of no others. Texts are shuffled once."""
+        wanted = self.reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
+        texts = self.texts.hint("merge").join(ids, "id", "left_semi")
+        made = texts.mapInArrow(_sets(self.words), "id long, d0 long, d1 long, tokens array<long>")
+        once = made.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]).select("id", "tokens")
+        self.sets = stage(once, "sets")
+
     def add(self, pairs: DataFrame) -> None:
         """Confirm pairs (a, b) on the full sets."""
-        if not pairs.isEmpty():
-            ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-            self.merge(stage(_confirm(pairs, stage(self.sets(ids), "sets"), self.percent), "confirmed"))
+        self.merge(stage(_confirm(pairs, self.sets, self.percent), "confirmed"))
 
     def add_within(self, clusters: DataFrame) -> None:
         """Compare the sets of each cluster (id, cluster) block against block, and keep links between components."""
@@ -188,7 +194,7 @@ class _Links:
             return
         blocks = F.ceil(F.col("n") / BLOCK)
         rows = open_.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")))
-        rows = rows.join(self.sets(open_.select("id")), "id")
+        rows = rows.join(self.sets, "id")
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
         rows = rows.select(
             F.xxhash64("cluster", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("block"), "id", "of",
@@ -197,12 +203,6 @@ class _Links:
         dealt = rows.repartition("block").sortWithinPartitions("block", "id")
         self.merge(stage(dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct(), "linked"))
 
-    def sets(self, ids: DataFrame) -> DataFrame:
-        """Full sets (id, tokens), made anew for these documents only."""
-        wanted = self.reps.select("id", "d0", "d1").join(ids, "id", "left_semi")
-        made = self.texts.join(ids, "id", "left_semi").mapInArrow(_sets(self.words), "id long, d0 long, d1 long, tokens array<long>")
-        return made.join(wanted, ["id", "d0", "d1"], "left_semi").dropDuplicates(["id"]).select("id", "tokens")
-
     def merge(self, new: DataFrame) -> None:
         if not new.isEmpty():
             self.found = new if self.found is None else self.found.unionByName(new)
@@ -236,30 +236,32 @@ def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: in
         nodes = _descend(nodes, F.col("tokens"), threshold)
     rows = stage(reps.select("id", "s0", "s1", F.explode(F.array_distinct(nodes)).alias("node")), "nodes")
     for depth in range(DEPTH, MAX_DEPTH + 1):
-        heads = rows.groupBy("node").agg(F.min(F.struct("id", "s0", "s1")).alias("head"), F.count(F.lit(1)).alias("n"))
-        members = stage(rows.join(heads.where("n > 1"), "node"), "members")
+        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = stage(rows.join(counts, "node"), "members")
         last = depth == MAX_DEPTH
         small = members if last else members.where(F.col("n") <= EXHAUSTIVE)
         dealt = small.select("node", "id", "s0", "s1").repartition("node").sortWithinPartitions("node", "id")
         near = dealt.mapInArrow(_near(limit), "a long, b long")
         large = members.where(F.col("n") > EXHAUSTIVE)
-        star = large.where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
-        near = near.unionByName(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")))
+        branching = not last and not large.isEmpty()
+        if branching:  # their documents are compared with the first one here
+            heads = large.groupBy("node").agg(F.min(F.struct("id", "s0", "s1")).alias("head"))
+            star = large.join(heads, "node").where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
+            near = near.unionByName(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")))
         near = stage(known.open(near.distinct()), "near")
-        # a pair for each document, then those that still connect something, then all that hang together
-        nearest = stage(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-        known.add(nearest)
-        known.add(stage(known.open(near.join(nearest, ["a", "b"], "left_anti")), "near-rest"))
+        ids = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
+        known.load(ids)
+        known.add(near)
+        # what hangs together by near sketches, but not by links, is compared set by set
         left = stage(known.open(near), "near-open")
         if not left.isEmpty():
-            ids = left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id")))
-            owners = known.labelled(ids.distinct()).select("of").distinct()
+            labelled = stage(known.labelled(ids), "labelled")
+            owners = labelled.join(left.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_semi").select("of").distinct()
             # whole components take part: a link may lead to any of their documents
-            everyone = known.labelled(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct())
-            own = everyone.join(owners, "of", "left_semi").select(F.col("id").alias("a"), F.col("of").alias("b"))
+            own = labelled.join(owners, "of", "left_semi").select(F.col("id").alias("a"), F.col("of").alias("b"))
             clusters = components(left.unionByName(own)).select("id", F.col("component").alias("cluster"))
             known.add_within(clusters)
-        if last:
+        if not branching:
             break
         labelled = known.labelled(large.select("node", "id", "s0", "s1"))
         mixed = labelled.groupBy("node").agg(F.min("of").alias("_x"), F.max("of").alias("_y")).where("_x != _y").select("node")
