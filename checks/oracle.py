@@ -483,6 +483,10 @@ with linhas as (
   from lineitem
 )
 select *, rank() over (order by valor desc nulls last) as posicao from linhas
+""",
+    "juncao_chave_quente": """
+select o_orderkey as emprestimo_id, if(o_orderkey % 3 = 0, 1, o_custkey) as cliente_id, c_acctbal as saldo
+from orders left join customer on c_custkey = if(o_orderkey % 3 = 0, 1, o_custkey)
 """,
     "score_limitado": """
 select c_custkey as cliente_id,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from checks import tables as t
 from risklake.functions import bands, parse, text
 from risklake.operators.rank import global_rank
+from risklake.operators.skew import join_spread
 from risklake.operators.stage import stage_path
 from risklake.plans import gold, loanbook, silver
 from risklake.plans.refresh import count_rows, refresh
@@ -224,6 +225,16 @@ def _rank(spark: SparkSession, sf: str) -> DataFrame:
     return global_rank(rows, "valor", "posicao")
 
 
+def _chave_quente(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the loans on one client, in a join that splits every key with a thousandth of the rows."""
+    loans = t.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("emprestimo_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("o_custkey")).alias("cliente_id"),
+    )
+    counts = t.table(spark, sf, "customer").groupBy(F.col("c_custkey").alias("cliente_id")).agg(F.max("c_acctbal").alias("saldo"))
+    return join_spread(loans, counts, "cliente_id", "left", share=0.001)
+
+
 def _score_limitado(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.floor(F.col("c_acctbal") / 10)
     score = F.when(F.col("c_mktsegment") != "BUILDING", raw)
@@ -272,6 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_ida_e_volta": _csv,
     "carga_completa": _carga,
     "rank_global_distribuido": _rank,
+    "juncao_chave_quente": _chave_quente,
     "score_limitado": _score_limitado,
     "politica_preco": _politica,
     "cotacao_parcela": _cotacao,

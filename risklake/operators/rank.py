@@ -1,50 +1,37 @@
 """RANK() over a whole dataset without one task that sees all of it."""
 
-from math import inf, isfinite
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from risklake.operators.skew import hot_keys, join_spread
-
-NULL_BUCKET = -1
+from risklake.operators.skew import join_spread
+from risklake.operators.stage import stage
 
 
-def global_rank(
-    df: DataFrame, value: str, rank: str, buckets: int | None = None, hot: list | None = None
-) -> DataFrame:
+def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None, share: float | None = None) -> DataFrame:
     """Add ``rank`` = ``RANK() OVER (ORDER BY value DESC)`` as a long; NULL values come last.
 
     A window without a partition key would sort everything in a single task. Here the rows are first counted per
-    distinct value, which folds ties however many rows share them; the distinct values are cut into ranges of about
-    equal size; each range is ranked on its own; and the rows in higher ranges are added from a table of one row per
-    range. The cut points only steer the load: any cut gives the same ranks. Values that many rows share (``hot``,
-    found if not given) are spread in the join that brings the ranks back to the rows.
+    distinct value, which folds ties however many rows share them; the distinct values are sorted into ranges and written with
+    the number of their range; each range is ranked on its own; and the rows in earlier ranges are added from a table
+    of one row per range. The ranges are cut by a bounded sample of Spark's and only steer the load: any cut gives the
+    same ranks. Values that many rows share are spread in the join that brings the ranks back to the rows.
 
-    ``df`` is read several times, so pass a stored table (see ``stage``). Cut points and hot values are computed at
-    once, the rest is lazy.
+    ``df`` is read several times, so pass a stored table (see ``stage``). The ranges are written at once, the rest is
+    lazy.
     """
-    buckets = max(buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_x", F.col(value).cast("double"))
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = {cut for cut in counts.approxQuantile("_x", shares, 0.1 / buckets) if isfinite(cut)} or {0.0}
-    ranges = (
-        Bucketizer(splits=[-inf, *sorted(cuts), inf], handleInvalid="keep", inputCol="_x", outputCol="_bucket")
-        .transform(counts)
-        .withColumn("_bucket", F.when(F.col("_x").isNull(), NULL_BUCKET).otherwise(F.col("_bucket").cast("int")))
-    )
-
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranges.groupBy("_bucket").agg(F.sum("_n").alias("_total"))
-    offsets = totals.select("_bucket", F.coalesce(F.sum("_total").over(above), F.lit(0)).alias("_offset"))
-
-    within = Window.partitionBy("_bucket").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    order = F.desc_nulls_last(value)
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = counts.repartitionByRange(buckets, order) if buckets else counts.repartitionByRange(order)
+    ranges = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    offsets = totals.select("_range", F.coalesce(F.sum("_total").over(above), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     prior = F.coalesce(F.sum("_n").over(within), F.lit(0))
-    # one row per bucket: the bucket count bounds the broadcast. Every bucket has its row; a left join adds no filter
-    # to this side, so that both uses of the counts share one shuffle
+    # one row per range: the number of partitions bounds the broadcast
     ranks = (
-        ranges.select(value, "_bucket", prior.alias("_prior"))
-        .join(F.broadcast(offsets), "_bucket", "left")
+        ranges.select(value, "_range", prior.alias("_prior"))
+        .join(F.broadcast(offsets), "_range")
         .withColumn(rank, (F.col("_offset") + F.col("_prior") + 1).cast("long"))
     )
     # NULL joins NULL
@@ -52,6 +39,4 @@ def global_rank(
         "_value": F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)),
         "_null": F.col(value).isNull(),
     }
-    rows = df.withColumns(key)
-    hot = hot_keys(rows, "_value") if hot is None else hot
-    return join_spread(rows, ranks.withColumns(key).select(*key, rank), list(key), hot=hot).drop(*key)
+    return join_spread(df.withColumns(key), ranks.withColumns(key).select(*key, rank), list(key), share=share).drop(*key)

@@ -1,51 +1,50 @@
 """Joins whose hot keys are spread over many tasks."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# A sketch of this many counters finds every key with more than about 1/7500 of the rows.
-SKETCH_ITEMS = 10000
-MAX_HOT_KEYS = 1000
+#: a key is hot if it holds so many times the rows of an average shuffle partition
+HOT = 2.0
 
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None, min_rows: int = 1_000_000) -> list:
-    """Keys that hold at least ``share`` of the rows and ``min_rows`` rows, the 1000 largest if there are more.
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
+    """(key, slices): the keys that hold at least ``share`` of the rows, by default ``HOT`` average shuffle partitions, and
+    into how many slices of half that size each is to be cut.
 
-    By default a key is hot if it holds twice the rows of an average shuffle partition. One pass over one column with a
-    sketch of fixed size. The list steers the load only; a key more or less in it never changes a result.
+    Keys are counted exactly, folded on the map side first. At most 1 / share keys can hold that share each, which
+    bounds the result however many keys and rows there are. Lazy: nothing runs before the result is used.
     """
-    share = share or 2 / _partitions(df)
-    sketch = F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
-    found = df.where(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows")).first()
-    floor = max(min_rows, share * found["rows"])
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= floor]
+    share = min(share or HOT / _partitions(df), 1.0)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    slices = F.ceil(F.col("_n") / (total * F.lit(share / 2))).cast("long")
+    return counts.where(F.col("_n") >= total * F.lit(share)).select(key, slices.alias("_slices"))
+
+
+def _row_slice(df: DataFrame, slices: Column) -> Column:
+    """Slice of a row, the same whenever a task over a stored table is repeated. Equal rows differ in their place."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), slices)
 
 
 def join_spread(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: str | list[str],
-    how: str = "inner",
-    hot: list = (),
-    slices: int | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "inner", share: float | None = None
 ) -> DataFrame:
-    """Equi-join with the ``hot`` values of the first key cut into ``slices``.
+    """Equi-join with the hot values of the first key cut into slices.
 
-    ``lookup`` should hold few rows per key; its rows for hot values are copied to each slice. ``how`` is inner or left.
-    Adaptive execution splits skewed joins by itself only when both sides come straight from a shuffle; this is for
-    a lookup that was grouped by the join key. The slice is a hash of the row, so a retried task repeats it.
+    ``rows`` comes from a stored table, ``lookup`` should hold few rows per key; its rows for hot values are copied to
+    each slice of the value. ``how`` is inner or left. Adaptive execution splits skewed joins by itself only when both
+    sides come straight from a shuffle; this is for a lookup that was grouped by the join key. The table of hot keys is
+    broadcast: it has at most 1 / share rows.
     """
     keys = [keys] if isinstance(keys, str) else keys
-    if not hot:
-        return rows.join(lookup, keys, how)
-    slices = slices or _partitions(rows)
-    is_hot = F.col(keys[0]).isin(list(hot))
-    zero, last = F.lit(0).cast("long"), F.lit(slices - 1).cast("long")
-    by_row = F.pmod(F.xxhash64(*rows.columns), F.lit(slices).cast("long"))
-    sliced = rows.withColumn("_slice", F.when(is_hot, by_row).otherwise(zero))
-    copies = F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))
-    copied = lookup.withColumn("_slice", F.explode(copies))
-    return sliced.join(copied, [*keys, "_slice"], how).drop("_slice")
+    hot = F.broadcast(hot_keys(rows, keys[0], share))
+    one = F.lit(1).cast("long")
+    slices = F.coalesce(F.col("_slices"), one)
+    sliced = rows.join(hot, keys[0], "left")
+    sliced = sliced.withColumn("_slice", F.when(slices > 1, _row_slice(rows, slices)).otherwise(F.lit(0).cast("long")))
+    copied = lookup.join(hot, keys[0], "left").withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - one)))
+    joined = sliced.drop("_slices").join(copied.drop("_slices"), [*keys, "_slice"], how).drop("_slice")
+    return joined

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +24,27 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: tables staged by this process and not deleted yet
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back."""
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def deleting_staged(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``stage`` writes inside, at the end. Nothing that reads them may be used after it."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _staged[before:]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
+        del _staged[before:]

@@ -3,7 +3,7 @@
 Cleaned tables are not deduplicated, and a view counts a row once for each row it joins to. Before a join at least one
 side is folded to one row per key that carries how many rows it stands for, so copies and hot keys shrink in the
 map-side combine before a shuffle, and no join emits all pairs of a key. The rows of hot clients and loans are spread in
-the joins they reach (``hot`` holds the hot clients, and is found if not given).
+the joins they reach.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from risklake.functions.bands import ACTIVE, DEFAULTED, delay_points
 from risklake.functions.money import beyond, count_of, exact, percent, total
 from risklake.operators.rank import global_rank
-from risklake.operators.skew import hot_keys, join_spread
+from risklake.operators.skew import join_spread
 from risklake.operators.stage import stage
 
 PROFILE = ["cliente_id", "nome", "score_credito", "faixa_risco", "estado"]
@@ -29,11 +29,6 @@ def _rows() -> Column:
     return F.count(F.lit(1)).cast("decimal(20,0)")
 
 
-def hot_clients(clientes: DataFrame, emprestimos: DataFrame) -> list:
-    """Clients with a large share of the client and loan rows."""
-    return hot_keys(clientes.select("cliente_id").unionAll(emprestimos.select("cliente_id")), "cliente_id")
-
-
 def _defaulted() -> Column:
     return F.col("status") == DEFAULTED
 
@@ -43,11 +38,8 @@ def _if_defaulted(amount: Column) -> Column:
     return F.when(_defaulted(), amount).otherwise(F.lit(0.0))
 
 
-def inadimplencia_por_estado(
-    emprestimos: DataFrame, clientes: DataFrame, hot: list | None = None
-) -> DataFrame:
+def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     """Default rate and amount at risk by state of the client."""
-    hot = hot_clients(clientes, emprestimos) if hot is None else hot
     # flags are smaller to shuffle than statuses
     loans = emprestimos.select(
         "emprestimo_id",
@@ -58,7 +50,7 @@ def inadimplencia_por_estado(
     risk, copies = F.col("risco"), F.col("copias")
     # one row per state and loan makes the distinct counts plain counts: no Expand, no hot state
     per_loan = (
-        join_spread(loans, _folded(clientes, "cliente_id", "estado"), "cliente_id", hot=hot)
+        join_spread(loans, _folded(clientes, "cliente_id", "estado"), "cliente_id")
         .groupBy("estado", "emprestimo_id")
         .agg(
             F.max("inadimplente").alias("inadimplente"),
@@ -117,7 +109,7 @@ def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
 
 
 def exposicao(
-    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool, hot: list | None = None
+    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool
 ) -> DataFrame:
     """Loans and risk events per client with a defaulted amount above zero.
 
@@ -136,8 +128,9 @@ def exposicao(
             F.sum(beyond(amount)).alias("emprestado_alem"),
             F.sum(exact(risk)).alias("inadimplente"),
             F.sum(beyond(risk)).alias("inadimplente_alem"),
+            F.sum(risk).alias("_positivo"),  # in doubles, which hold what the decimals round away
         )
-        .where(total(F.col("inadimplente"), F.col("inadimplente_alem")) > 0)
+        .where(F.col("_positivo") > 0)
     )
     events = eventos.groupBy("cliente_id").agg(
         _rows().alias("linhas_evento"),
@@ -146,8 +139,7 @@ def exposicao(
     )
     per_client = loans.join(events, "cliente_id", "left")
     profiles = _folded(clientes, *PROFILE)
-    hot = hot_clients(clientes, emprestimos) if hot is None else hot
-    joined = join_spread(profiles, per_client, "cliente_id", hot=hot)
+    joined = join_spread(profiles, per_client, "cliente_id")
 
     one = F.lit(1).cast("decimal(20,0)")
     per_loan = F.col("copias") * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
@@ -163,10 +155,10 @@ def exposicao(
 
 
 def ranking_risco_clientes(
-    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool = True, hot: list | None = None
+    clientes: DataFrame, emprestimos: DataFrame, eventos: DataFrame, fan_out: bool = True
 ) -> DataFrame:
     """Clients ranked by defaulted amount. The ranked rows are staged once, as the rank reads them several times."""
-    rows = stage(exposicao(clientes, emprestimos, eventos, fan_out, hot), "exposicao")
+    rows = stage(exposicao(clientes, emprestimos, eventos, fan_out), "exposicao")
     share = percent(F.col("valor_inadimplente"), F.col("valor_total_emprestado"))
     return (
         global_rank(rows, "valor_inadimplente", "ranking_exposicao")
@@ -175,13 +167,12 @@ def ranking_risco_clientes(
     )
 
 
-def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | None = None) -> DataFrame:
+def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
     """Profile of each score band; averages are over loans, so a client weighs by its loans.
 
     Averages and clients are counted on loans folded per client; distinct loans are counted per band and loan. Both
     go into one aggregate per band, without the row copies of several distinct counts in one.
     """
-    hot = hot_clients(clientes, emprestimos) if hot is None else hot
     rate, amount = F.col("taxa_juros"), F.col("valor_emprestado")
     loans = emprestimos.groupBy("cliente_id").agg(
         _rows().alias("linhas"),
@@ -196,7 +187,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     copies, score = F.col("copias"), F.col("score_credito").cast("double")
     weighed = ["taxas", "taxa", "taxa_alem", "valores", "valor", "valor_alem"]
     per_client = (
-        join_spread(bands, loans, "cliente_id", hot=hot)
+        join_spread(bands, loans, "cliente_id")
         .groupBy("faixa_risco", "cliente_id")
         .agg(
             F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
@@ -207,7 +198,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
     )
     flags = emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
     per_loan = (
-        join_spread(flags, clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id", hot=hot)
+        join_spread(flags, clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
         .groupBy("faixa_risco", "emprestimo_id")
         .agg(F.max("inadimplente").alias("inadimplente"))
     )
@@ -232,7 +223,7 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame, hot: list | Non
 
 
 def alerta_risco_iminente(
-    clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, hot: list | None = None
+    clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame
 ) -> DataFrame:
     """Clients with active loans who paid late on any loan, with a composite score (not clamped to 100)."""
     # clients without a late payment drop out, and the largest delay of the others is a late one: early and unpaid
@@ -255,7 +246,7 @@ def alerta_risco_iminente(
         F.sum(beyond(amount)).alias("exposto_alem"),
     )
     history = (
-        join_spread(loans, late, "emprestimo_id", "left", hot=hot_keys(emprestimos, "emprestimo_id"))
+        join_spread(loans, late, "emprestimo_id", "left")
         .groupBy("cliente_id")
         .agg(
             F.sum(F.col("copias") * F.col("atrasos")).alias("atrasos"),
@@ -268,8 +259,7 @@ def alerta_risco_iminente(
         .where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
     )
     profiles = _folded(clientes, *PROFILE)
-    hot = hot_clients(clientes, emprestimos) if hot is None else hot
-    joined = join_spread(profiles, history, "cliente_id", hot=hot)
+    joined = join_spread(profiles, history, "cliente_id")
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (
@@ -298,13 +288,12 @@ def preview_score(por_score: DataFrame) -> DataFrame:
     )
 
 
-def views(clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, eventos: DataFrame) -> dict:
-    """The five views by name."""
-    hot = hot_clients(clientes, emprestimos)
+def views(clientes: DataFrame, emprestimos: DataFrame, pagamentos: DataFrame, ranking: DataFrame) -> dict:
+    """The five views by name. Nothing runs here; the ranking is read from where it was stored."""
     return {
-        "gold_inadimplencia_por_estado": inadimplencia_por_estado(emprestimos, clientes, hot),
+        "gold_inadimplencia_por_estado": inadimplencia_por_estado(emprestimos, clientes),
         "gold_evolucao_inadimplencia": evolucao_inadimplencia(emprestimos),
-        "gold_ranking_risco_clientes": ranking_risco_clientes(clientes, emprestimos, eventos, hot=hot),
-        "gold_risco_por_score": risco_por_score(clientes, emprestimos, hot),
-        "gold_alerta_risco_iminente": alerta_risco_iminente(clientes, emprestimos, pagamentos, hot),
+        "gold_ranking_risco_clientes": ranking.orderBy("ranking_exposicao", *PROFILE),
+        "gold_risco_por_score": risco_por_score(clientes, emprestimos),
+        "gold_alerta_risco_iminente": alerta_risco_iminente(clientes, emprestimos, pagamentos),
     }

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from risklake.operators.stage import deleting_staged
 from risklake.plans import gold, silver
 from risklake.sources.delimited import read_raw
 from risklake.sources.schemas import SOURCES
@@ -36,9 +37,15 @@ def _store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+RANKING = "gold_ranking_risco_clientes"
+
+
 def _publish(path: str, tables: dict[str, DataFrame]) -> Refresh:
-    """Derive the views and point all names to these tables."""
-    views = gold.views(*[tables[f"silver_{entity}"] for entity in SOURCES])
+    """Derive the views and point all names to these tables. Runs no job: views are computed when they are read, but
+    for the ranking, which the refresh has stored."""
+    spark = next(iter(tables.values())).sparkSession
+    clientes, emprestimos, pagamentos, _ = (tables[f"silver_{entity}"] for entity in SOURCES)
+    views = gold.views(clientes, emprestimos, pagamentos, spark.read.parquet(f"{path}/{RANKING}"))
     for name, df in {**tables, **views}.items():
         df.createOrReplaceTempView(name)
     return Refresh(path, tables, views, count_rows(tables))
@@ -65,6 +72,9 @@ def refresh(spark: SparkSession, source: str, target: str, version: str | None =
         loaded = dict(zip(SOURCES, pool.map(load, SOURCES)))
     tables = {SOURCES[entity].table: bronze for entity, (bronze, _) in loaded.items()}
     tables |= {f"silver_{entity}": clean for entity, (_, clean) in loaded.items()}
+    clientes, emprestimos, _, eventos = (tables[f"silver_{entity}"] for entity in SOURCES)
+    with deleting_staged(spark):
+        _store(gold.ranking_risco_clientes(clientes, emprestimos, eventos), f"{path}/{RANKING}")
     return _publish(path, tables)
 
 
@@ -76,4 +86,5 @@ def reopen(spark: SparkSession, path: str) -> Refresh:
 
 def export_views(result: Refresh) -> dict[str, DataFrame]:
     """Store the views of a refresh as Parquet next to its tables."""
-    return {name: _store(df, f"{result.path}/{name}") for name, df in result.views.items()}
+    stored = {RANKING: result.views[RANKING]}
+    return stored | {name: _store(df, f"{result.path}/{name}") for name, df in result.views.items() if name != RANKING}

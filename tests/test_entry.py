@@ -6,15 +6,18 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import rows, run_sql, types
+from checks.oracle import oracle_sql
+from checks.queries import queries
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+NAMES = sorted(queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(contract.queries()) and set(NAMES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

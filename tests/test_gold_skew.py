@@ -67,9 +67,9 @@ def book(request, spark):
 
 @pytest.fixture(params=[False, True], ids=["plain", "spread"])
 def spreading(request, monkeypatch):
-    """With spreading on, every key with a hundredth of the rows counts as hot."""
+    """With spreading on, every key with a hundredth of the rows counts as hot: 8 partitions."""
     if request.param:
-        monkeypatch.setattr(gold, "hot_keys", lambda df, key: skew.hot_keys(df, key, share=0.01, min_rows=1))
+        monkeypatch.setattr(skew, "HOT", 0.08)
     return request.param
 
 
@@ -89,25 +89,34 @@ def test_alerta(spark, book, spreading):
     same(gold.alerta_risco_iminente(book["c"], book["l"], book["p"]), naive.alerta(spark))
 
 
-def test_hot_keys_are_found_by_share(spark):
+def test_hot_keys_are_counted(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    assert skew.hot_keys(df, "k", share=0.1, min_rows=100) == [7]
-    assert skew.hot_keys(df, "k") == []  # too small to matter
-    assert skew.hot_keys(df, "k", min_rows=1) == [7]  # a third is more than two of eight partitions
-    assert skew.hot_keys(df.where("k < 0"), "k") == []
+    assert [tuple(r) for r in skew.hot_keys(df, "k", share=0.1).collect()] == [(7, 7)]  # a third, in slices of a twentieth
+    assert [tuple(r) for r in skew.hot_keys(df, "k").collect()] == [(7, 3)]
+    assert skew.hot_keys(df.where("k < 0"), "k").collect() == []
+
+
+def test_thousands_of_hot_keys_are_all_split(spark):
+    df = spark.range(300_000).select((F.col("id") % 3000).alias("k"))
+    hot = skew.hot_keys(df, "k", share=1 / 4000).collect()
+    assert len(hot) == 3000 and all(r["_slices"] > 1 for r in hot)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_join_spread_equals_join_and_spreads(spark, how):
-    left = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+@pytest.mark.parametrize("copies", [False, True])
+def test_join_spread_equals_join_and_spreads(spark, tmp_path, how, copies):
+    """Also rows that are equal in all columns."""
+    rows = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    rows = rows.withColumn("id", F.lit(1)) if copies else rows
+    rows.write.parquet(str(tmp_path / "rows"))
+    left = spark.read.parquet(str(tmp_path / "rows"))
     # a lookup grouped by the join key is the case adaptive execution does not split
     right = spark.range(0, 2000, 7).groupBy(F.col("id").alias("k")).agg(F.sum(F.col("id") * 2).alias("w"))
-    hot = skew.hot_keys(left, "k", share=0.01, min_rows=1)
-    same(skew.join_spread(left, right, "k", how, hot, slices=5), left.join(right, "k", how))
+    same(skew.join_spread(left, right, "k", how, share=0.01), left.join(right, "k", how))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = skew.join_spread(left, right, "k", how, hot, slices=64)
+        spread = skew.join_spread(left, right, "k", how, share=0.01)
         tasks = spread.where("k = 7").select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -115,6 +124,16 @@ def test_join_spread_equals_join_and_spreads(spark, how):
     assert tasks == 8
 
 
+def test_defaults_below_a_cent_stay_in_the_ranking(spark):
+    rows = {
+        "c": [("1", "Ana", 500, "ALTO", "SP")],
+        "l": [("a", "1", 0.0000004, 2.0, "INADIMPLENTE"), ("b", "1", 10.0, 2.0, "ATIVO")],
+        "v": [],
+    }
+    frames = {name: spark.createDataFrame(rows[name], SCHEMAS[name]) for name in rows}
+    assert gold.ranking_risco_clientes(frames["c"], frames["l"], frames["v"]).count() == 1
+
+
 def test_junk_amounts_do_not_stop_the_views(spark):
     book = make_book(4, False)
     junk = [1e20, float("inf"), 123456789012345678.0, -1e18]
