@@ -138,8 +138,13 @@ def exposicao(
         F.max("severidade").alias("maior_severidade"),
     )
     per_client = loans.join(events, "cliente_id", "left")
-    profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, per_client, "cliente_id")
+    # clients are shuffled once, and those without defaults go before their copies are folded
+    carried = [c for c in per_client.columns if c != "cliente_id"]
+    joined = (
+        join_spread(clientes.select(*PROFILE), per_client, "cliente_id")
+        .groupBy(*PROFILE)
+        .agg(_rows().alias("copias"), *[F.max(c).alias(c) for c in carried])  # the same for all copies
+    )
 
     one = F.lit(1).cast("decimal(20,0)")
     per_loan = F.col("copias") * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
@@ -238,28 +243,30 @@ def alerta_risco_iminente(
         )
     )
     active = F.col("status") == ACTIVE
-    amount = F.when(active, F.col("valor_emprestado"))
-    loans = emprestimos.groupBy("emprestimo_id", "cliente_id").agg(
-        _rows().alias("copias"),
-        F.count(F.when(active, 1)).alias("ativos"),
-        F.sum(exact(amount)).alias("exposto"),
-        F.sum(beyond(amount)).alias("exposto_alem"),
+    loans = emprestimos.select(
+        "emprestimo_id", "cliente_id", active.alias("ativo"), F.when(active, F.col("valor_emprestado")).alias("exposto")
     )
+    exposed = F.col("exposto")
+    # all of it is additive, so the copies of a loan need no fold of their own
     history = (
         join_spread(loans, late, "emprestimo_id", "left")
         .groupBy("cliente_id")
         .agg(
-            F.sum(F.col("copias") * F.col("atrasos")).alias("atrasos"),
+            F.sum(F.col("atrasos").cast("decimal(20,0)")).alias("atrasos"),
             F.max("maior").alias("maior_atraso"),
-            F.sum(F.col("copias") * F.col("dias")).alias("dias"),
-            F.sum("ativos").alias("ativos"),
-            F.sum("exposto").alias("exposto"),
-            F.sum("exposto_alem").alias("exposto_alem"),
+            F.sum("dias").alias("dias"),
+            F.count(F.when(F.col("ativo"), 1)).alias("ativos"),
+            F.sum(exact(exposed)).alias("exposto"),
+            F.sum(beyond(exposed)).alias("exposto_alem"),
         )
         .where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
     )
-    profiles = _folded(clientes, *PROFILE)
-    joined = join_spread(profiles, history, "cliente_id")
+    carried = [c for c in history.columns if c != "cliente_id"]
+    joined = (
+        join_spread(clientes.select(*PROFILE), history, "cliente_id")
+        .groupBy(*PROFILE)
+        .agg(_rows().alias("copias"), *[F.max(c).alias(c) for c in carried])
+    )
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (
