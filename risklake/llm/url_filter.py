@@ -71,20 +71,23 @@ def with_rule(df: DataFrame, host: str, path: str, rules=RULES) -> DataFrame:
     return df.withColumns({"rule": name, "rule_verdict": verdict})
 
 
-def _grams(mark: str, text: Column, n: int) -> Column:
-    last = F.length(text) - F.lit(n - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(text, i, F.lit(n))))
+def _grams(mark: str, text: Column) -> Column:
+    """Marked n-grams of a text. It is taken apart once: looking up a character in a string counts from its start."""
+
+    def of_length(signs: Column, n: int) -> Column:
+        last = F.size(signs) - F.lit(n - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(F.lit(mark), *[F.element_at(signs, i + k) for k in range(n)]))
+
+    return F.flatten(F.transform(F.array(F.split(text, "")), lambda signs: F.concat(*[of_length(signs, n) for n in LENGTHS])))
 
 
 def grams(host: Column, path: Column) -> Column:
     """Character n-grams of host and path, marked with the part they come from, in which ``^`` and ``$`` are the ends.
     Digits of the path count as one sign."""
-    parts = []
-    for mark, part in (("h", host), ("p", F.regexp_replace(path, "[0-9]+", "0"))):
-        framed = F.concat(F.lit("^"), part, F.lit("$"))
-        parts += [_grams(mark, framed, n) for n in LENGTHS]
-    return F.array_distinct(F.concat(*parts))
+    parts = (("h", host), ("p", F.regexp_replace(path, "[0-9]+", "0")))
+    framed = [_grams(mark, F.concat(F.lit("^"), part, F.lit("$"))) for mark, part in parts]
+    return F.array_distinct(F.concat(*framed))
 
 
 def _features(df: DataFrame) -> DataFrame:
