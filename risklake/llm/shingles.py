@@ -70,7 +70,7 @@ def shingles(texts: pa.StringArray, n: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(n):
         more = length > k
         shifted = np.zeros(len(word), np.uint64)
-        shifted[: len(word) - k] = word[k:]
+        shifted[: len(word[k:])] = word[k:]
         hashes = np.where(more, (hashes ^ shifted) * _STEP + np.uint64(k + 1), hashes)
     hashes, text = mix(hashes[take]), text[take]
     order = np.argsort(hashes, kind="stable")
