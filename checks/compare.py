@@ -10,7 +10,7 @@ import pyarrow as pa
 from checks.oracle import oracle_sql
 from checks.queries import queries
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents benchmark pages labels".split()
 
 
 def rows(table: pa.Table) -> Counter:
