@@ -4,7 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from risklake.llm import decontamination, mixing, near_dedup, passages, repetition, secrets, sharding, token_counts, token_files, url_filter
+from risklake.llm import (
+    decontamination, mixing, near_dedup, oracle, passages, repetition, secrets, sharding, token_counts, token_files,
+    url_filter,
+)
 from risklake.llm.common import n_words, table
 from risklake.operators.stage import stage, stage_path
 
@@ -28,7 +31,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return repetition.with_figures(docs, "text").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        repetition.base_failed().alias("base_failed"), repetition.kept().alias("kept"), "repeat_covered", "longest_repeat",
+        repetition.base_failed().alias("base_failed"), repetition.kept().alias("kept"), "repeat_covered",
+        (F.col("longest_repeat") > repetition.MAX_LONGEST).alias("long_repeat"),
     )
 
 
@@ -114,4 +118,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.ORACLE_SQL
