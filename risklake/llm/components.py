@@ -15,7 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # written, so that the join has two plain sides, and adaptive execution can split an id with very many links
+        least = stage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small_least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
