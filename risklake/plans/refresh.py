@@ -40,12 +40,11 @@ def _store(df: DataFrame, path: str) -> DataFrame:
 RANKING = "gold_ranking_risco_clientes"
 
 
-def _publish(path: str, tables: dict[str, DataFrame]) -> Refresh:
+def _publish(path: str, tables: dict[str, DataFrame], ranking: DataFrame) -> Refresh:
     """Derive the views and point all names to these tables. Runs no job: views are computed when they are read, but
     for the ranking, which the refresh has stored."""
-    spark = next(iter(tables.values())).sparkSession
     clientes, emprestimos, pagamentos, _ = (tables[f"silver_{entity}"] for entity in SOURCES)
-    views = gold.views(clientes, emprestimos, pagamentos, spark.read.parquet(f"{path}/{RANKING}"))
+    views = gold.views(clientes, emprestimos, pagamentos, ranking)
     for name, df in {**tables, **views}.items():
         df.createOrReplaceTempView(name)
     return Refresh(path, tables, views, count_rows(tables))
@@ -74,14 +73,15 @@ def refresh(spark: SparkSession, source: str, target: str, version: str | None =
     tables |= {f"silver_{entity}": clean for entity, (_, clean) in loaded.items()}
     clientes, emprestimos, _, eventos = (tables[f"silver_{entity}"] for entity in SOURCES)
     with deleting_staged(spark):
-        _store(gold.ranking_risco_clientes(clientes, emprestimos, eventos), f"{path}/{RANKING}")
-    return _publish(path, tables)
+        ranking = _store(gold.ranking_risco_clientes(clientes, emprestimos, eventos), f"{path}/{RANKING}")
+    return _publish(path, tables, ranking)
 
 
 def reopen(spark: SparkSession, path: str) -> Refresh:
     """The version that an earlier refresh wrote to ``path``, with all names pointed to it."""
     names = [origin.table for origin in SOURCES.values()] + [f"silver_{entity}" for entity in SOURCES]
-    return _publish(path, {name: spark.read.parquet(f"{path}/{name}") for name in names})
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in names}
+    return _publish(path, tables, spark.read.parquet(f"{path}/{RANKING}"))
 
 
 def export_views(result: Refresh) -> dict[str, DataFrame]:

@@ -50,12 +50,14 @@ def test_cleaning_does_not_shuffle(book):
 
 def test_views_have_no_products_and_only_small_single_partitions(book, settings):
     settings(autoBroadcastJoinThreshold="-1")
-    single = {"gold_evolucao_inadimplencia": 1, "gold_ranking_risco_clientes": 1}
     for name, df in book.views.items():
         text = plan(df, "simple")
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
         assert "Expand" not in text, name
-        assert text.count("SinglePartition") == single.get(name, 0), name
+        # what is gathered has been aggregated: counts of rows, or one row per month
+        lines = text.split("\n")
+        single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+        assert all("Aggregate" in " ".join(lines[i + 1 : i + 3]) for i in single), name
 
 
 def test_late_payments_are_filtered_at_the_scan(book):
@@ -77,9 +79,9 @@ def test_counting_stored_rows_reads_no_column(book):
 def test_folded_sides_join_without_another_shuffle(book, settings):
     settings(autoBroadcastJoinThreshold="-1")
     tables = [book.tables[f"silver_{name}"] for name in ("clientes", "emprestimos", "eventos_risco")]
-    text = plan(gold.exposicao(*tables, fan_out=True, hot=[]), "simple")
-    # loans once, events once, profiles once folded and once for the join
-    assert text.count("Exchange hashpartitioning") == 4
+    text = plan(gold.exposicao(*tables, fan_out=True), "simple")
+    # loans once, events once, both sides of the sliced join, its fold; and the counts of the keys on either side of it
+    assert text.count("Exchange hashpartitioning") == 7
 
 
 def test_preview_is_a_top_k(book):
@@ -106,4 +108,4 @@ def test_a_client_with_a_third_of_the_loans_is_split(spark, settings):
     )
     states = gold.inadimplencia_por_estado(loans, clients)
     assert sum(row.total_emprestimos for row in states.collect()) == 60000
-    assert "SortMergeJoin(skew=true)" in plan(states, "simple")
+    assert "_slice" in plan(states, "simple")

@@ -1,5 +1,6 @@
 """The whole refresh on the golden files: raw, cleaned, views, audit, and refreshing again."""
 
+import os
 import datetime as dt
 
 import pytest
@@ -182,3 +183,21 @@ def test_views_are_exported(spark, book):
     assert set(stored) == set(book.views)
     for name, df in stored.items():
         assert sorted(map(repr, rows(df))) == sorted(map(repr, rows(book.views[name]))), name
+
+
+def test_defining_views_runs_nothing(spark, book):
+    silver = [book.tables[f"silver_{name}"] for name in ("clientes", "emprestimos", "pagamentos")]
+    context = spark.sparkContext
+    context.setJobGroup("views", "views")
+    gold.views(*silver, book.views["gold_ranking_risco_clientes"])
+    assert not context.statusTracker().getJobIdsForGroup("views")
+    book.views["gold_inadimplencia_por_estado"].count()
+    assert context.statusTracker().getJobIdsForGroup("views")
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_reopening_writes_nothing(spark, book):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+    reopen(spark, book.path).views["gold_ranking_risco_clientes"].count()
+    assert (sorted(os.listdir(folder)) if os.path.isdir(folder) else []) == before
