@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from risklake.functions.bands import DEFAULTED
 from risklake.functions.money import beyond, exact, total
 from risklake.operators.skew import join_spread
 

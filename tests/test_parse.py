@@ -100,7 +100,10 @@ def test_rounding_and_ratios(spark):
     assert [r[0] for r in results(ties, F.round("v", 2))] == [2.68, 1.01, 8.35, -2.5]
 
 
-def test_counts_past_the_long_range_are_held(spark):
-    df = spark.createDataFrame([(0, 3, 4), (1, 10**12, 10**12), (2, None, 2)], "i int, a long, b long")
+def test_counts_past_the_long_range_raise(spark):
     product = F.col("a").cast("decimal(20,0)") * F.col("b")
-    assert [r[0] for r in results(df, money.count_of(product))] == [12, 2**63 - 1, None]
+    df = spark.createDataFrame([(0, 3, 4), (2, None, 2)], "i int, a long, b long")
+    assert [r[0] for r in results(df, money.count_of(product))] == [12, None]
+    large = spark.createDataFrame([(0, 10**12, 10**12)], "i int, a long, b long")
+    with pytest.raises(Exception, match="count past the long range: 1000000000000000000000000"):
+        results(large, money.count_of(product))
