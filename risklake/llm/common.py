@@ -2,9 +2,12 @@
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from risklake.operators.stage import stage
@@ -62,3 +65,12 @@ def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def slices(batch: pa.RecordBatch, text: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text each; a longer text is alone."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+    edges = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
+    for start, stop in zip([0, *edges], [*edges, len(lengths)]):
+        if stop > start:
+            yield batch.slice(start, stop - start)

@@ -14,15 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from risklake.llm.common import WORD
+from risklake.llm.common import WORD, slices
 
 #: shortest repeat that counts, in words; a power of two
 MIN_REPEAT = 8
 #: a text fails with more than this share of its words in repeats, or with a longer repeat
 MAX_COVERED, MAX_LONGEST = 0.3, 100
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: words that are sorted together
-BATCH_WORDS = 400_000
+#: bytes of text that are sorted together
+CHUNK = 2_000_000
 SYMBOLS = "#*$%&|<>"
 
 _word = re.compile(WORD)
@@ -122,8 +122,8 @@ def _lines(text: str) -> int:
     return copies
 
 
-def _measure(texts: list[str | None]) -> pa.RecordBatch:
-    """Figures of some texts, in their order."""
+def _measure(texts: list[str | None]) -> list[pa.Array]:
+    """Figures of some texts, in their order: a column each."""
     numbers: dict[str, int] = {}
     flat: list[np.ndarray] = []
     rows = []
@@ -138,25 +138,12 @@ def _measure(texts: list[str | None]) -> pa.RecordBatch:
     return [pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns]
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``BATCH_WORDS`` words; a longer text is alone."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "") // 6 + 1
-        if held >= BATCH_WORDS:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _figures(text_at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            for start, stop in _chunks(texts):
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, *_measure(texts[start:stop])], names=names)
+            for part in slices(batch, text_at, CHUNK):
+                figures = _measure(part.column(text_at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *figures], names=names)
 
     return run
 

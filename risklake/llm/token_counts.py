@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from risklake.llm.common import per_worker
+from risklake.llm.common import per_worker, slices
 
 #: characters whose case folding, composition and classes are the same everywhere; other texts go through the library
 _unusual = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ‐-‧]")
@@ -153,8 +153,9 @@ def _counted(path: str, text_at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counter = per_worker(("counter", path), lambda: Counter(path))
-            counts = counter.count([t or "" for t in batch.column(text_at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=names)
+            for part in slices(batch, text_at, 4 * CHUNK):
+                counts = counter.count([t or "" for t in part.column(text_at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counts, pa.int64())], names=names)
 
     return run
 
