@@ -1,7 +1,7 @@
 """From documents to training shards, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
-docs. A stage keeps a document's row as it is, whatever columns it has; rows are packed while an operator adds its own.
+docs. A stage keeps a document's row as it is, whatever columns it has; columns are numbered while an operator adds its own.
 An empty table gives an empty result in every stage.
 """
 
@@ -16,14 +16,17 @@ from risklake.operators.stage import stage, stage_path
 SHARDS = 40
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str, list]:
+    """The rows under numbered names, the name that the text has there, and the columns under their own names again."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    back = [F.col(own).alias(name) for own, name in zip(names, docs.columns)]
+    return docs.toDF(*names), names[docs.columns.index("text")], back
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that fail the base rules or repeat themselves too much. NULL and empty texts fail."""
-    judged = repetition.with_figures(_packed(docs), "_text")
-    return judged.where(repetition.kept()).select("_row.*")
+    rows, text, back = _numbered(docs)
+    return repetition.with_figures(rows, text).where(repetition.kept()).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that hold a passage of a benchmark item."""
-    searched = decontamination.with_matches(_packed(docs), "_text", table(spark, sf_dir, "benchmark"), "_matches", ["_row"])
-    return searched.where(F.size("_matches") == 0).select("_row.*")
+    rows, text, back = _numbered(docs)
+    searched = decontamination.with_matches(rows, text, table(spark, sf_dir, "benchmark"), "_matches")
+    return searched.where(F.size("_matches") == 0).select(*back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
