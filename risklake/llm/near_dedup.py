@@ -203,6 +203,15 @@ class _Links:
         dealt = rows.repartition("block").sortWithinPartitions("block", "id")
         self.merge(stage(dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct(), "linked"))
 
+    def clusters(self, hanging: DataFrame, left: DataFrame) -> DataFrame:
+        """(id, cluster) of the documents that hang together by the pairs ``left``, which are open. A pair stands for its near
+        group, in which any two documents may be linked: so those that are connected already take part too."""
+        ids = hanging.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        labelled = stage(self.labelled(ids), "labelled")
+        owners = labelled.join(left.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_semi").select("of").distinct()
+        own = labelled.join(owners, "of", "left_semi").select(F.col("id").alias("a"), F.col("of").alias("b"))
+        return components(left.unionByName(own)).select("id", F.col("component").alias("cluster"))
+
     def merge(self, new: DataFrame) -> None:
         if not new.isEmpty():
             self.found = new if self.found is None else self.found.unionByName(new)
@@ -248,18 +257,17 @@ def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: in
             heads = large.groupBy("node").agg(F.min(F.struct("id", "s0", "s1")).alias("head"))
             star = large.join(heads, "node").where((F.col("id") != F.col("head.id")) & (_apart_head() <= limit))
             near = near.unionByName(star.select(F.col("head.id").alias("a"), F.col("id").alias("b")))
-        near = stage(known.open(near.distinct()), "near")
+        hanging = stage(near.distinct(), "hanging")
+        near = hanging if known.connected is None else stage(known.open(hanging), "near")
         ids = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
         known.load(ids)
         known.add(near)
         # what hangs together by near sketches, but not by links, is compared set by set
         left = stage(known.open(near), "near-open")
         if not left.isEmpty():
-            labelled = stage(known.labelled(ids), "labelled")
-            owners = labelled.join(left.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_semi").select("of").distinct()
-            # whole components take part: a link may lead to any of their documents
-            own = labelled.join(owners, "of", "left_semi").select(F.col("id").alias("a"), F.col("of").alias("b"))
-            clusters = components(left.unionByName(own)).select("id", F.col("component").alias("cluster"))
+            clusters = known.clusters(hanging, left)
+            if near is not hanging:  # documents that were connected before have no sets yet
+                known.load(clusters.select("id"))
             known.add_within(clusters)
         if not branching:
             break
