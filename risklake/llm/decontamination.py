@@ -6,9 +6,11 @@ have are counted in bands of ``2 * (k + 1)`` diagonals, each band starting in th
 are aligned within the band, and count if the edit distance is within the budget.
 
 Texts and passages are compared as letters and digits in lower case. Long items are cut into overlapping sections, so that a
-part of an item is found too.
+part of an item is found too. Besides, a part of ``PART`` characters of an item, or of four fifths of a shorter one, is found
+wherever it stands unchanged: its q-grams follow each other on one diagonal.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,8 @@ from risklake.llm.common import per_worker
 Q, BUDGET = 8, 0.08
 #: longest section of an item, the step between sections, and the shortest item that is searched for, in characters
 SECTION, STEP, SHORTEST = 160, 80, 30
+#: characters of a part that counts without edits, and the share of an item that counts if that is less
+PART, SHARE = 64, 0.8
 #: bytes of the items that are searched for in one pass, and characters of text looked at together
 BLOCK_BYTES, CHUNK = 16 << 20, 2_000_000
 MATCHES = T.ArrayType(
@@ -68,6 +72,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.table = _folding()
         self.items: list[int] = []
+        parts: list[int] = []
         sections: list[np.ndarray] = []
         for item, text in items:
             codes = fold(_codes(text), self.table)
@@ -77,9 +82,11 @@ class Index:
             last = max(len(codes) - SECTION, 0)
             for at in sorted({*range(0, last, STEP), last}):
                 self.items.append(item)
+                parts.append(max(min(PART, math.ceil(SHARE * len(codes))), SHORTEST))
                 sections.append(codes[at : at + SECTION])
         self.sections = sections
         self.sizes = np.array([len(s) for s in sections], np.int64)
+        self.parts = np.array(parts, np.int64)
         self.edits = np.floor(self.sizes * BUDGET).astype(np.int64)
         self.needed = self.sizes + 1 - Q * (self.edits + 1)
         grams = [_hashes(s) for s in sections]
@@ -108,9 +115,27 @@ class Index:
         entry = np.repeat(self.first[key] - np.cumsum(n) + n, n) + np.arange(n.sum())
         return np.repeat(at, n), self.owner[entry], self.place[entry]
 
-    def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def verbatim(self, codes: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, int]]:
+        """(section, start, end, 0) of all parts that stand in the text as they are. Sections overlap by more than a part."""
+        at, section, place = hits
+        order = np.lexsort((at, at - place, section))
+        at, section, place = at[order], section[order], place[order]
+        if not len(at):
+            return []
+        joined = (section[1:] == section[:-1]) & (np.diff(at) == 1) & (np.diff(place) == 1)
+        starts = np.flatnonzero(np.r_[True, ~joined])
+        lengths = np.diff(np.append(starts, len(at))) + Q - 1
+        out = []
+        for i, n in zip(starts, lengths):
+            if n >= self.parts[section[i]]:
+                own = self.sections[section[i]][place[i] : place[i] + n]
+                if (codes[at[i] : at[i] + n] == own).all():  # not only by their hashes
+                    out.append((int(section[i]), int(at[i]), int(at[i] + n), 0))
+        return out
+
+    def candidates(self, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Sections and first diagonals of the bands that reach the bound of the lemma."""
-        at, section, place = self.hits(codes)
+        at, section, place = hits
         step = self.edits[section] + 1
         band = (at - place + (1 << 20)) // step
         key = (section << np.int64(40)) + band
@@ -128,8 +153,11 @@ class Index:
 
     def matches(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(section, start, end, edits) of all bands whose alignment keeps to the budget."""
+        return self._within(codes, self.hits(codes))
+
+    def _within(self, codes: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int, int]]:
         out = []
-        section, diagonal = self.candidates(codes)
+        section, diagonal = self.candidates(hits)
         for lot in range(0, len(section), 4096):
             s, d = section[lot : lot + 4096], diagonal[lot : lot + 4096]
             start, end, edits = self._align(codes, s, d)
@@ -196,19 +224,19 @@ def find(index: Index, texts: list[str]) -> list[list[dict]]:
     ends = raw == 0
     kept = np.flatnonzero((codes > 0) | ends)
     codes, borders = codes[kept], np.flatnonzero(ends)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for section, start, end, edits in index.matches(codes):
-        text = int(np.searchsorted(borders, kept[start]))
-        base = 0 if not text else int(borders[text - 1]) + 1
-        if kept[max(end - 1, start)] >= borders[text]:
-            continue
-        entry = (edits, int(kept[start]) - base, int(kept[max(end - 1, start)]) - base + 1)
-        key = (text, section)
-        best[key] = min(best.get(key, entry), entry)
     items: dict[tuple[int, int | None], tuple[int, int, int]] = {}
-    for (text, section), entry in best.items():
-        key = (text, index.items[section])
-        items[key] = min(items.get(key, entry), entry)
+    hits = index.hits(codes)
+    for matches in (index._within(codes, hits), index.verbatim(codes, hits)):
+        best: dict[tuple[int, int | None], tuple[int, int, int]] = {}
+        for section, start, end, edits in matches:
+            text = int(np.searchsorted(borders, kept[start]))
+            base = 0 if not text else int(borders[text - 1]) + 1
+            if kept[max(end - 1, start)] >= borders[text]:
+                continue
+            entry = (edits, int(kept[start]) - base, int(kept[max(end - 1, start)]) - base + 1)
+            key = (text, index.items[section])
+            best[key] = min(best.get(key, entry), entry)
+        items = best | items  # parts only of items of which no section is found
     for (text, item), (edits, start, end) in sorted(items.items(), key=lambda x: (x[0][0], x[0][1] is None, x[0][1] or 0)):
         out[text].append({"item_id": item, "start": start, "end": end, "edits": edits})
     return out

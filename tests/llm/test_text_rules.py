@@ -178,6 +178,18 @@ def test_decontamination_of_documents(spark, monkeypatch):
     assert decontamination.with_matches(documents(spark, texts).limit(0), "text", items).count() == 0
 
 
+def test_a_verbatim_part_of_an_item_is_found_at_any_offset():
+    rng = random.Random(12)
+    for size, part in ((100, 80), (160, 128), (191, 153), (326, 64), (400, 200), (76, 61)):
+        item = "".join(rng.choices("abcdefghijklmnop", k=size))
+        index = decontamination.Index([(7, item)])
+        for at in (0, min(20, size - part), size - part):
+            text = "qqq" + item[at : at + part] + "zzz"
+            found = decontamination.find(index, ["zz", text])[1]
+            assert [m["item_id"] for m in found] == [7], (size, part, at)
+        assert decontamination.find(index, [item[:29] + "zzz"])[0] == []
+
+
 def test_a_very_long_text_is_searched_whole(spark):
     item = "jackdaws love my big sphinx of quartz and pack five dozen liquor jugs"
     texts = ["filler words " * 200_000 + item, item + " filler" * 300_000]
