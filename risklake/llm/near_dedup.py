@@ -233,6 +233,16 @@ class _Links:
         return rows.join(self.connected, "id", "left").withColumn("of", F.coalesce("component", "id")).drop("component")
 
 
+def in_blocks(members: DataFrame, most: int) -> DataFrame:
+    """Nodes dealt as pairs of blocks, each pair a node of about ``most`` documents: any two documents meet in one of them, so the
+    spanning trees of the pairs connect what is near in the whole node."""
+    blocks = F.ceil(2 * F.col("n") / F.lit(most))
+    rows = members.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).where("_own != _other or _blocks = 1")
+    pair = F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return rows.withColumn("node", pair).select(*members.columns)
+
+
 def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """(id, component) of the documents that are linked with others of different sets. Only links that connect something
     are looked for: a pair that others connect already is not confirmed."""
@@ -248,7 +258,9 @@ def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: in
         counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = stage(rows.join(counts, "node"), "members")
         last = depth == MAX_DEPTH
-        small = members if last else members.where(F.col("n") <= EXHAUSTIVE)
+        small = members.where(F.col("n") <= EXHAUSTIVE)
+        if last:
+            small = small.unionByName(in_blocks(members.where(F.col("n") > EXHAUSTIVE), EXHAUSTIVE))
         dealt = small.select("node", "id", "s0", "s1").repartition("node").sortWithinPartitions("node", "id")
         near = dealt.mapInArrow(_near(limit), "a long, b long")
         large = members.where(F.col("n") > EXHAUSTIVE)
