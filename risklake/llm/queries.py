@@ -2,18 +2,19 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from risklake.llm import (
-    decontamination, mixing, near_dedup, oracle, passages, repetition, secrets, sharding, token_counts, token_files,
-    url_filter,
+    alignment, decontamination, mixing, near_dedup, oracle, passages, periodic, repetition, secrets, sharding, suffixes,
+    token_counts, token_files, url_filter,
 )
-from risklake.llm.common import n_words, table
+from risklake.llm.common import WORD, n_words, table
 from risklake.operators.stage import stage, stage_path
 
 SHARDS = 40
 FILE_VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 COUNT_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -106,6 +107,40 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_probability")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, "doc_id", "text", vocabulary(FILE_VOCABULARY), vocabulary(PIECE_VOCABULARY))
+
+
+def _with_repeats(text: Column, key: Column) -> Column:
+    """The words of a text, those of every tenth document (by the crc32 of its number) with a stretch that repeats to the end."""
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"))
+    n, h = F.size(words), F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    again = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    repeated = F.slice(F.concat(F.slice(words, F.lit(1), a.cast("int")), again), F.lit(1), n)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = periodic.with_runs(docs.select("doc_id", _with_repeats(F.col("text"), F.col("doc_id")).alias("text")), "text")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality": op2_quality,
@@ -117,5 +152,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_alignment": op11_alignment,
+    "op12_periodic": op12_periodic,
+    "op13_suffixes": op13_suffixes,
 }
 ORACLE_SQL = oracle.ORACLE_SQL

@@ -109,3 +109,90 @@ def edit_distance_in(pattern: str, text: str) -> int:
 
 def fold(text):
     return "".join(c.lower() for c in text or "" if c.isalnum())
+
+
+def alignment(texts: list, a, b, bytes_a: list, bytes_b: list) -> list:
+    """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups), by walking through the tokens of both libraries."""
+    import hashlib
+    from collections import Counter
+
+    found = []
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        if b"".join(bytes_a[i] for i in ids_a) != whole or b"".join(bytes_b[i] for i in ids_b) != whole:
+            found.append(([], [], [], []))
+            continue
+        ends, at = {}, 0
+        for i, t in enumerate(ids_a):
+            at += len(bytes_a[t])
+            ends[at] = i
+        groups, links, at, i, j = [], [], 0, 0, 0
+        for k, t in enumerate(ids_b):
+            at += len(bytes_b[t])
+            if at in ends:
+                last = ends[at]
+                groups.append(",".join(map(str, ids_a[i : last + 1])) + "|" + ",".join(map(str, ids_b[j : k + 1])))
+                links.append((ids_a[last], t))
+                i, j = last + 1, k + 1
+        found.append((ids_a, ids_b, groups, links))
+    counts = Counter(link for f in found for link in f[3])
+    best = defaultdict(int)
+    for (_, t), n in counts.items():
+        best[t] = max(best[t], n)
+    return [
+        (len(x), len(y), len(g), len(links), sum(counts[k] == best[k[1]] for k in links), sum(counts[k] for k in links),
+         hashlib.sha256(";".join(g).encode()).hexdigest() if x else "")
+        for x, y, g, links in found
+    ]
+
+
+def runs(w: list) -> list:
+    """(start, length, period) of the stretches with at least four periods and six words, by start and period."""
+    n, smallest = len(w), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(6, 4 * q):
+                smallest.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in smallest.items())
+
+
+def collapsed(w: list, found: list) -> str:
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def with_repeats(w: list, doc_id) -> list:
+    import zlib
+
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def repeated_bytes(texts: list, size: int = 400) -> list:
+    """Per text the bytes that are left without what is covered by strings of ``size`` that start twice, and the spans that go."""
+    raws = [(t or "").encode() for t in texts]
+    seen = defaultdict(int)
+    for r in raws:
+        for i in range(len(r) - size + 1):
+            seen[r[i : i + size]] += 1
+    out = []
+    for r in raws:
+        gone = bytearray(len(r))
+        for i in range(len(r) - size + 1):
+            if seen[r[i : i + size]] > 1:
+                gone[i : i + size] = b"\1" * size
+        spans = re.finditer(b"\1+", bytes(gone))
+        out.append((bytes(b for b, g in zip(r, gone) if not g), [m.span() for m in spans]))
+    return out
