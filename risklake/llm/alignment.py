@@ -23,8 +23,10 @@ from risklake.llm.common import per_worker, slices
 from risklake.llm.token_counts import byte_symbols
 from risklake.operators.stage import stage
 
-#: bytes of text in a block, units remembered by a worker and their characters, and units given to the libraries in one text
-BLOCK, REMEMBERED, HELD, JOINED = 6_000_000, 400_000, 40_000_000, 1000
+#: bytes of text in a block, and pairs in one of its rows
+BLOCK, LISTED = 4_000_000, 1000
+#: units remembered by a worker and their characters, units learnt together, and units in one text for the libraries
+REMEMBERED, HELD, LEARNT, JOINED = 200_000, 20_000_000, 10_000, 1000
 
 #: Texts are cut into units where neither tokenizer continues a token: before a single blank that a non-blank follows, around a single line
 #: break, before a full stop or comma after a letter or digit. A unit has lost its blank, ``_LINE`` is a line break and ``_BARE`` begins a
@@ -148,7 +150,8 @@ class Aligner:
             if len(self.known) + len(fresh) > REMEMBERED or self.held > HELD:
                 self._forget()
                 fresh = units
-            self._learn(fresh)
+            for at in range(0, len(fresh), LEARNT):
+                self._learn(fresh[at : at + LEARNT])
         return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
 
     def _units(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,83 +205,77 @@ FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 RESULT = [*FIGURES, "n_best", "count_sum"]
 
 
-def _list(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, kind))
 
 
 def _blocks(path_a: str, path_b: str):
+    """Rows of documents; rows of the irregular pairs of their block, which documents name by their place; and at the end the
+    regular links of the task, as ids of A with their counts, for block -1."""
+
+    def listed(block: int, values: np.ndarray, counts: np.ndarray, like: pa.RecordBatch) -> pa.RecordBatch:
+        size = np.diff(np.append(np.arange(0, len(values), LISTED), len(values)))
+        columns = {c: pa.nulls(len(size), like.schema.field(c).type) for c in like.schema.names}
+        columns["block"] = pa.array(np.full(len(size), block))
+        columns |= {"pairs": _lists(values, size, pa.int64()), "often": _lists(counts, size, pa.int32())}
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
+        block, docs, vector, aligner = TaskContext.get().partitionId() << 32, None, None, None
         for batch in batches:
             v = per_worker(("vocabularies", path_a, path_b), lambda: Vocabularies(path_a, path_b))
-            aligner = per_worker(("aligner", path_a, path_b), lambda: Aligner(v))
+            if aligner is None:
+                aligner, vector = Aligner(v), np.zeros(v.n_a, np.int64)
             for part in slices(batch, 1, BLOCK):
                 figures, digests, links = aligner.align(pc.fill_null(part.column(1), ""))
                 regular = v.same[links // v.n_b] == links % v.n_b
                 owner = np.repeat(np.arange(len(figures)), figures[:, 3])
                 pairs, at, often = np.unique(links[~regular], return_inverse=True, return_counts=True)
-                keys = part.column(0)
+                a = links[regular] // v.n_b
+                vector += np.bincount(a, minlength=v.n_a)
+                n, own = len(figures), np.bincount(owner[regular], minlength=len(figures))
                 columns = {
-                    "block": pa.array([block], pa.int64()),
-                    "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                    **{c: _list(figures[:, i], pa.int32()) for i, c in enumerate(FIGURES)},
-                    "digests": pa.ListArray.from_arrays(pa.array([0, len(digests)], pa.int32()), pa.array(digests, pa.string())),
-                    "n_regular": _list(np.bincount(owner[regular], minlength=len(figures)), pa.int32()),
-                    "regular": _list(links[regular] // v.n_b, pa.int32()),
-                    "irregular": _list(at, pa.int32()),
-                    "pairs": _list(pairs, pa.int64()),
-                    "often": _list(often, pa.int32()),
+                    "block": pa.array(np.full(n, block)),
+                    "key": part.column(0),
+                    **{c: pa.array(figures[:, i]) for i, c in enumerate(FIGURES)},
+                    "digest": pa.array(digests, pa.string()),
+                    "regular": _lists(a, own, pa.int32()),
+                    "irregular": _lists(at, figures[:, 3] - own, pa.int32()),
+                    "pairs": pa.nulls(n, pa.list_(pa.int64())),
+                    "often": pa.nulls(n, pa.list_(pa.int32())),
                 }
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                docs = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                yield docs
+                yield listed(block, pairs, often, docs)
                 block += 1
-
-    return run
-
-
-def _vector(size: int):
-    """Counts of the regular links of a task, in a vector of vocabulary length."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            counts += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["a", "n"])
+        if docs is not None:
+            some = np.flatnonzero(vector)
+            yield listed(-1, some, vector[some], docs)
 
     return run
 
 
 def _settled(regular: np.ndarray, same: np.ndarray, best: np.ndarray, names: list[str]):
-    """Rows of the documents of blocks, from the counts of regular links, and of the block's own pairs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = {c: batch.column(c)[row].values for c in batch.schema.names if c not in ("block", "counts")}
-                figures = [one[c].to_numpy() for c in FIGURES]
-                n_regular = one["n_regular"].to_numpy()
-                a = one["regular"].to_numpy()
-                counts = [regular[a]]
-                ends = [n_regular]
-                tops = [regular[a] == best[same[a]]]
-                at, pairs = one["irregular"].to_numpy(), one["pairs"].to_numpy()
-                lookup = batch.column("counts")[row].values
-                count = np.zeros(len(pairs), np.int64)
-                if lookup is not None:
-                    count[np.searchsorted(pairs, lookup.field("pair").to_numpy())] = lookup.field("count").to_numpy()
-                counts.append(count[at])
-                tops.append((count == best[pairs % len(best)])[at])
-                ends.append(figures[3] - n_regular)
-                sums = [np.zeros(len(n_regular), np.int64) for _ in range(2)]
-                for values, top, size in zip(counts, tops, ends):
-                    edges = np.append(0, np.cumsum(size))
-                    for into, x in ((sums[0], top), (sums[1], values)):
-                        total = np.append(0, np.cumsum(x, dtype=np.int64))
-                        into += total[edges[1:]] - total[edges[:-1]]
-                columns = [one["keys"], *(pa.array(f, pa.int64()) for f in [*figures, *sums]), one["digests"]]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+    """Rows of the documents of a block, from the counts of regular links, and of the block's own pairs."""
+
+    def run(docs: pa.Table, counted: pa.Table) -> pa.Table:
+        pair, count = counted["pair"].to_numpy(), counted["count"].to_numpy()
+        order = np.argsort(pair)
+        pair, count = pair[order], count[order]
+        docs = docs.combine_chunks()
+        sums = [np.zeros(docs.num_rows, np.int64) for _ in range(2)]
+        for name, tops, counts in (("regular", regular == best[same], regular), ("irregular", count == best[pair % len(best)], count)):
+            lists = docs[name].chunk(0)
+            at = lists.flatten().to_numpy()
+            edges = lists.offsets.to_numpy()
+            edges = edges - edges[0]
+            for into, values in zip(sums, (tops, counts)):
+                total = np.append(0, np.cumsum(values[at], dtype=np.int64))
+                into += total[edges[1:]] - total[edges[:-1]]
+        columns = [docs["key"], *(docs[f] for f in FIGURES), *map(pa.array, sums), docs["digest"]]
+        return pa.Table.from_arrays(columns, names=names)
 
     return run
 
@@ -297,21 +294,21 @@ def align(df: DataFrame, key: str, text: str, path_a: str, path_b: str) -> DataF
     v = Vocabularies(path_a, path_b)
     ints = T.ArrayType(T.IntegerType())
     schema = T.StructType(
-        [T.StructField("block", T.LongType()), T.StructField("keys", T.ArrayType(rows.schema["key"].dataType))]
-        + [T.StructField(c, ints) for c in FIGURES]
-        + [T.StructField("digests", T.ArrayType(T.StringType()))]
-        + [T.StructField(c, ints) for c in ("n_regular", "regular", "irregular")]
+        [T.StructField("block", T.LongType()), rows.schema["key"]]
+        + [T.StructField(c, T.LongType()) for c in FIGURES]
+        + [T.StructField("digest", T.StringType()), T.StructField("regular", ints), T.StructField("irregular", ints)]
         + [T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("often", ints)]
     )
     blocks = stage(rows.mapInArrow(_blocks(path_a, path_b), schema), "aligned")
+    docs = blocks.where("digest is not null").drop("pairs", "often")
+    listed = blocks.where("digest is null").select("block", F.explode(F.arrays_zip("pairs", "often")).alias("p")).select(
+        "block", F.col("p.pairs").alias("pair"), F.col("p.often").alias("n")
+    )
     # a row per id of A, at most
     regular = np.zeros(v.n_a, np.int64)
-    vectors = blocks.select("regular").mapInArrow(_vector(v.n_a), "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
-    for a, n in vectors.collect():
+    for a, n in listed.where("block < 0").groupBy("pair").agg(F.sum("n")).collect():
         regular[a] = n
-    pairs = blocks.select("block", F.explode(F.arrays_zip("pairs", "often")).alias("p")).select(
-        "block", F.col("p.pairs").alias("pair"), F.col("p.often").alias("n")
-    )
+    pairs = listed.where("block >= 0")
     counted = stage(pairs.groupBy("pair").agg(F.sum("n").alias("count")), "pairs")
     # a row per id of B, at most
     best = np.zeros(v.n_b, np.int64)
@@ -319,11 +316,12 @@ def align(df: DataFrame, key: str, text: str, path_a: str, path_b: str) -> DataF
     np.maximum.at(best, v.same[known], regular[known])
     for b, n in counted.groupBy((F.col("pair") % v.n_b).alias("b")).agg(F.max("count")).collect():
         best[b] = max(best[b], n)
-    found = pairs.drop("n").join(counted, "pair").groupBy("block").agg(F.collect_list(F.struct("pair", "count")).alias("counts"))
+    found = pairs.drop("n").join(counted, "pair").select(F.col("block").alias("of"), "pair", "count")
     names = [key, *RESULT, "groups_sha256"]
     out = T.StructType(
         [T.StructField(key, rows.schema["key"].dataType)]
         + [T.StructField(c, T.LongType()) for c in RESULT]
         + [T.StructField("groups_sha256", T.StringType())]
     )
-    return blocks.drop("often").join(found, "block", "left").mapInArrow(_settled(regular, v.same, best, names), out)
+    both = docs.groupBy("block").cogroup(found.groupBy("of"))
+    return both.applyInArrow(_settled(regular, v.same, best, names), out)
