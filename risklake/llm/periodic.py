@@ -22,7 +22,7 @@ from risklake.llm.shingles import mix
 #: a run has at least this many periods and words
 PERIODS, SHORTEST = 4, 6
 #: bytes of text looked at together, and grid points
-CHUNK, POINTS = 2_000_000, 2_000_000
+CHUNK, POINTS = 1_000_000, 500_000
 
 _word = re.compile(WORD)
 
