@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from risklake.llm.common import slices
@@ -26,7 +27,10 @@ from risklake.operators.stage import stage
 #: bytes of a string that counts as repeated, and of the block by which a window is placed
 WINDOW, BLOCK = 400, 336
 #: windows whose fingerprints are computed together, bytes of text for each bucket, and sampled suffixes for each splitter
-PIECE, BUCKET, SAMPLED = 1 << 20, 64_000_000, 16
+PIECE, BUCKET, SAMPLED = 1 << 19, 64_000_000, 16
+
+#: kinds of suffixes: see ``placed``
+NEW, REPEATED, SPARE = 0, 1, 2
 
 _random = np.random.RandomState(31)
 _BYTES = _random.randint(1, 1 << 62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,8 +76,20 @@ def _smallest(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(to_come[: len(values) - n + 1], so_far[n - 1 : len(values)])
 
 
+def _differs(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 def placed(raw: np.ndarray, offsets: np.ndarray, powers: Powers) -> Iterator[tuple[np.ndarray, ...]]:
-    """Suffixes of texts that lie one after the other from ``offsets``: (block, stretch, text, first window, windows)."""
+    """Suffixes of texts that lie one after the other from ``offsets``: (block, stretch, text, first window, windows, kind).
+
+    Of equal suffixes of one text, as periodic text has them, the first is ``REPEATED``; the others are ``SPARE``, and neighbours are one.
+    """
     for at in range(0, len(raw) - WINDOW + 1, PIECE):
         part = raw[at : at + PIECE + WINDOW - 1]
         n = len(part) - WINDOW + 1
@@ -98,7 +114,16 @@ def placed(raw: np.ndarray, offsets: np.ndarray, powers: Powers) -> Iterator[tup
         # the stretch, and where the block lies in it
         shape = mix(((chosen - first) << 16 | (last - first)).astype(np.uint64))
         text = np.searchsorted(offsets, at + first, "right") - 1
-        yield block[chosen], prints.of(first, last + WINDOW) ^ shape, text, at + first - offsets[text], last - first + 1
+        one, two, start, n = block[chosen], prints.of(first, last + WINDOW) ^ shape, at + first - offsets[text], last - first + 1
+        order = np.lexsort((start, two, one, text))
+        new = _differs(text[order], one[order], two[order])
+        kind = np.zeros(len(order), np.int32)
+        kind[order] = np.where(new, np.where(np.append(new[1:], True), NEW, REPEATED), SPARE)
+        spare = kind == SPARE
+        begins = ~(spare & np.r_[False, spare[:-1] & (text[1:] == text[:-1]) & (start[1:] == (start + n)[:-1])])
+        keep = np.flatnonzero(begins)
+        n = np.add.reduceat(n, keep)
+        yield one[keep], two[keep], text[keep], start[keep], n, kind[keep]
 
 
 def multikey(columns: list[np.ndarray]) -> np.ndarray:
@@ -135,15 +160,15 @@ def _bucket(columns: list[np.ndarray], splitters: list[np.ndarray]) -> np.ndarra
     return low
 
 
-#: a suffix: two tokens, the text by two hashes, the first window that it stands for, and how many
-SUFFIX = ["one", "two", "k1", "k2", "start", "n"]
-_KINDS = [pa.int64()] * 5 + [pa.int32()]
-SUFFIX_TYPE = "one long, two long, k1 long, k2 long, start long, n int"
+#: a suffix: two tokens, the text by two hashes, the first window that it stands for, how many, and whether its text repeats it
+SUFFIX = ["one", "two", "k1", "k2", "start", "n", "kind"]
+_KINDS = [pa.int64()] * 5 + [pa.int32()] * 2
+SUFFIX_TYPE = "one long, two long, k1 long, k2 long, start long, n int, kind int"
 
 
 def _order(columns: list[np.ndarray]) -> list[np.ndarray]:
     """The columns that suffixes are sorted by: the tokens, and the place."""
-    one, two, k1, k2, start, _ = columns
+    one, two, k1, k2, start = columns[:5]
     return [one, two, k1, k2, start]
 
 
@@ -165,16 +190,22 @@ def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _places(splitters: list[np.ndarray] | None):
-    """First step: the suffixes of texts (k1, k2, text)."""
+    """First step: the suffixes of texts (k1, k2, text). Equal texts after the second one of a task add nothing: two are repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
+        times: dict[tuple, int] = {}
         for batch in batches:
+            wanted = []
+            for name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                times[name] = times.get(name, 0) + 1
+                wanted.append(times[name] <= 2)
+            batch = batch.filter(pa.array(wanted))
             for part in slices(batch, 2, PIECE):
                 raw, offsets = _bytes(part.column(2))
                 k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
-                for one, two, text, start, n in placed(raw, offsets, powers):
-                    yield _suffix_batch([one, two, k1[text], k2[text], start, n], splitters)
+                for one, two, text, start, n, kind in placed(raw, offsets, powers):
+                    yield _suffix_batch([one, two, k1[text], k2[text], start, n, kind], splitters)
 
     return run
 
@@ -198,9 +229,8 @@ def _windows(splitters: list[np.ndarray] | None):
                     s = own - at * PIECE
                     prints = powers.over(raw[at * PIECE : at * PIECE + PIECE + WINDOW - 1])
                     keys = [np.full(len(s), batch.column(c)[row].as_py(), np.int64) for c in (0, 1)]
-                    yield _suffix_batch(
-                        [prints.of(s, s + half), prints.of(s + half, s + WINDOW), *keys, own, np.ones(len(s), np.int64)], splitters
-                    )
+                    tokens = [prints.of(s, s + half), prints.of(s + half, s + WINDOW)]
+                    yield _suffix_batch([*tokens, *keys, own, np.ones(len(s), np.int64), np.full(len(s), NEW)], splitters)
 
     return run
 
@@ -216,25 +246,23 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def _differs(*columns: np.ndarray) -> np.ndarray:
-    """Which rows differ from the one before."""
-    new = np.ones(len(columns[0]), bool)
-    new[1:] = False
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return new
-
-
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First step, in a bucket: stretches that occur twice are settled; those whose block alone does are open, with one of each
     settled stretch of that block. So are those of the first and the last block, which other buckets may hold too."""
     columns = _bucket_rows(batches)
     if not columns:
         return
-    one, two, k1, k2, start, n = columns
+    names = ["k1", "k2", "start", "n", "settled", "open"]
+    spare = columns[6] == SPARE
+    k1, k2, start, n = (c[spare] for c in columns[2:6])
+    sure = pa.array(np.ones(len(n), bool))
+    yield pa.RecordBatch.from_arrays([*map(pa.array, (k1, k2, start)), pa.array(n, pa.int32()), sure, pc.invert(sure)], names=names)
+    one, two, k1, k2, start, n, kind = (c[~spare] for c in columns)
+    if not len(one):
+        return
     new_block, new_stretch = _differs(one), _differs(one, two)
     block, stretch = np.cumsum(new_block) - 1, np.cumsum(new_stretch) - 1
-    often = np.bincount(stretch)
+    often = np.bincount(stretch, weights=1 + (kind == REPEATED))
     single = np.bincount(block[new_stretch], weights=often == 1) > 0
     searched = (np.bincount(block[new_stretch]) > 1) & single
     searched[[0, -1]] = True
@@ -242,9 +270,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_ = new_stretch & searched[block]
     kept = np.flatnonzero((settled & _differs(one, two, k1, k2, start)) | open_)
     arrays = [pa.array(c[kept]) for c in (k1, k2, start)] + [pa.array(n[kept], pa.int32())]
-    yield pa.RecordBatch.from_arrays(
-        [*arrays, pa.array(settled[kept]), pa.array(open_[kept])], names=["k1", "k2", "start", "n", "settled", "open"]
-    )
+    yield pa.RecordBatch.from_arrays([*arrays, pa.array(settled[kept]), pa.array(open_[kept])], names=names)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
