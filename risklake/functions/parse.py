@@ -8,6 +8,7 @@ here depends on the session time zone, and none raises under ANSI mode.
 from pyspark.sql import Column, functions as F
 
 _BLANK = r"[ \t\n\x0B\f\r]*"
+_SPACES = " \t\n\x0b\f\r"
 INTEGER_PREFIX = rf"^{_BLANK}([+-]?[0-9]+)"
 REAL_PREFIX = rf"^{_BLANK}([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 _DAY = r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
@@ -18,10 +19,11 @@ MOMENT = (
     rf"(?:[zZ]|([+-])(0[0-9]|1[0-4]):([0-5][0-9]))?)?{_BLANK}$"
 )
 
-# 64-bit integer range, milliseconds in a day, Julian date of 1970-01-01 in milliseconds.
+# 64-bit integer range, milliseconds in a day, longest text, Julian date of 1970-01-01 in milliseconds.
 LONG_MAX = 9223372036854775807
 LONG_MIN = -9223372036854775808
 DAY_MILLIS = 86400000
+LONGEST = 2147483647
 JULIAN_EPOCH_MILLIS = 210866760000000
 
 
@@ -40,15 +42,22 @@ def to_real(text: Column) -> Column:
     return F.coalesce(number, F.when(text.isNotNull(), F.lit(0.0)))
 
 
-def _clock(parts: Column) -> Column:
-    """Milliseconds to add to midnight for hour, minute, second, sign and two numbers of the zone, as texts."""
+def _clock(text: Column) -> Column:
+    """Milliseconds to add to midnight for the clock and the zone of a ``MOMENT``, which stand at fixed places counted from the
+    hour, or from the end."""
+    clock = F.rtrim(F.ltrim(F.substring(text, 11, LONGEST), F.lit(_SPACES + "T")), F.lit(_SPACES))
 
-    def number(place: int, kind: str) -> Column:
-        return F.coalesce(F.nullif(F.element_at(parts, place), F.lit("")).cast(kind), F.lit(0).cast(kind))
+    def number(place: int, length: int = 2) -> Column:
+        return F.substring(clock, place, length).cast("int").cast("long")
 
-    clock = number(1, "long") * 3600000 + number(2, "long") * 60000 + F.floor(number(3, "decimal(38,9)") * 1000).cast("long")
-    offset = number(5, "long") * 3600000 + number(6, "long") * 60000
-    return clock - F.when(F.element_at(parts, 4) == "-", -offset).otherwise(offset)
+    # of a fraction of a second the first three digits count
+    digits = F.rpad(F.regexp_extract(clock, r"[.]([0-9]{1,3})", 1), 3, "0").cast("int").cast("long")
+    fraction = F.when(F.substring(clock, 9, 1) == ".", digits).otherwise(F.lit(0).cast("long"))
+    seconds = F.when(F.substring(clock, 6, 1) == ":", number(7) * 1000 + fraction).otherwise(F.lit(0).cast("long"))
+    offset = number(-5) * 3600000 + number(-2) * 60000
+    sign = F.substring(clock, -6, 1)  # a clock without a zone has a digit or a colon there, or is shorter
+    moved = F.when(sign == "+", -offset).when(sign == "-", offset).otherwise(F.lit(0).cast("long"))
+    return F.when(clock == "", F.lit(0).cast("long")).otherwise(number(1) * 3600000 + number(4) * 60000 + seconds + moved)
 
 
 def to_millis(text: Column) -> Column:
@@ -59,11 +68,9 @@ def to_millis(text: Column) -> Column:
     """
     month = F.concat(F.substring(text, 1, 7), F.lit("-01")).try_cast("date")
     midnight = (F.unix_date(month).cast("long") + F.substring(text, 9, 2).cast("int") - 1) * DAY_MILLIS
-    parts = F.split(F.regexp_replace(text, MOMENT, "$2,$3,$4,$5,$6,$7"), ",")
-    clock = F.element_at(F.transform(F.array(parts), _clock), 1)  # the parts are split once
     length = F.length(text)
     return F.when(length == 10, F.when(text.rlike(DAY), midnight)).when(
-        length > 10, F.when(text.rlike(MOMENT), midnight + clock)
+        length > 10, F.when(text.rlike(MOMENT), midnight + _clock(text))
     )
 
 

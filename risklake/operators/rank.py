@@ -2,11 +2,10 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from risklake.operators.skew import join_spread
 from risklake.operators.stage import stage
 
 
-def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None, share: float | None = None) -> DataFrame:
+def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None) -> DataFrame:
     """Add ``rank`` = ``RANK() OVER (ORDER BY value DESC)`` as a long; NULL values come last.
 
     A window without a partition key would sort everything in a single task. Here the rows are first counted per
@@ -39,4 +38,4 @@ def global_rank(df: DataFrame, value: str, rank: str, buckets: int | None = None
         "_value": F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)),
         "_null": F.col(value).isNull(),
     }
-    return join_spread(df.withColumns(key), ranks.withColumns(key).select(*key, rank), list(key), share=share).drop(*key)
+    return df.withColumns(key).join(ranks.withColumns(key).select(*key, rank), list(key)).drop(*key)

@@ -1,4 +1,10 @@
-"""Joins whose hot keys are spread over many tasks."""
+"""Joins whose hot keys are spread over many tasks.
+
+Adaptive execution splits the hot partitions of a join while it runs, from the sizes it has measured, and reads each side
+once. It can do so if both sides come straight from a shuffle made for the join, and if nothing after the join relies on its
+partitioning. ``folded`` sees to the first; the plans group by other columns after a join, or before it. ``join_spread`` is
+for sessions or plans where that is not to be had: it cuts hot keys by counts.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -6,6 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT = 2.0
 
 
+def folded(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """``df`` grouped by ``key`` so that a join on it shuffles the groups again: rows of the other side can then be split.
+
+    Grouping by the key alone would leave its partitioning to the join, and a partition of groups can't be copied."""
+    return df.groupBy(key, F.xxhash64(key).alias("_apart")).agg(*aggregates).drop("_apart")
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -30,17 +43,21 @@ def _row_slice(df: DataFrame, slices: Column) -> Column:
 
 
 def join_spread(
-    rows: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "inner", share: float | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: str | list[str],
+    how: str = "inner",
+    share: float | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join with the hot values of the first key cut into slices.
 
     ``rows`` comes from a stored table, ``lookup`` should hold few rows per key; its rows for hot values are copied to
-    each slice of the value. ``how`` is inner or left. Adaptive execution splits skewed joins by itself only when both
-    sides come straight from a shuffle; this is for a lookup that was grouped by the join key. The table of hot keys is
-    broadcast: it has at most 1 / share rows.
+    each slice of the value. ``how`` is inner or left. The table of hot keys is broadcast: it has at most 1 / share rows. ``hot`` is
+    such a table as ``hot_keys`` gives, stored before; without it ``rows`` is read again to count its keys.
     """
     keys = [keys] if isinstance(keys, str) else keys
-    hot = F.broadcast(hot_keys(rows, keys[0], share))
+    hot = F.broadcast(hot_keys(rows, keys[0], share) if hot is None else hot)
     one = F.lit(1).cast("long")
     slices = F.coalesce(F.col("_slices"), one)
     sliced = rows.join(hot, keys[0], "left")

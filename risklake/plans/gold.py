@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from risklake.functions.bands import ACTIVE, DEFAULTED, delay_points
 from risklake.functions.money import beyond, count_of, exact, percent, total
 from risklake.operators.rank import global_rank
-from risklake.operators.skew import join_spread
+from risklake.operators.skew import folded
 from risklake.operators.stage import stage
 
 PROFILE = ["cliente_id", "nome", "score_credito", "faixa_risco", "estado"]
@@ -50,7 +50,7 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
     risk, copies = F.col("risco"), F.col("copias")
     # one row per state and loan makes the distinct counts plain counts: no Expand, no hot state
     per_loan = (
-        join_spread(loans, _folded(clientes, "cliente_id", "estado"), "cliente_id")
+        loans.join(_folded(clientes, "cliente_id", "estado"), "cliente_id")
         .groupBy("estado", "emprestimo_id")
         .agg(
             F.max("inadimplente").alias("inadimplente"),
@@ -117,44 +117,37 @@ def exposicao(
     counts once per event of its client and each event once per loan. That product is never built: both sides are
     folded per client and multiplied by the size of the other. Without it every loan and event counts once.
     """
-    amount = F.col("valor_emprestado")
-    risk = _if_defaulted(amount)
-    loans = (
-        emprestimos.groupBy("cliente_id")
-        .agg(
-            _rows().alias("linhas_emprestimo"),
-            F.count("emprestimo_id").alias("emprestimos"),
-            F.sum(exact(amount)).alias("emprestado"),
-            F.sum(beyond(amount)).alias("emprestado_alem"),
-            F.sum(exact(risk)).alias("inadimplente"),
-            F.sum(beyond(risk)).alias("inadimplente_alem"),
-            F.sum(risk).alias("_positivo"),  # in doubles, which hold what the decimals round away
-        )
-        .where(F.col("_positivo") > 0)
+    amount, risk, loan = F.col("valor_emprestado"), F.col("risco"), F.col("emprestimo")
+    loans = emprestimos.select(
+        "cliente_id", F.lit(True).alias("emprestimo"), "emprestimo_id", amount, _if_defaulted(amount).alias("risco")
     )
-    events = eventos.groupBy("cliente_id").agg(
-        _rows().alias("linhas_evento"),
+    # loans and events of a client are folded together: one shuffle, and one table to join
+    both = loans.unionByName(eventos.select("cliente_id", "evento_id", "severidade"), allowMissingColumns=True)
+    per_client = folded(
+        both,
+        "cliente_id",
+        F.count(loan).cast("decimal(20,0)").alias("linhas_emprestimo"),
+        F.count("emprestimo_id").alias("emprestimos"),
+        F.sum(exact(amount)).alias("emprestado"),
+        F.sum(beyond(amount)).alias("emprestado_alem"),
+        F.sum(exact(risk)).alias("inadimplente"),
+        F.sum(beyond(risk)).alias("inadimplente_alem"),
+        F.sum(risk).alias("_positivo"),  # in doubles, which hold what the decimals round away
+        F.count(F.when(loan.isNull(), 1)).cast("decimal(20,0)").alias("linhas_evento"),
         F.count("evento_id").alias("eventos"),
         F.max("severidade").alias("maior_severidade"),
-    )
-    per_client = loans.join(events, "cliente_id", "left")
-    # clients are shuffled once, and those without defaults go before their copies are folded
-    carried = [c for c in per_client.columns if c != "cliente_id"]
-    joined = (
-        join_spread(clientes.select(*PROFILE), per_client, "cliente_id")
-        .groupBy(*PROFILE)
-        .agg(_rows().alias("copias"), *[F.max(c).alias(c) for c in carried])  # the same for all copies
-    )
+    ).where(F.col("_positivo") > 0)
+    joined = _folded(clientes, *PROFILE).join(per_client, "cliente_id")
 
     one = F.lit(1).cast("decimal(20,0)")
-    per_loan = F.col("copias") * F.coalesce(F.col("linhas_evento"), one) if fan_out else one
+    per_loan = F.col("copias") * F.greatest(F.col("linhas_evento"), one) if fan_out else one
     per_event = F.col("copias") * F.col("linhas_emprestimo") if fan_out else one
     return joined.select(
         *PROFILE,
         count_of(F.col("emprestimos") * per_loan).alias("total_emprestimos"),
         total(F.col("emprestado") * per_loan, F.col("emprestado_alem") * per_loan).alias("valor_total_emprestado"),
         total(F.col("inadimplente") * per_loan, F.col("inadimplente_alem") * per_loan).alias("valor_inadimplente"),
-        count_of(F.coalesce(F.col("eventos"), F.lit(0)) * per_event).alias("total_eventos_risco"),
+        count_of(F.col("eventos") * per_event).alias("total_eventos_risco"),
         "maior_severidade",
     )
 
@@ -179,7 +172,9 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
     go into one aggregate per band, without the row copies of several distinct counts in one.
     """
     rate, amount = F.col("taxa_juros"), F.col("valor_emprestado")
-    loans = emprestimos.groupBy("cliente_id").agg(
+    loans = folded(
+        emprestimos,
+        "cliente_id",
         _rows().alias("linhas"),
         F.count(rate).alias("taxas"),
         F.sum(exact(rate)).alias("taxa"),
@@ -188,22 +183,27 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
         F.sum(exact(amount)).alias("valor"),
         F.sum(beyond(amount)).alias("valor_alem"),
     )
-    bands = _folded(clientes, "cliente_id", "faixa_risco", "score_credito")
-    copies, score = F.col("copias"), F.col("score_credito").cast("double")
+    score = F.col("score_credito").cast("double")
+    # one row per client and band, so that nothing is grouped by the client after the join
+    bands = clientes.groupBy("cliente_id", "faixa_risco").agg(
+        _rows().alias("copias"),
+        F.count(score).cast("decimal(20,0)").alias("com_escore"),
+        F.sum(exact(score)).alias("escore"),
+        F.sum(beyond(score)).alias("escore_alem"),
+    )
+    rows = F.col("linhas")
     weighed = ["taxas", "taxa", "taxa_alem", "valores", "valor", "valor_alem"]
-    per_client = (
-        join_spread(bands, loans, "cliente_id")
-        .groupBy("faixa_risco", "cliente_id")
-        .agg(
-            F.sum(F.when(score.isNotNull(), copies * F.col("linhas"))).alias("escores"),
-            F.sum(exact(score) * (copies * F.col("linhas"))).alias("escore"),
-            F.sum(beyond(score) * (copies * F.col("linhas"))).alias("escore_alem"),
-            *[F.sum(F.col(name) * copies).alias(name) for name in weighed],
-        )
+    per_client = bands.join(loans, "cliente_id").select(
+        "faixa_risco",
+        "cliente_id",
+        (F.col("com_escore") * rows).alias("escores"),
+        (F.col("escore") * rows).alias("escore"),
+        (F.col("escore_alem") * rows).alias("escore_alem"),
+        *[(F.col(name) * F.col("copias")).alias(name) for name in weighed],
     )
     flags = emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
     per_loan = (
-        join_spread(flags, clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
+        flags.join(clientes.select("cliente_id", "faixa_risco").distinct(), "cliente_id")
         .groupBy("faixa_risco", "emprestimo_id")
         .agg(F.max("inadimplente").alias("inadimplente"))
     )
@@ -233,14 +233,12 @@ def alerta_risco_iminente(
     """Clients with active loans who paid late on any loan, with a composite score (not clamped to 100)."""
     # clients without a late payment drop out, and the largest delay of the others is a late one: early and unpaid
     # instalments can be left out at the scan
-    late = (
-        pagamentos.where(F.col("dias_atraso") > 0)
-        .groupBy("emprestimo_id")
-        .agg(
-            F.count(F.lit(1)).alias("atrasos"),
-            F.max("dias_atraso").alias("maior"),
-            F.sum(F.col("dias_atraso").cast("decimal(18,6)")).alias("dias"),
-        )
+    late = folded(
+        pagamentos.where(F.col("dias_atraso") > 0),
+        "emprestimo_id",
+        F.count(F.lit(1)).alias("atrasos"),
+        F.max("dias_atraso").alias("maior"),
+        F.sum(F.col("dias_atraso").cast("decimal(18,6)")).alias("dias"),
     )
     active = F.col("status") == ACTIVE
     loans = emprestimos.select(
@@ -248,25 +246,17 @@ def alerta_risco_iminente(
     )
     exposed = F.col("exposto")
     # all of it is additive, so the copies of a loan need no fold of their own
-    history = (
-        join_spread(loans, late, "emprestimo_id", "left")
-        .groupBy("cliente_id")
-        .agg(
-            F.sum(F.col("atrasos").cast("decimal(20,0)")).alias("atrasos"),
-            F.max("maior").alias("maior_atraso"),
-            F.sum("dias").alias("dias"),
-            F.count(F.when(F.col("ativo"), 1)).alias("ativos"),
-            F.sum(exact(exposed)).alias("exposto"),
-            F.sum(beyond(exposed)).alias("exposto_alem"),
-        )
-        .where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
-    )
-    carried = [c for c in history.columns if c != "cliente_id"]
-    joined = (
-        join_spread(clientes.select(*PROFILE), history, "cliente_id")
-        .groupBy(*PROFILE)
-        .agg(_rows().alias("copias"), *[F.max(c).alias(c) for c in carried])
-    )
+    history = folded(
+        loans.join(late, "emprestimo_id", "left"),
+        "cliente_id",
+        F.sum(F.col("atrasos").cast("decimal(20,0)")).alias("atrasos"),
+        F.max("maior").alias("maior_atraso"),
+        F.sum("dias").alias("dias"),
+        F.count(F.when(F.col("ativo"), 1)).alias("ativos"),
+        F.sum(exact(exposed)).alias("exposto"),
+        F.sum(beyond(exposed)).alias("exposto_alem"),
+    ).where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
+    joined = _folded(clientes, *PROFILE).join(history, "cliente_id")
     copies = F.col("copias")
     # in doubles: the score of a junk text may be the smallest long
     composite = (

@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from risklake.functions.money import beyond, exact, total
-from risklake.operators.skew import join_spread
 
 # Score range; lowest score, rate range and amount range of each price band; floor of each probability, and
 # the points below 700 that make it 1; days between instalments; late fee.
@@ -52,7 +51,7 @@ def probabilidades_risco(clientes: DataFrame) -> DataFrame:
 def _with_score(emprestimos: DataFrame, clientes: DataFrame, *columns: str) -> DataFrame:
     """Loans with columns of their client; copies of a client count once."""
     profiles = clientes.select("cliente_id", *columns).distinct()
-    return join_spread(emprestimos, profiles, "cliente_id")
+    return emprestimos.join(profiles, "cliente_id")
 
 
 def politica_preco(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:

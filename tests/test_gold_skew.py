@@ -66,11 +66,19 @@ def book(request, spark):
 
 
 @pytest.fixture(params=[False, True], ids=["plain", "spread"])
-def spreading(request, monkeypatch):
-    """With spreading on, every key with a hundredth of the rows counts as hot: 8 partitions."""
-    if request.param:
-        monkeypatch.setattr(skew, "HOT", 0.08)
-    return request.param
+def spreading(request, spark):
+    """With spreading on, adaptive execution splits partitions of joins that are hardly larger than others."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100",
+    }
+    for key, value in changed.items() if request.param else ():
+        spark.conf.set(key, value)
+    yield request.param
+    for key in changed:
+        spark.conf.unset(key)
 
 
 def test_por_estado(spark, book, spreading):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from golden import write_files
-from risklake.plans import gold
+from risklake.plans import gold, loanbook
 from risklake.plans.refresh import refresh
 
 
@@ -80,8 +80,33 @@ def test_folded_sides_join_without_another_shuffle(book, settings):
     settings(autoBroadcastJoinThreshold="-1")
     tables = [book.tables[f"silver_{name}"] for name in ("clientes", "emprestimos", "eventos_risco")]
     text = plan(gold.exposicao(*tables, fan_out=True), "simple")
-    # loans once, events once, both sides of the sliced join, its fold; and the counts of the keys on either side of it
-    assert text.count("Exchange hashpartitioning") == 7
+    # loans and events together, clients, and both sides of the join for it
+    assert text.count("Exchange hashpartitioning") == 4
+    assert text.count("ENSURE_REQUIREMENTS") == 4 and text.count("Scan parquet") == 3
+
+
+def test_views_read_their_tables_once(book, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    clientes, emprestimos, pagamentos, eventos = (book.tables[f"silver_{n}"] for n in ("clientes", "emprestimos", "pagamentos", "eventos_risco"))
+    for df, scans in (
+        (gold.inadimplencia_por_estado(emprestimos, clientes), 2),
+        (gold.exposicao(clientes, emprestimos, eventos, fan_out=False), 3),
+        (gold.alerta_risco_iminente(clientes, emprestimos, pagamentos), 3),
+        (gold.risco_por_score(clientes, emprestimos), 4),  # averages over loans per client, distinct loans per band
+        (loanbook.politica_preco(emprestimos, clientes), 2),
+        (loanbook.perda_esperada(emprestimos, clientes), 2),
+    ):
+        assert plan(df, "simple").count("FileScan parquet") == scans
+
+
+def test_parsing_stays_in_generated_code(book):
+    """Every projection of the cleaning belongs to a whole stage."""
+    from risklake.plans.silver import TABLES
+
+    for entity, clean in TABLES.items():
+        text = plan(clean(book.tables[f"bronze_{entity}"]).where("true"), "codegen")
+        assert "Found 1 WholeStageCodegen subtrees" in text and "Project" in text, entity
+        assert all(line.lstrip("+-: ").startswith("*") for line in plan(clean(book.tables[f"bronze_{entity}"]), "simple").split("\n") if "Project" in line)
 
 
 def test_preview_is_a_top_k(book):
@@ -108,4 +133,26 @@ def test_a_client_with_a_third_of_the_loans_is_split(spark, settings):
     )
     states = gold.inadimplencia_por_estado(loans, clients)
     assert sum(row.total_emprestimos for row in states.collect()) == 60000
-    assert "_slice" in plan(states, "simple")
+    assert "SortMergeJoin(skew=true)" in plan(states, "simple")
+
+
+def test_lookups_grouped_by_the_key_are_copied_for_split_rows(spark, settings):
+    """Also those of the alert: loans by client, late payments by loan, hot in both."""
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="10k",
+        shuffle__partitions="32",
+    )
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    loans = spark.range(0, 60000, 1, 16).select(
+        hot.alias("emprestimo_id"), F.col("id").alias("cliente_id"), F.lit(1.5).alias("valor_emprestado"), F.lit("ATIVO").alias("status")
+    )
+    late = spark.range(0, 5000, 1, 8).select(F.col("id").alias("emprestimo_id"), F.lit(3.0).alias("dias_atraso"))
+    clients = spark.range(60000).select(
+        F.col("id").alias("cliente_id"), F.lit("n").alias("nome"), F.lit(500).cast("long").alias("score_credito"),
+        F.lit("ALTO").alias("faixa_risco"), F.lit("SP").alias("estado"),
+    )
+    alert = gold.alerta_risco_iminente(clients, loans, late)
+    assert len(alert.collect()) == 60000
+    assert "SortMergeJoin(skew=true)" in plan(alert, "simple")

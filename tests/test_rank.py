@@ -32,7 +32,19 @@ def same(left, right):
 def test_rank(spark, tmp_path, value, buckets, spread):
     spark.range(20000).selectExpr("id", f"{value} as v").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    same(global_rank(df, "v", "r", buckets, 0.001 if spread else None), expected(df, "v"))
+    skewed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, setting in skewed.items() if spread else ():
+        spark.conf.set(key, setting)
+    try:
+        same(global_rank(df, "v", "r", buckets), expected(df, "v"))
+    finally:
+        for key in skewed:
+            spark.conf.unset(key)
 
 
 def test_rank_over_thousands_of_ranges(spark):
