@@ -85,7 +85,9 @@ def _data(spark: SparkSession, sf: str) -> DataFrame:
         "hora_24": F.concat(iso, F.lit(" 24:00")),
         "prioridade": F.col("o_orderpriority"),
     }
-    julian = {name: parse.millis_to_julian(parse.to_millis(value)) for name, value in dirty.items()}
+    texts = t.table(spark, sf, "orders").select(F.col("o_orderkey").alias("chave"), *[v.alias(f"t_{name}") for name, v in dirty.items()])
+    found = parse.with_millis(texts, {f"m_{name}": F.col(f"t_{name}") for name in dirty})
+    julian = {name: parse.millis_to_julian(F.col(f"m_{name}")) for name in dirty}
     moments = {
         "dias_fuso": julian["fuso"] - julian["iso"],
         "dias_relogio": julian["relogio"] - julian["zulu"],
@@ -93,9 +95,9 @@ def _data(spark: SparkSession, sf: str) -> DataFrame:
         "dias_31": julian["dia_31"] - julian["iso"],
         "dias_24": julian["hora_24"] - julian["iso"],
     }
-    return t.table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("chave"),
-        *[parse.to_date(value).alias(name) for name, value in dirty.items()],
+    return found.select(
+        "chave",
+        *[parse.calendar_day(F.col(f"t_{name}"), F.col(f"m_{name}")).alias(name) for name in dirty],
         *[value.alias(name) for name, value in moments.items()],
     )
 

@@ -5,7 +5,7 @@ date is a strict ISO day with an optional clock and zone and anything else is NU
 here depends on the session time zone, and none raises under ANSI mode.
 """
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _BLANK = r"[ \t\n\x0B\f\r]*"
 _SPACES = " \t\n\x0b\f\r"
@@ -42,36 +42,64 @@ def to_real(text: Column) -> Column:
     return F.coalesce(number, F.when(text.isNotNull(), F.lit(0.0)))
 
 
+def _midnight(text: Column) -> Column:
+    """Milliseconds of the day that ``text`` begins with; a day that its month lacks is counted from the first."""
+    month = F.concat(F.substring(text, 1, 7), F.lit("-01")).try_cast("date")
+    return (F.unix_date(month).cast("long") + F.substring(text, 9, 2).cast("int") - 1) * DAY_MILLIS
+
+
 def _clock(text: Column) -> Column:
-    """Milliseconds to add to midnight for the clock and the zone of a ``MOMENT``, which stand at fixed places counted from the
-    hour, or from the end."""
+    """The clock and zone of a moment, '' if it has none; NULL unless ``text`` is a moment longer than a day."""
     clock = F.rtrim(F.ltrim(F.substring(text, 11, LONGEST), F.lit(_SPACES + "T")), F.lit(_SPACES))
+    return F.when(F.length(text) > 10, F.when(text.rlike(MOMENT), clock))
+
+
+def _time(clock: Column) -> Column:
+    """Hour, minute, second and milliseconds as one number. They stand at fixed places; of a fraction three digits count."""
+    digits = F.rpad(F.regexp_extract(clock, r"[.]([0-9]{1,3})", 1), 3, "0")
+    seconds = F.when(F.substring(clock, 6, 1) != ":", "00000").otherwise(F.concat(F.substring(clock, 7, 2), digits))
+    return F.when(clock != "", F.concat(F.substring(clock, 1, 2), F.substring(clock, 4, 2), seconds).cast("long"))
+
+
+def _zone(clock: Column) -> Column:
+    """Hours and minutes east as one number; NULL without. A clock without a zone has no sign six places from its end."""
+    sign = F.substring(clock, -6, 1)
+    return F.when(sign.isin("+", "-"), F.concat(sign, F.substring(clock, -5, 2), F.substring(clock, -2, 2)).cast("long"))
 
-    def number(place: int, length: int = 2) -> Column:
-        return F.substring(clock, place, length).cast("int").cast("long")
 
-    # of a fraction of a second the first three digits count
-    digits = F.rpad(F.regexp_extract(clock, r"[.]([0-9]{1,3})", 1), 3, "0").cast("int").cast("long")
-    fraction = F.when(F.substring(clock, 9, 1) == ".", digits).otherwise(F.lit(0).cast("long"))
-    seconds = F.when(F.substring(clock, 6, 1) == ":", number(7) * 1000 + fraction).otherwise(F.lit(0).cast("long"))
-    offset = number(-5) * 3600000 + number(-2) * 60000
-    sign = F.substring(clock, -6, 1)  # a clock without a zone has a digit or a colon there, or is shorter
-    moved = F.when(sign == "+", -offset).when(sign == "-", offset).otherwise(F.lit(0).cast("long"))
-    return F.when(clock == "", F.lit(0).cast("long")).otherwise(number(1) * 3600000 + number(4) * 60000 + seconds + moved)
+def _millis(text: Column, clock: Column, time: Column, zone: Column) -> Column:
+    def part(number: Column, unit: int) -> Column:
+        return F.call_function("div", number, F.lit(unit).cast("long"))
+
+    # from places of a decimal number to milliseconds: 100 minutes, not 60, make its hour
+    since = time - part(time, 10**5) * 40000 - part(time, 10**7) * 2400000
+    east = (zone - part(zone, 100) * 40) * 60000
+    zero = F.lit(0).cast("long")
+    day = F.when(F.length(text) == 10, text.rlike(DAY)).otherwise(clock.isNotNull())
+    return F.when(day, _midnight(text) + F.coalesce(since, zero) - F.coalesce(east, zero))
 
 
 def to_millis(text: Column) -> Column:
     """Milliseconds from 1970-01-01 UTC to the moment in ``text``; NULL unless it is a strict ISO day or moment.
 
     A day that its month lacks is the day so many days after the first, as delays are counted over it; ``to_date``
-    shows none for it. Hour 24 is the next day.
+    shows none for it. Hour 24 is the next day. In one expression; ``with_millis`` computes each part once.
     """
-    month = F.concat(F.substring(text, 1, 7), F.lit("-01")).try_cast("date")
-    midnight = (F.unix_date(month).cast("long") + F.substring(text, 9, 2).cast("int") - 1) * DAY_MILLIS
-    length = F.length(text)
-    return F.when(length == 10, F.when(text.rlike(DAY), midnight)).when(
-        length > 10, F.when(text.rlike(MOMENT), midnight + _clock(text))
-    )
+    clock = _clock(text)
+    return _millis(text, clock, _time(clock), _zone(clock))
+
+
+def with_millis(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """Add ``to_millis`` of each text under its name. The parts are columns of their own until then, so that generated code holds
+    each of them once and stays within what is compiled."""
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    parts = {f"_text{i}": text for i, text in enumerate(texts.values())}
+    clocks = {f"_clock{i}": _clock(F.col(f"_text{i}")) for i in range(len(texts))}
+    numbers = {f"_{kind}{i}": f(F.col(f"_clock{i}")) for i in range(len(texts)) for kind, f in (("time", _time), ("zone", _zone))}
+    done = [
+        _millis(*(F.col(f"_{kind}{i}") for kind in ("text", "clock", "time", "zone"))).alias(name) for i, name in enumerate(texts)
+    ]
+    return df.withColumns(parts).withColumns(clocks).withColumns(numbers).select(*kept, *done)
 
 
 def has_calendar_day(text: Column) -> Column:
@@ -89,6 +117,11 @@ def millis_to_julian(millis: Column) -> Column:
     return (millis + JULIAN_EPOCH_MILLIS) / F.lit(float(DAY_MILLIS))
 
 
+def calendar_day(text: Column, millis: Column) -> Column:
+    """``to_date`` of a text whose ``to_millis`` is known."""
+    return F.when(has_calendar_day(text), millis_to_date(millis))
+
+
 def to_date(text: Column) -> Column:
     """UTC calendar day of ``text``; NULL unless it is a strict ISO day or moment that the calendar has."""
-    return F.when(has_calendar_day(text), millis_to_date(to_millis(text)))
+    return calendar_day(text, to_millis(text))

@@ -9,9 +9,7 @@ projection: no shuffle.
 from pyspark.sql import DataFrame, functions as F
 
 from risklake.functions.bands import LOAN_STATUSES, income_band, score_band, severity
-from risklake.functions.parse import (
-    has_calendar_day, millis_to_date, millis_to_julian, to_date, to_integer, to_millis, to_real,
-)
+from risklake.functions.parse import calendar_day, millis_to_julian, to_integer, to_real, with_millis
 from risklake.functions.text import code, document_number
 
 
@@ -21,15 +19,17 @@ def _complete(bronze: DataFrame, *columns: str) -> DataFrame:
 
 
 def clientes(bronze: DataFrame) -> DataFrame:
-    parsed = _complete(bronze, "cliente_id", "score_credito", "cpf").select(
+    born, since = F.col("data_nascimento"), F.col("data_cadastro")
+    dated = with_millis(_complete(bronze, "cliente_id", "score_credito", "cpf"), {"_nasce": born, "_cadastro": since})
+    parsed = dated.select(
         "cliente_id",
         F.trim("nome").alias("nome"),
         document_number(F.col("cpf")).alias("cpf"),
-        to_date(F.col("data_nascimento")).alias("data_nascimento"),
+        calendar_day(born, F.col("_nasce")).alias("data_nascimento"),
         to_integer(F.col("score_credito")).alias("score_credito"),
         to_real(F.col("renda_mensal")).alias("renda_mensal"),
         code(F.col("estado")).alias("estado"),
-        to_date(F.col("data_cadastro")).alias("data_cadastro"),
+        calendar_day(since, F.col("_cadastro")).alias("data_cadastro"),
     )
     return parsed.withColumns(
         {
@@ -41,14 +41,15 @@ def clientes(bronze: DataFrame) -> DataFrame:
 
 def emprestimos(bronze: DataFrame) -> DataFrame:
     known = _complete(bronze, "emprestimo_id", "cliente_id").where(F.col("status").isin(LOAN_STATUSES))
-    parsed = known.select(
+    granted = F.col("data_concessao")
+    parsed = with_millis(known, {"_concede": granted}).select(
         "emprestimo_id",
         "cliente_id",
         to_real(F.col("valor_emprestado")).alias("valor_emprestado"),
         to_real(F.col("valor_parcela")).alias("valor_parcela"),
         to_integer(F.col("num_parcelas")).alias("num_parcelas"),
         to_real(F.col("taxa_juros")).alias("taxa_juros"),
-        to_date(F.col("data_concessao")).alias("data_concessao"),
+        calendar_day(granted, F.col("_concede")).alias("data_concessao"),
         code(F.col("status")).alias("status"),
     )
     total = F.col("valor_parcela") * F.col("num_parcelas")
@@ -57,31 +58,31 @@ def emprestimos(bronze: DataFrame) -> DataFrame:
 
 def pagamentos(bronze: DataFrame) -> DataFrame:
     paid, due = F.col("_pago"), F.col("_vence")
-    parsed = (
-        _complete(bronze, "pagamento_id")
-        .withColumns({"_pago": to_millis(F.col("data_pagamento")), "_vence": to_millis(F.col("data_vencimento"))})
-        .select(
-            "pagamento_id",
-            "emprestimo_id",
-            "parcela_num",
-            F.when(has_calendar_day(F.col("data_vencimento")), millis_to_date(due)).alias("data_vencimento"),
-            F.when(has_calendar_day(F.col("data_pagamento")), millis_to_date(paid)).alias("data_pagamento"),
-            to_real(F.col("valor_devido")).alias("valor_devido"),
-            to_real(F.col("valor_pago")).alias("valor_pago"),
-            code(F.col("status")).alias("status"),
-            (millis_to_julian(paid) - millis_to_julian(due)).alias("dias_atraso"),
-        )
+    dated = with_millis(
+        _complete(bronze, "pagamento_id"), {"_pago": F.col("data_pagamento"), "_vence": F.col("data_vencimento")}
+    )
+    parsed = dated.select(
+        "pagamento_id",
+        "emprestimo_id",
+        "parcela_num",
+        calendar_day(F.col("data_vencimento"), due).alias("data_vencimento"),
+        calendar_day(F.col("data_pagamento"), paid).alias("data_pagamento"),
+        to_real(F.col("valor_devido")).alias("valor_devido"),
+        to_real(F.col("valor_pago")).alias("valor_pago"),
+        code(F.col("status")).alias("status"),
+        (millis_to_julian(paid) - millis_to_julian(due)).alias("dias_atraso"),
     )
     return parsed.withColumn("diferenca_valor", F.col("valor_pago") - F.col("valor_devido"))
 
 
 def eventos_risco(bronze: DataFrame) -> DataFrame:
-    return _complete(bronze, "evento_id").select(
+    happened = F.col("data_evento")
+    return with_millis(_complete(bronze, "evento_id"), {"_ocorre": happened}).select(
         "evento_id",
         "cliente_id",
         "emprestimo_id",
         code(F.col("tipo_evento")).alias("tipo_evento"),
-        to_date(F.col("data_evento")).alias("data_evento"),
+        calendar_day(happened, F.col("_ocorre")).alias("data_evento"),
         to_real(F.col("valor_em_risco")).alias("valor_em_risco"),
         severity(F.col("tipo_evento")).alias("severidade"),
     )
