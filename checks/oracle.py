@@ -62,8 +62,8 @@ def _income_band(income: str) -> str:
 
 def _severity(kind: str) -> str:
     return (
-        f"cast(case when {kind} is null then 0 else coalesce(list_position("
-        f"['ATRASO_30', 'ATRASO_60', 'ATRASO_90', 'CALOTE'], {kind}), 0) end as bigint)"
+        f"cast(case {kind} when 'ATRASO_30' then 1 when 'ATRASO_60' then 2 when 'ATRASO_90' then 3 "
+        f"when 'CALOTE' then 4 else 0 end as bigint)"
     )
 
 
@@ -483,6 +483,15 @@ with linhas as (
   from lineitem
 )
 select *, rank() over (order by valor desc nulls last) as posicao from linhas
+""",
+    # as text, which is read as the nearest double
+    "soma_exata": """
+with centavos as (select *, cast(round(o_totalprice * 100) as bigint) as c from orders)
+select o_custkey as cliente_id, cast(cast(sum(
+         case o_orderkey % 4 when 0 then cast(c as decimal(38,11)) * 0.01::decimal(2,2)
+              when 1 then cast(1000000000000000 + c as decimal(38,11)) when 2 then cast(-1000000000000000 - c as decimal(38,11))
+              else cast(c as decimal(38,11)) * 0.000000001::decimal(9,9) end) as varchar) as double) as total
+from centavos group by o_custkey
 """,
     "juncao_chave_quente": """
 select o_orderkey as emprestimo_id, if(o_orderkey % 3 = 0, 1, o_custkey) as cliente_id, c_acctbal as saldo

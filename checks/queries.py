@@ -6,7 +6,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import tables as t
-from risklake.functions import bands, parse, text
+from risklake.functions import bands, money, parse, text
 from risklake.operators.rank import global_rank
 from risklake.operators.skew import join_spread
 from risklake.operators.stage import stage_path
@@ -237,6 +237,14 @@ def _chave_quente(spark: SparkSession, sf: str) -> DataFrame:
     return join_spread(loans, counts, "cliente_id", "left", share=0.001)
 
 
+def _soma(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of cents, of amounts past 1e15 with either sign, and of some down to 1e-9."""
+    order, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100)
+    amount = t._choose(order % 4, {0: cents / 100, 1: cents + 1e15, 2: -cents - 1e15}, cents / 1e9)
+    rows = t.table(spark, sf, "orders").select(F.col("o_custkey").alias("cliente_id"), amount.alias("valor"))
+    return rows.groupBy("cliente_id").agg(money.total([F.sum(c) for c in money.parts(F.col("valor"))]).alias("total"))
+
+
 def _score_limitado(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.floor(F.col("c_acctbal") / 10)
     score = F.when(F.col("c_mktsegment") != "BUILDING", raw)
@@ -285,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_ida_e_volta": _csv,
     "carga_completa": _carga,
     "rank_global_distribuido": _rank,
+    "soma_exata": _soma,
     "juncao_chave_quente": _chave_quente,
     "score_limitado": _score_limitado,
     "politica_preco": _politica,

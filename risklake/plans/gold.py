@@ -9,7 +9,7 @@ the joins they reach.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from risklake.functions.bands import ACTIVE, DEFAULTED, delay_points
-from risklake.functions.money import beyond, count_of, exact, percent, total
+from risklake.functions.money import PARTS, count_of, multiplied, parts, percent, product, summed, sums, total
 from risklake.operators.rank import global_rank
 from risklake.operators.skew import folded
 from risklake.operators.stage import stage
@@ -54,8 +54,7 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
         .groupBy("estado", "emprestimo_id")
         .agg(
             F.max("inadimplente").alias("inadimplente"),
-            F.sum(exact(risk) * copies).alias("valor"),
-            F.sum(beyond(risk) * copies).alias("valor_alem"),
+            *sums("valor", product(parts(risk), copies)),
         )
     )
     return (
@@ -63,7 +62,7 @@ def inadimplencia_por_estado(emprestimos: DataFrame, clientes: DataFrame) -> Dat
         .agg(
             F.count("emprestimo_id").alias("total_emprestimos"),
             F.count(F.when(F.col("inadimplente"), F.col("emprestimo_id"))).alias("inadimplentes"),
-            total(F.sum("valor"), F.sum("valor_alem")).alias("valor"),
+            total([F.sum(c) for c in summed("valor")]).alias("valor"),
         )
         .select(
             "estado",
@@ -85,7 +84,7 @@ def evolucao_inadimplencia(emprestimos: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total"),
             F.sum(F.when(_defaulted(), 1).otherwise(0)).alias("inadimplentes"),
-            total(F.sum(exact(risk)), F.sum(beyond(risk))).alias("valor_inadimplente"),
+            total([F.sum(c) for c in parts(risk)]).alias("valor_inadimplente"),
         )
         .withColumn("mes", F.date_format("inicio", "yyyy-MM"))
     )
@@ -128,10 +127,8 @@ def exposicao(
         "cliente_id",
         F.count(loan).cast("decimal(20,0)").alias("linhas_emprestimo"),
         F.count("emprestimo_id").alias("emprestimos"),
-        F.sum(exact(amount)).alias("emprestado"),
-        F.sum(beyond(amount)).alias("emprestado_alem"),
-        F.sum(exact(risk)).alias("inadimplente"),
-        F.sum(beyond(risk)).alias("inadimplente_alem"),
+        *sums("emprestado", parts(amount)),
+        *sums("inadimplente", parts(risk)),
         F.sum(risk).alias("_positivo"),  # in doubles, which hold what the decimals round away
         F.count(F.when(loan.isNull(), 1)).cast("decimal(20,0)").alias("linhas_evento"),
         F.count("evento_id").alias("eventos"),
@@ -142,11 +139,12 @@ def exposicao(
     one = F.lit(1).cast("decimal(20,0)")
     per_loan = F.col("copias") * F.greatest(F.col("linhas_evento"), one) if fan_out else one
     per_event = F.col("copias") * F.col("linhas_emprestimo") if fan_out else one
+    joined = multiplied(multiplied(joined, "emprestado", per_loan), "inadimplente", per_loan)
     return joined.select(
         *PROFILE,
         count_of(F.col("emprestimos") * per_loan).alias("total_emprestimos"),
-        total(F.col("emprestado") * per_loan, F.col("emprestado_alem") * per_loan).alias("valor_total_emprestado"),
-        total(F.col("inadimplente") * per_loan, F.col("inadimplente_alem") * per_loan).alias("valor_inadimplente"),
+        total(summed("emprestado")).alias("valor_total_emprestado"),
+        total(summed("inadimplente")).alias("valor_inadimplente"),
         count_of(F.col("eventos") * per_event).alias("total_eventos_risco"),
         "maior_severidade",
     )
@@ -177,29 +175,26 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
         "cliente_id",
         _rows().alias("linhas"),
         F.count(rate).alias("taxas"),
-        F.sum(exact(rate)).alias("taxa"),
-        F.sum(beyond(rate)).alias("taxa_alem"),
+        *sums("taxa", parts(rate)),
         F.count(amount).alias("valores"),
-        F.sum(exact(amount)).alias("valor"),
-        F.sum(beyond(amount)).alias("valor_alem"),
+        *sums("valor", parts(amount)),
     )
-    score = F.col("score_credito").cast("double")
+    score = F.col("score_credito").cast("decimal(20,0)")
     # one row per client and band, so that nothing is grouped by the client after the join
     bands = clientes.groupBy("cliente_id", "faixa_risco").agg(
         _rows().alias("copias"),
         F.count(score).cast("decimal(20,0)").alias("com_escore"),
-        F.sum(exact(score)).alias("escore"),
-        F.sum(beyond(score)).alias("escore_alem"),
+        F.sum(score).alias("escore"),
     )
-    rows = F.col("linhas")
-    weighed = ["taxas", "taxa", "taxa_alem", "valores", "valor", "valor_alem"]
+    rows, copies = F.col("linhas"), F.col("copias")
+    weighed = [c.alias(name + part) for name in ("taxa", "valor") for c, part in zip(product(summed(name), copies), PARTS)]
     per_client = bands.join(loans, "cliente_id").select(
         "faixa_risco",
         "cliente_id",
         (F.col("com_escore") * rows).alias("escores"),
         (F.col("escore") * rows).alias("escore"),
-        (F.col("escore_alem") * rows).alias("escore_alem"),
-        *[(F.col(name) * F.col("copias")).alias(name) for name in weighed],
+        *[(F.col(name) * copies).alias(name) for name in ("taxas", "valores")],
+        *weighed,
     )
     flags = emprestimos.select("emprestimo_id", "cliente_id", _defaulted().alias("inadimplente"))
     per_loan = (
@@ -208,14 +203,14 @@ def risco_por_score(clientes: DataFrame, emprestimos: DataFrame) -> DataFrame:
         .agg(F.max("inadimplente").alias("inadimplente"))
     )
 
-    def mean(part: str, count: str) -> Column:
-        return total(F.sum(part), F.sum(f"{part}_alem")) / F.sum(count).cast("double")
+    def mean(name: str, count: str) -> Column:
+        return total([F.sum(c) for c in summed(name)]) / F.sum(count).cast("double")
 
     return (
         per_client.unionByName(per_loan, allowMissingColumns=True)
         .groupBy("faixa_risco")
         .agg(
-            F.round(mean("escore", "escores"), 0).alias("score_medio"),
+            F.round(F.sum("escore").cast("double") / F.sum("escores").cast("double"), 0).alias("score_medio"),
             F.count("cliente_id").alias("total_clientes"),
             F.count("emprestimo_id").alias("total_emprestimos"),
             F.count(F.when(F.col("inadimplente"), F.col("emprestimo_id"))).alias("inadimplentes"),
@@ -238,7 +233,7 @@ def alerta_risco_iminente(
         "emprestimo_id",
         F.count(F.lit(1)).alias("atrasos"),
         F.max("dias_atraso").alias("maior"),
-        F.sum(F.col("dias_atraso").cast("decimal(18,6)")).alias("dias"),
+        F.sum(F.col("dias_atraso").cast("decimal(26,15)")).alias("dias"),  # days between two years of four digits
     )
     active = F.col("status") == ACTIVE
     loans = emprestimos.select(
@@ -253,11 +248,10 @@ def alerta_risco_iminente(
         F.max("maior").alias("maior_atraso"),
         F.sum("dias").alias("dias"),
         F.count(F.when(F.col("ativo"), 1)).alias("ativos"),
-        F.sum(exact(exposed)).alias("exposto"),
-        F.sum(beyond(exposed)).alias("exposto_alem"),
+        *sums("exposto", parts(exposed)),
     ).where((F.col("atrasos") > 0) & (F.col("ativos") > 0))
     joined = _folded(clientes, *PROFILE).join(history, "cliente_id")
-    copies = F.col("copias")
+    joined = multiplied(joined, "exposto", F.col("copias"))
     # in doubles: the score of a junk text may be the smallest long
     composite = (
         count_of(F.col("atrasos")).cast("double") * 10.0
@@ -269,7 +263,7 @@ def alerta_risco_iminente(
         count_of(F.col("atrasos")).alias("qtd_atrasos"),
         "maior_atraso",
         F.round(F.col("dias").cast("double") / F.col("atrasos").cast("double"), 1).alias("media_atraso"),
-        total(F.col("exposto") * copies, F.col("exposto_alem") * copies).alias("exposicao_total"),
+        total(summed("exposto")).alias("exposicao_total"),
         F.round(composite, 1).alias("score_risco_composto"),
     ).orderBy(F.desc_nulls_last("score_risco_composto"), *PROFILE)
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from risklake.functions.money import beyond, exact, total
+from risklake.functions.money import parts, product, total
 
 # Score range; lowest score, rate range and amount range of each price band; floor of each probability, and
 # the points below 700 that make it 1; days between instalments; late fee.
@@ -100,7 +100,7 @@ def perda_esperada(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
     # the probability as whole thousandths keeps the sum exact
     floor = F.lit(int(DEFAULT_FLOOR * DEFAULT_SCALE)).cast("decimal(20,0)")
     weight = F.when(F.col("score_credito").isNotNull(), F.greatest(floor, _points_below(F.col("score_credito"))))
-    loss = total(F.sum(exact(amount) * weight), F.sum(beyond(amount) * weight.cast("double")))
+    loss = total([F.sum(c) for c in product(parts(amount), weight)])
     return (
         _with_score(
             emprestimos.select("emprestimo_id", "cliente_id", "valor_emprestado"),
@@ -111,7 +111,7 @@ def perda_esperada(emprestimos: DataFrame, clientes: DataFrame) -> DataFrame:
         .groupBy("faixa_risco")
         .agg(
             F.count(F.lit(1)).alias("total_emprestimos"),
-            total(F.sum(exact(amount)), F.sum(beyond(amount))).alias("valor_total"),
+            total([F.sum(c) for c in parts(amount)]).alias("valor_total"),
             (loss / float(DEFAULT_SCALE)).alias("perda_esperada"),
         )
     )
