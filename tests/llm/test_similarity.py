@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ import pytest
 
 from risklake.llm import near_dedup, passages
 from risklake.llm.components import components
+from risklake.llm.shingles import words as word_hashes
 from tests.llm import brute
 
 
@@ -81,7 +82,7 @@ def test_fewer_words_than_a_shingle_in_a_batch():
     for texts in (["a"], ["a b", ""], ["a", "b"]):
         hashes, counts = shingles(pa.array(texts), 5)
         assert counts.tolist() == [int(bool(t)) for t in texts] and len(hashes) == counts.sum()
-        assert passages.sequence(pa.array(texts))[1].tolist() == [0] * len(texts)
+        assert passages.grams(*word_hashes(pa.array(texts)))[1].tolist() == [0] * len(texts)
 
 
 def test_one_very_long_text(spark):
@@ -140,16 +141,31 @@ def test_compact_windows_equal_the_recursive_tree():
 
 
 def test_similar_windows_equal_sets():
+    """Windows beside each other and moved by a word, against sets of shingles."""
     rng = np.random.default_rng(5)
-    x = rng.choice(10**6, 80, replace=False)
-    y = np.concatenate([rng.choice(10**6, 7), x[5:60], rng.choice(10**6, 20)])
-    y[30:34] = 10**7 + np.arange(4)
-    for shift in range(-4, 8):
-        got = set(passages.similar_windows(x, y, shift, 20, 80).tolist())
-        for at in range(len(x) - 19):
-            if 0 <= at + shift <= len(y) - 20:
-                a, b = set(x[at : at + 20]), set(y[at + shift : at + shift + 20])
-                assert (at in got) == (100 * len(a & b) >= 80 * len(a | b))
+    width, words_ = 20, 60
+    for case in range(60):
+        x = rng.choice(10**6, words_, replace=False)
+        y = x.copy()
+        at = int(rng.integers(5, 55))
+        if case % 3 == 0:
+            y[at] = 10**7
+        elif case % 3 == 1:
+            y = np.insert(y, at, 10**7)[:words_]
+        else:
+            y = np.append(np.delete(y, at), 10**7)
+
+        def sets(w):
+            return [frozenset(tuple(w[k : k + 5]) for k in range(i, i + width - 4)) for i in range(len(w) - width + 1)]
+
+        a, b = sets(x), sets(y)
+        expected = {
+            i for i in range(len(a)) for d in (0, 1, -1)
+            if 0 <= i + d < len(b) and 100 * len(a[i] & b[i + d]) >= 80 * len(a[i] | b[i + d])
+        }
+        row, first, last, _ = passages.similar(x[None], y[None], width, 80)
+        assert bool(len(row)) == bool(expected)
+        assert not expected or (first[0] in expected and last[0] in expected)
 
 
 def planted(seed):
@@ -204,20 +220,6 @@ def test_passages_with_an_edit_and_repeated_lines(spark):
     assert classes == {1: {1}, 2: {1}, 3: {3}, 4: {3}, 5: {5}, 6: {5}}
 
 
-def test_windows_of_large_groups_meet_in_the_batch(monkeypatch):
-    key = np.array([5] * 10 + [6], np.int64)
-    ids, place, reach = np.arange(11), np.zeros(11, np.int64), np.zeros(11, np.int64)
-    batches = list(passages._combined(key, ids, place, reach))
-    forward = passages.FIRST + passages.PREVIOUS + 1
-    assert batches[0]["id"].to_pylist() == [*range(forward), 10]
-    pairs = {(h, i) for b in batches[1:] for h, i in zip(b["hid"].to_pylist(), b["id"].to_pylist())}
-    assert {i for _, i in pairs} == set(range(forward, 10))
-    assert {(0, 9), (8, 9), (7, 9), (6, 9)} <= pairs
-    # several windows of one document count as one
-    batches = list(passages._combined(np.full(9, 5), np.array([1] * 8 + [2]), np.arange(9), np.zeros(9, np.int64)))
-    assert batches[0].num_rows == 9 and all(b.num_rows == 0 for b in batches[1:])
-
-
 def test_a_passage_around_a_line_that_many_documents_hold(spark):
     rng = random.Random(11)
     line = words(rng, 42, 10**6)
@@ -231,28 +233,74 @@ def test_a_passage_around_a_line_that_many_documents_hold(spark):
     assert all(15 <= r["start_word"] <= 20 and 70 <= r["end_word"] <= 75 for r in found)
 
 
-def test_every_window_and_every_shift_takes_part():
-    # document 1 holds the shingle twice; the partner's window agrees with the second one
-    key, ids = np.full(3, 5), np.array([1, 1, 2])
-    place, reach = np.array([0, 500]) << 8, np.zeros(3, np.int64)
-    place = np.append(place, 300 << 8)
-    names = ["key", "id", "place", "reach"]
-    nothing = {n: pa.nulls(3, pa.int64()) for n in ("hid", "hplace", "hreach")}
-    batch = pa.record_batch({**dict(zip(names, map(pa.array, (key, ids, place, reach)))), **nothing, "hot": pa.array([True] * 3)})
-    met = [r for b in passages._met(iter([batch])) for r in b.to_pylist() if r["b"] is not None]
-    assert {(r["pa"] >> 8, r["pb"] >> 8) for r in met} == {(0, 300), (500, 300)}
-    # two functions see a cycle at shifts 0 and 8, the third at 8 only: at 8 all three agree
-    window = (5 << 32) + 5
-    a = np.array([(20 << 8) + f for f in (0, 1, 2, 0, 1)])
-    b = a + (np.array([8, 8, 8, 0, 0]) << 8)
-    b_reach = np.array([window, window, window, 2 << 32, 2 << 32])
-    found = list(passages._agreeing(a, np.full(5, window), b, b_reach, 6))
-    assert any(8 in r[4] for r in found)
-
-
-def test_enough_functions_agree_at_the_threshold():
-    lost = sum(math.comb(passages.FUNCTIONS, k) * 0.8**k * 0.2 ** (passages.FUNCTIONS - k) for k in range(passages.AGREE))
-    assert lost < 0.002
+def test_edited_passages_around_a_line_that_many_documents_hold(spark):
+    """Ten pairs, each with a word changed, around a line of forty words in forty other documents."""
+    rng = random.Random(12)
+    line = words(rng, 40, 10**6)
+    texts = {i: words(rng, 30, 10**6) + line + words(rng, 30, 10**6) for i in range(100, 140)}
+    for pair in range(10):
+        passage = words(rng, 30, 10**6) + line + words(rng, 30, 10**6)
+        texts[2 * pair] = words(rng, 20, 10**6) + passage
+        texts[2 * pair + 1] = changed(rng, passage, 1) + words(rng, 20, 10**6)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r["doc_id"], r["class_id"]) for r in passages.repeated_passages(df, "doc_id", "text").collect()}
+    assert found == {(i, i - i % 2) for i in range(20)}
+
+
+def test_near_copies_of_a_text_that_many_hold(spark):
+    """Sixty copies with an edit in about 45 words: whoever shares fifty words with one edit with another is of the class."""
+    rng = random.Random(13)
+    base = words(rng, 180, 10**6)
+    rows = [(i, " ".join(changed(rng, base, 4))) for i in range(60)]
+    rows += [(60 + i, " ".join(words(rng, 200, 10**6))) for i in range(20)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert {r["class_id"] for r in found} == {0} and len({r["doc_id"] for r in found}) >= 58
+    assert {r["doc_id"] for r in found} <= set(range(60))
+
+
+def test_passages_of_odd_rows(spark):
+    """Repeated rows, several texts of a key, further columns, and very long texts."""
+    rng = random.Random(14)
+    shared = " ".join(words(rng, 60, 10**6))
+    long = " ".join(words(rng, 150_000, 10**6))
+    rows = [(1, shared), (1, shared), (2, "x " + shared), (2, " ".join(words(rng, 80, 10**6))), (3, long + " " + shared), (4, long),
+            (5, " ".join([shared, "y", shared])), (6, None), (None, shared), (7, " ".join(words(rng, 49, 10**6))), (8, shared[:100])]
+    df = spark.createDataFrame([(*r, 1, "a") for r in rows], "k long, text string, word int, token string")
+    found = passages.repeated_passages(df, "k", "text").collect()
+    assert {(r["k"], r["class_id"]) for r in found} == {(1, 1), (2, 1), (3, 1), (3, 3), (4, 3), (5, 1)} or {
+        (r["k"], r["class_id"]) for r in found
+    } == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1)}  # the ranges of document 3 touch or not
+    assert len([r for r in found if r["k"] == 1]) == 1
+
+
+def test_passages_against_all_pairs(spark):
+    """Documents of the small table with a passage of fifty words that is similar to one in another, by all pairs of windows."""
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    holders, grams_of = defaultdict(set), {}
+    for r in texts:
+        w = [x.translate(brute.LOWER) for x in brute.words(r["text"])]
+        grams_of[r["doc_id"]] = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        for g in grams_of[r["doc_id"]]:
+            holders[g].add(r["doc_id"])
+    linked = set()
+    pairs = {(i, j) for ids in holders.values() for i in ids for j in ids if i < j}
+    for i, j in pairs:
+        x, y = grams_of[i], grams_of[j]
+        places = defaultdict(list)
+        for k, g in enumerate(y):
+            places[g].append(k)
+        shifts = Counter(k - q for q, g in enumerate(x) for k in places.get(g, ()))
+        for shift, n in shifts.items():
+            if n + shifts[shift - 1] + shifts[shift + 1] < 41:
+                continue
+            for p in range(len(x) - 45):
+                if 0 <= p + shift <= len(y) - 46:
+                    a, b = set(x[p : p + 46]), set(y[p + shift : p + shift + 46])
+                    if 100 * len(a & b) >= 80 * len(a | b):
+                        linked |= {i, j}
+                        break
+    found = {r["doc_id"] for r in passages.repeated_passages(spark.createDataFrame(texts), "doc_id", "text").collect()}
+    assert len(linked) > 10 and len(linked & found) >= 0.98 * len(linked) and len(found - linked) <= 0.02 * len(linked)
 
 
 def test_documents_connected_before_take_part_in_open_clusters(spark):
