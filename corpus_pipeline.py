@@ -7,11 +7,11 @@ An empty table gives an empty result in every stage.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from risklake.llm import decontamination, mixing, near_dedup, repetition, sharding
 from risklake.llm.common import n_words, table
-from risklake.operators.stage import stage, stage_path
+from risklake.operators.stage import deleting_staged, stage, stage_path
 
 SHARDS = 40
 
@@ -30,15 +30,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates (five words, 80 per cent).
+    """Keep one document of each group of near-duplicates (five words, 80 per cent): the one with the smallest doc_id.
 
-    Rows without a doc_id are in no group and stay. Of several rows with one doc_id the one with the first text stays.
+    Rows that share a doc_id but not a text are documents of their own; of equal ones a single one stays. Rows without a doc_id are
+    in no group and stay. Five words, as stages on word shingles take: a few edits in a short text thus go further than in pairs of words.
     """
-    groups = near_dedup.near_duplicates(docs, "doc_id", "text")
-    kept = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = docs.join(kept, "doc_id", "left_semi").select("*", F.row_number().over(first).alias("_n"))
-    return once.where("_n = 1").select(*_names(docs)).unionByName(docs.where(F.col("doc_id").isNull()))
+    rows, text, back = _numbered(docs)
+    key = f"_c{docs.columns.index('doc_id')}"
+    named = rows.where(F.col(key).isNotNull()).withColumn("_vertex", F.xxhash64(key, text))
+    groups = near_dedup.near_duplicates(named.select("_vertex", F.col(text).alias("_text")), "_vertex", "_text")
+    members = named.select("_vertex", F.col(key).alias("_id")).distinct().join(groups, "_vertex")
+    first = members.groupBy("component_id").agg(F.min(F.struct("_id", "_vertex")).alias("_first"))
+    kept = stage(first.select(F.col("_first._vertex").alias("_vertex")), "kept")
+    once = named.join(kept, "_vertex", "left_semi").dropDuplicates(["_vertex"])
+    return once.select(*back).unionByName(rows.where(F.col(key).isNull()).select(*back))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,5 +93,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = stage_path(spark, name.replace(" ", "-"))
+        with deleting_staged(spark):  # what a stage has written for itself
+            out = function(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs

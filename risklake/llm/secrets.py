@@ -162,7 +162,9 @@ def with_secrets(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     tested like all others. Which runs pass depends on all texts of the table, as false discoveries are controlled over all
     of them. Row by row apart from one small aggregate; equal rows get equal results.
     """
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # under numbered names, so that none clashes
+    own = [f"_keep{i}" for i in range(len(keep))]
+    rows = df.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keep, own)], F.coalesce(F.col(text), F.lit("")).alias("_text"))
     for kind in KINDS:
         rows = with_spans(rows, "_text", kind)
     tested = F.transform(
@@ -173,7 +175,7 @@ def with_secrets(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
         ),
     )
     base = F.concat(*[_listed(kind, order) for order, kind in enumerate(KINDS) if kind != "random"])
-    found = stage(rows.select(*[F.col(f"`{c}`") for c in keep], base.alias("_base"), tested.alias("_tested")), "secrets")
+    found = stage(rows.select(*own, base.alias("_base"), tested.alias("_tested")), "secrets")
     limits = bounds(
         found.select(F.explode("_tested").alias("t"))
         .groupBy(F.col("t.length_class").alias("length_class"), F.col("t.step").alias("step"))
@@ -194,7 +196,8 @@ def with_secrets(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
             t["start"].alias("start"), F.lit(order).alias("order"), t["end"].alias("end"), F.lit("random").alias("kind")
         ),
     )
-    return found.select(*[F.col(f"`{c}`") for c in keep], F.array_sort(F.concat("_base", random)).alias("secrets"))
+    listed = found.select(*own, F.array_sort(F.concat("_base", random)).alias("_secrets"))
+    return listed.select(*[F.col(o).alias(c) for c, o in zip(keep, own)], F.col("_secrets").alias("secrets"))
 
 
 def _listed(kind: str, order: int) -> Column:

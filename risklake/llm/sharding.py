@@ -125,14 +125,23 @@ def place(df: DataFrame, slot_map: DataFrame, order: str) -> DataFrame:
     the rows of a whole shard.
     """
     within = Window.partitionBy("virtual_slot").orderBy(F.col(order).asc_nulls_last())
-    numbered = df.withColumn("_n", F.row_number().over(within) - 1)
+    numbered = df.withColumn("_in_slot", F.row_number().over(within) - 1)
+    firsts = slot_map.withColumnRenamed("first", "_before_slot")
     return (
-        numbered.join(F.broadcast(slot_map), "virtual_slot")
-        .withColumn("slot", F.col("first") + F.col("_n"))
-        .drop("first", "_n")
+        numbered.join(F.broadcast(firsts), "virtual_slot")
+        .withColumn("slot", F.col("_before_slot") + F.col("_in_slot"))
+        .drop("_before_slot", "_in_slot")
     )
 
 
+def _loads(rows: DataFrame, size: str, slots: int) -> tuple[list[int], list[int]]:
+    """Bytes and rows per slot, at most one line for each on the driver."""
+    bytes_, n = [0] * slots, [0] * slots
+    for line in slot_loads(rows, F.coalesce(F.col(size), F.lit(0))).collect():
+        bytes_[line["virtual_slot"]], n[line["virtual_slot"]] = line["bytes"], line["rows"]
+    return bytes_, n
+
+
 def shard(df: DataFrame, key: str, size: str, shards: int, root: str, slots: int = SLOTS) -> DataFrame:
     """Near-equal bytes: add ``virtual_slot``, ``shard`` and ``slot`` to ``df`` (they replace columns of these names).
 
@@ -141,11 +150,29 @@ def shard(df: DataFrame, key: str, size: str, shards: int, root: str, slots: int
     ``df`` twice.
     """
     spark = df.sparkSession
-    with_slots = with_slot(df.drop("virtual_slot", "shard", "slot", "first"), key, slots)
-    bytes_, rows = [0] * slots, [0] * slots
-    for line in slot_loads(with_slots, F.coalesce(F.col(size), F.lit(0))).collect():  # at most one row per slot
-        bytes_[line["virtual_slot"]], rows[line["virtual_slot"]] = line["bytes"], line["rows"]
+    with_slots = with_slot(df.drop("virtual_slot", "shard", "slot"), key, slots)
+    bytes_, rows = _loads(with_slots, size, slots)
     dealt = first_map(shards, slots)
     store_map(spark, root, 0, dealt)
     store_map(spark, root, 1, rebalance(dealt, bytes_, shards), rows)
     return place(with_slots, load_map(spark, root, 1), key)
+
+
+def reshard(df: DataFrame, key: str, size: str, shards: int, root: str, version: int) -> tuple[DataFrame, DataFrame]:
+    """Edit the stored map ``version`` for the bytes that ``df`` has now, and for another number of shards.
+
+    Stores the next version, and beside it the slots that it moves; returns ``df`` with its new places, as ``shard`` does, and
+    the moves (virtual_slot, source, target, bytes, rows). Slots that don't move keep their shard, so only the rows of those listed
+    have to be copied.
+    """
+    spark = df.sparkSession
+    owner = [r["shard"] for r in load_map(spark, root, version).orderBy("virtual_slot").collect()]  # a row per slot
+    with_slots = with_slot(df.drop("virtual_slot", "shard", "slot"), key, len(owner))
+    bytes_, rows = _loads(with_slots, size, len(owner))
+    edited = rebalance(owner, bytes_, shards)
+    store_map(spark, root, version + 1, edited, rows)
+    moved = [(i, a, b, bytes_[i], rows[i]) for i, (a, b) in enumerate(zip(owner, edited)) if a != b]
+    kinds = "virtual_slot long, source int, target int, bytes long, rows long"
+    spark.createDataFrame(moved, kinds).coalesce(1).write.parquet(f"{root}/moves={version + 1}")
+    moves = spark.read.schema(kinds).parquet(f"{root}/moves={version + 1}")
+    return place(with_slots, load_map(spark, root, version + 1), key), moves

@@ -39,6 +39,32 @@ def test_shards_of_an_empty_table(spark, tmp_path):
     assert sharding.shard(sized(spark, []), "doc_id", "size", 7, str(tmp_path / "map")).count() == 0
 
 
+def test_a_stored_map_is_edited_for_another_shard(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, int(rng.paretovariate(1.5) * 100), "s", "x", "y") for i in range(4000)]
+    root = str(tmp_path / "map")
+    before = {r["doc_id"]: r["shard"] for r in sharding.shard(sized(spark, rows), "doc_id", "size", 40, root).collect()}
+    placed, moves = sharding.reshard(sized(spark, rows), "doc_id", "size", 41, root, 1)
+    placed, moves = placed.collect(), {r["virtual_slot"]: r for r in moves.collect()}
+    held, places = Counter(), {}
+    for r in placed:
+        held[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+        assert r["shard"] == (moves[r["virtual_slot"]]["target"] if r["virtual_slot"] in moves else before[r["doc_id"]])
+    assert set(held) == set(range(41)) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    share = sum(r["bytes"] for r in moves.values()) / sum(held.values())
+    assert 0.8 / 41 < share < 2 / 41 and max(held.values()) - min(held.values()) < 0.05 * sum(held.values()) / 41
+    assert [r["shard"] for r in sharding.load_map(spark, root, 1).orderBy("virtual_slot").collect()] != [
+        r["shard"] for r in sharding.load_map(spark, root, 2).orderBy("virtual_slot").collect()
+    ]
+
+
+def test_columns_of_the_user_stay(spark, tmp_path):
+    df = sized(spark, [(1, 5, "s", "x", "y")]).withColumns({"first": F.lit("mine"), "_n": F.lit(7)})
+    row = sharding.shard(df, "doc_id", "size", 2, str(tmp_path / "map")).first()
+    assert (row["first"], row["_n"]) == ("mine", 7)
+
+
 def test_rebalancing_moves_little():
     rng = random.Random(2)
     loads = [rng.randrange(1000) for _ in range(2000)]
