@@ -10,7 +10,7 @@ class Source:
     table: str
     file: str
     columns: tuple[str, ...]
-    multiline: bool = False  # quoted line breaks; such a file cannot be split between tasks
+    multiline: bool = False  # quoted line breaks, which cost a second look at the lines
 
 
 # File headers.

@@ -78,3 +78,50 @@ def test_round_trip(spark, tmp_path):
     df = spark.createDataFrame(rows, "a string, b string, c string")
     write_raw(df, str(tmp_path / "out"))
     assert values(read_raw(spark, str(tmp_path / "out"), SOURCE)) == sorted(rows, key=repr)
+
+
+MULTILINE = Source("bronze_t", "t.csv", ("a", "b", "c"), multiline=True)
+
+
+def test_quoted_line_breaks_over_many_splits(spark, tmp_path):
+    """The same rows as one task reads, however small the splits are: some begin in quotes, some records span several."""
+    import random
+
+    draw = random.Random(3)
+    pieces = ["x", ";", '""', "\n", "long text ", "\n\n", "é", " "]
+    rows = [
+        (str(i), "".join(draw.choice(pieces) for _ in range(draw.choice([1, 3, 8, 60]))), draw.choice(["z", "NA", "p q"])) for i in range(600)
+    ]
+    text = "a;b;c\n" + "".join(f'{a};"{b}";{c}\n' for a, b, c in rows)
+    folder = tmp_path / "files"
+    folder.mkdir()
+    (folder / "1.csv").write_text(text, encoding="utf-8", newline="")
+    (folder / "2.csv").write_text("a;b;c\n" + 'y;"1\n2";3\n' * 40, encoding="utf-8", newline="")
+    expected = [(a, b.replace('""', '"') or None, None if c == "NA" else c) for a, b, c in rows] + [("y", "1\n2", "3")] * 40
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    try:
+        for size in ("128m", "700", "90"):
+            spark.conf.set(settings[0], size)
+            spark.conf.set(settings[1], "1")
+            df = read_raw(spark, str(folder), MULTILINE)
+            assert values(df) == sorted(expected, key=repr)
+        lines = spark.read.text(str(folder / "1.csv"))
+        assert lines.rdd.getNumPartitions() > 100
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_multiline_files_are_checked_too(spark, tmp_path):
+    for text, match in (
+        ('a;b;c\n1;"x\ny";3;4\n', "more than 3 fields"), ('a;b;c\n1;"x\ny;3\n', "open quote"),
+    ):
+        with pytest.raises(Exception, match=match):
+            read(spark, tmp_path, text, MULTILINE).collect()
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a;b;c\n1;2;3\n")
+    (folder / "2.csv").write_text("a;c;b\n1;3;2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_raw(spark, str(folder), MULTILINE).collect()
+    assert values(read(spark, tmp_path, 'a;b;c\r\n1;"x\r\ny"\r\n\r\n2;;3\r\n', MULTILINE)) == [("1", "x\ny", None), ("2", None, "3")]
