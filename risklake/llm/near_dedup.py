@@ -40,7 +40,10 @@ CHUNK = 3_000_000
 
 def trees(threshold: float, recall: float = RECALL, depth: int = DEPTH + 2) -> int:
     """Trees needed: a pair at the threshold is lost in one with the chance that a branching process dies out, in which
-    each common node has on average one common child."""
+    each common node has on average one common child.
+
+    This takes trees for independent. They share their functions, so the chance that all of them lose a pair is larger, and grows
+    with the depth: README states it for depths 4, 6 and 10."""
     more = 1.0 / threshold - 1.0  # chance of a second function
     lost = 0.0
     for _ in range(depth):
