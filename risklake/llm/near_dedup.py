@@ -8,7 +8,8 @@ Independent trees raise the recall to its target.
 
 Sketches of 128 bits, which ride along, tell which documents of a node are near; a node passes on a spanning tree of
 its near documents, not their pairs. Links are confirmed on the full sets. Documents that hang together by near sketches, but
-not all by confirmed links, are compared set by set, in blocks.
+not all by confirmed links, are joined on the rare tokens that linked sets must share; few of them, or such as share
+these too, are compared set by set, in blocks.
 """
 
 import math
@@ -30,6 +31,8 @@ FUNCTIONS = 64
 DEPTH, EXHAUSTIVE, MAX_DEPTH = 4, 2000, 10
 #: documents of a block in which sets are compared, and tokens compared at a time
 BLOCK, TOKENS = 256, 4096
+#: pairs of a block product that cost as much as one pair of sets that meet for a shared token
+DENSE = 64
 #: share of the pairs at the threshold that is to be found
 RECALL = 0.9999999
 _FACTORS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -189,12 +192,30 @@ class _Links:
         self.merge(stage(_confirm(pairs, self.sets, self.percent), "confirmed"))
 
     def add_within(self, clusters: DataFrame) -> None:
-        """Compare the sets of each cluster (id, cluster) block against block, and keep links between components."""
+        """Look for all links between components in each cluster (id, cluster). Clusters of one block are compared whole, larger ones by
+        the rare tokens that linked sets must share, or block against block where these would make more pairs than are worth it."""
         labelled = stage(self.labelled(clusters), "clusters")
         counts = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("_x"), F.max("of").alias("_y"))
         open_ = stage(labelled.join(counts.where("n > 2 and _x != _y").select("cluster", "n"), "cluster"), "open")
         if open_.isEmpty():
             return
+        large = open_.where(F.col("n") > BLOCK)
+        if large.isEmpty():
+            self.merge(stage(self.by_blocks(open_), "linked"))
+            return
+        prefixes = stage(self.prefixes(large), "prefixes")
+        groups = prefixes.groupBy("cluster", "node").agg(F.count(F.lit(1)).alias("g"), F.min("of").alias("_x"), F.max("of").alias("_y"))
+        groups = stage(groups.where("g > 1 and _x != _y").select("cluster", "node", "g"), "prefix-groups")
+        made = groups.groupBy("cluster").agg(F.sum(F.col("g").cast("double") * (F.col("g") - 1)).alias("_made"))
+        sizes = counts.select("cluster", F.col("n").cast("double").alias("n"))
+        dense = stage(made.join(sizes, "cluster").where(DENSE * F.col("_made") >= F.col("n") * (F.col("n") - 1)).select("cluster"), "dense")
+        whole = open_.where(F.col("n") <= BLOCK).unionByName(large.join(dense, "cluster", "left_semi"))
+        sparse = groups.join(dense, "cluster", "left_anti").select("node", F.col("g").alias("n"))
+        pairs = stage(_sharing(prefixes.drop("cluster").join(sparse, "node"), self.percent).distinct(), "candidates")
+        self.merge(stage(self.by_blocks(whole).unionByName(_confirm(pairs, self.sets, self.percent)).distinct(), "linked"))
+
+    def by_blocks(self, open_: DataFrame) -> DataFrame:
+        """Links between components of each cluster (id, of, cluster, n), from block against block."""
         blocks = F.ceil(F.col("n") / BLOCK)
         rows = open_.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")))
         rows = rows.join(self.sets, "id")
@@ -204,7 +225,26 @@ class _Links:
             (F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right"), "tokens",
         )
         dealt = rows.repartition("block").sortWithinPartitions("block", "id")
-        self.merge(stage(dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct(), "linked"))
+        return dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct()
+
+    def prefixes(self, large: DataFrame) -> DataFrame:
+        """(cluster, node, id, of, size, place): each set's rarest tokens, in the order of how many sets of the cluster hold them, as far
+        as a linked set must share one of them. ``node`` stands for the token; tokens of one set alone are counted and left out."""
+        rows = large.select("id", "of", "cluster").join(self.sets, "id")
+        each = rows.select("cluster", "id", F.explode("tokens").alias("token"))
+        held = each.groupBy("cluster", "token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        shared = each.join(held, ["cluster", "token"])
+        rare = shared.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("rare"))
+        sized = rows.select("id", "of", "cluster", F.size("tokens").alias("size")).join(rare, "id")
+        least = F.floor((F.col("size").cast("long") * self.percent + 99) / 100).cast("int")  # tokens shared with any linked set
+        alone = F.col("size") - F.size("rare")
+        taken = sized.withColumn("alone", alone).withColumn("take", F.col("size") - least + 1 - F.col("alone")).where("take > 0")
+        return taken.select(
+            "cluster", "id", "of", F.col("size").cast("long").alias("size"), "alone", F.posexplode(F.slice("rare", F.lit(1), F.col("take")))
+        ).select(
+            "cluster", F.xxhash64("cluster", F.col("col.token")).alias("node"), "id", "of", "size",
+            (F.col("alone") + F.col("pos")).cast("long").alias("place"),
+        )
 
     def clusters(self, hanging: DataFrame, left: DataFrame) -> DataFrame:
         """(id, cluster) of the documents that hang together by the pairs ``left``, which are open. A pair stands for its near
@@ -246,6 +286,14 @@ def in_blocks(members: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("node", pair).select(*members.columns)
 
 
+def _sharing(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in the nodes of a shared token (node, id, of, size, place, n) whose sizes, and places
+    of the token, allow a link. Large nodes are dealt as pairs of blocks."""
+    rows = members.where(F.col("n") <= EXHAUSTIVE).unionByName(in_blocks(members.where(F.col("n") > EXHAUSTIVE), EXHAUSTIVE))
+    dealt = rows.drop("n").repartition("node").sortWithinPartitions("node", "id")
+    return dealt.select("node", "id", "of", "size", "place").mapInArrow(_candidates(percent), "a long, b long")
+
+
 def connections(docs: DataFrame, key: str, text: str, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """(id, component) of the documents that are linked with others of different sets. Only links that connect something
     are looked for: a pair that others connect already is not confirmed."""
@@ -365,6 +413,48 @@ def _near(limit: int):
     return run
 
 
+def _candidates(percent: int):
+    """Pairs of a node whose sets may be linked: sizes within the bound, and tokens enough from the shared one on. The first token
+    that two linked sets share passes this, so the pair is met there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_key(batches, "node"):
+            node, ids, of, size, place = (table.column(c).to_numpy() for c in ("node", "id", "of", "size", "place"))
+            edges = np.flatnonzero(np.r_[True, node[1:] != node[:-1], True])
+            sizes = np.diff(edges)
+            stops, left = np.repeat(edges[1:], sizes), size - place
+
+            def allowed(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                short, long = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                enough = (100 + percent) * np.minimum(left[i], left[j]) >= percent * (short + long)
+                return (of[i] != of[j]) & (100 * short >= percent * long) & enough
+
+            for k in range(1, min(8, int(sizes.max()))):  # small nodes, all at once
+                i = np.flatnonzero((np.arange(len(node)) + k < stops) & (np.repeat(sizes, sizes) <= 8))
+                i = i[allowed(i, i + k)]
+                if len(i):
+                    yield _pairs(ids[i], ids[i + k])
+            a, b, held = [], [], 0
+            for start, n in zip(edges[:-1][sizes > 8], sizes[sizes > 8]):
+                for i in range(start, start + n - 1):
+                    j = np.arange(i + 1, start + n)
+                    j = j[allowed(i, j)]
+                    a.append(np.repeat(ids[i], len(j)))
+                    b.append(ids[j])
+                    held += len(j)
+                    if held > 100_000:
+                        yield _pairs(np.concatenate(a), np.concatenate(b))
+                        a, b, held = [], [], 0
+            if held:
+                yield _pairs(np.concatenate(a), np.concatenate(b))
+
+    return run
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
 def _compared(percent: int):
     """Links between different components, one for each pair of them, in pairs of blocks of full sets."""
 

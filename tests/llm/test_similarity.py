@@ -320,3 +320,45 @@ def test_large_nodes_of_the_last_depth_are_dealt_in_blocks(spark):
     assert max(map(len, nodes.values())) <= 60
     met = {(i, j) for ids in nodes.values() for i in ids for j in ids if i < j}
     assert len(met) == 100 * 99 // 2
+
+
+def _links_of(spark, sets: dict, percent=80):
+    """Links found by the comparison inside one cluster that holds all sets."""
+    known = near_dedup._Links(None, None, 5, percent)
+    known.sets = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, tokens array<long>")
+    known.add_within(spark.createDataFrame([(i, 0) for i in sets], "id long, cluster long"))
+    return known
+
+
+@pytest.mark.parametrize("dense, exhaustive", [(0, 2000), (0, 4), (10**9, 2000), (64, 2000)])
+def test_links_inside_a_cluster_equal_all_pairs(spark, monkeypatch, dense, exhaustive):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "DENSE", dense)
+    monkeypatch.setattr(near_dedup, "EXHAUSTIVE", exhaustive)
+    rng = random.Random(dense + exhaustive)
+    sets = {}
+    for _ in range(25):  # families of all sizes of sets, with members on both sides of the threshold
+        base = rng.sample(range(400), rng.choice([1, 2, 5, 9, 10, 11, 30, 60]))
+        for _ in range(rng.randint(1, 8)):
+            own = set(base)
+            for token in rng.sample(base, rng.randint(0, 1 + len(base) // 5)):
+                own.discard(token)
+                own.add(rng.choice([token, rng.randrange(400), rng.randrange(10**6, 10**7)]))
+            sets[len(sets)] = own
+    root = brute.near_groups({i: " ".join(f"{t}" for t in sorted(s)) for i, s in sets.items()}, 1)
+    known = _links_of(spark, sets)
+    found = {r["id"]: r["component"] for r in known.connected.collect()}
+    assert {i: found.get(i, i) for i in sets} == root
+    for r in known.found.collect():
+        a, b = sets[r["a"]], sets[r["b"]]
+        assert 100 * len(a & b) >= 80 * len(a | b)
+
+
+def test_pages_of_one_template_make_few_candidates(spark):
+    template, pages = list(range(75)), 3000
+    sets = {i: set(template) | {1000 * (i + 1) + k for k in range(25)} for i in range(pages)}  # alike by 0.6
+    sets[pages] = set(sets[77]) ^ {1000 * 78, 5}
+    known = _links_of(spark, sets)
+    assert [tuple(r) for r in known.found.collect()] == [(77, pages)]
+    rows = spark.createDataFrame([(i, i, 0) for i in sets], "id long, of long, cluster long")
+    assert known.prefixes(rows).count() <= 2 * pages
