@@ -33,6 +33,8 @@ DEPTH, EXHAUSTIVE, MAX_DEPTH = 4, 2000, 10
 BLOCK, TOKENS = 256, 4096
 #: pairs of a block product that cost as much as one pair of sets that meet for a shared token
 DENSE = 64
+#: hash buckets that tell rare tokens of a cluster from frequent ones
+BUCKETS = 4096
 #: share of the pairs at the threshold that is to be found
 RECALL = 0.9999999
 _FACTORS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -178,6 +180,7 @@ class _Links:
         self.texts, self.reps, self.words, self.percent = texts, reps, words, percent
         self.found: DataFrame | None = None
         self.connected: DataFrame | None = None
+        self.compared: DataFrame | None = None  # digests of the clusters whose links are all found
 
     def load(self, ids: DataFrame) -> None:
         """Make the full sets (id, tokens) of these documents, and of no others. Texts are shuffled once."""
@@ -195,10 +198,19 @@ class _Links:
         """Look for all links between components in each cluster (id, cluster). Clusters of one block are compared whole, larger ones by
         the rare tokens that linked sets must share, or block against block where these would make more pairs than are worth it."""
         labelled = stage(self.labelled(clusters), "clusters")
-        counts = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("_x"), F.max("of").alias("_y"))
-        open_ = stage(labelled.join(counts.where("n > 2 and _x != _y").select("cluster", "n"), "cluster"), "open")
-        if open_.isEmpty():
+        counts = labelled.groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("n"), F.min("of").alias("_x"), F.max("of").alias("_y"),
+            F.bit_xor(F.xxhash64("id")).alias("d0"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("d1"),
+        )
+        counts = counts.where("n > 2 and _x != _y").select("cluster", "n", "d0", "d1")
+        if self.compared is not None:
+            counts = counts.join(self.compared, ["n", "d0", "d1"], "left_anti")
+        counts = stage(counts, "cluster-sizes")
+        if counts.isEmpty():
             return
+        new = counts.select("n", "d0", "d1")
+        self.compared = new if self.compared is None else self.compared.unionByName(new)
+        open_ = stage(labelled.join(counts.select("cluster", "n"), "cluster"), "open")
         large = open_.where(F.col("n") > BLOCK)
         if large.isEmpty():
             self.merge(stage(self.by_blocks(open_), "linked"))
@@ -228,22 +240,31 @@ class _Links:
         return dealt.mapInArrow(_compared(self.percent), "a long, b long").distinct()
 
     def prefixes(self, large: DataFrame) -> DataFrame:
-        """(cluster, node, id, of, size, place): each set's rarest tokens, in the order of how many sets of the cluster hold them, as far
-        as a linked set must share one of them. ``node`` stands for the token; tokens of one set alone are counted and left out."""
-        rows = large.select("id", "of", "cluster").join(self.sets, "id")
-        each = rows.select("cluster", "id", F.explode("tokens").alias("token"))
-        held = each.groupBy("cluster", "token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        shared = each.join(held, ["cluster", "token"])
-        rare = shared.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("rare"))
-        sized = rows.select("id", "of", "cluster", F.size("tokens").alias("size")).join(rare, "id")
-        least = F.floor((F.col("size").cast("long") * self.percent + 99) / 100).cast("int")  # tokens shared with any linked set
-        alone = F.col("size") - F.size("rare")
-        taken = sized.withColumn("alone", alone).withColumn("take", F.col("size") - least + 1 - F.col("alone")).where("take > 0")
-        return taken.select(
-            "cluster", "id", "of", F.col("size").cast("long").alias("size"), "alone", F.posexplode(F.slice("rare", F.lit(1), F.col("take")))
-        ).select(
-            "cluster", F.xxhash64("cluster", F.col("col.token")).alias("node"), "id", "of", "size",
-            (F.col("alone") + F.col("pos")).cast("long").alias("place"),
+        """(cluster, node, id, of, size, place): each set's first tokens, rare ones first, as far as a linked set must share one of them.
+        ``node`` stands for the token. Tokens are ordered by how often those of the same hash bucket occur in the cluster, then by
+        themselves: one order for all sets, from one small row a cluster. Parts of a cluster are counted in their tasks, and tokens
+        whose bucket all belongs to one component, which no new link can share, are left out before rows are made of tokens."""
+        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (2 * BLOCK)))
+        rows = large.select("id", "of", "cluster", part.alias("part")).join(self.sets, "id")
+        rows = stage(rows.repartition("cluster", "part").sortWithinPartitions("cluster", "part"), "cluster-sets")
+        counted = rows.select("cluster", "part", "of", "tokens").mapInArrow(_by_buckets, _BUCKET_COUNTS)
+        held = counted.groupBy("cluster", "bucket").agg(F.sum("held").alias("held"))
+        levels = _per_bucket(held, F.floor(4 * F.log2("held")).cast("tinyint"), F.lit(0).cast("tinyint"))
+        size = F.size("tokens").cast("long")
+        least = F.floor((size * self.percent + 99) / 100)  # tokens shared with any linked set
+        leveled = F.transform("tokens", lambda t: F.struct(F.element_at("values", _bucket(t) + 1).alias("level"), t.alias("token")))
+        first = F.slice(F.array_sort(leveled), F.lit(1), (size - least + 1).cast("int"))
+        ordered = rows.join(levels, "cluster").select(
+            "cluster", "part", "id", "of", size.alias("size"), F.transform(first, lambda t: t["token"]).alias("tokens")
+        )
+        ordered = stage(ordered.repartition("cluster", "part").sortWithinPartitions("cluster", "part"), "first-tokens")
+        counted = ordered.select("cluster", "part", "of", "tokens").mapInArrow(_by_buckets, _BUCKET_COUNTS)
+        owned = counted.groupBy("cluster", "bucket").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        several = _per_bucket(owned, F.col("low") != F.col("high"), F.lit(False))
+        placed = F.transform("tokens", lambda t, i: F.struct(t.alias("token"), i.cast("long").alias("place")))
+        met = F.filter(placed, lambda t: F.element_at("values", _bucket(t["token"]) + 1))
+        return ordered.join(several, "cluster").select("cluster", "id", "of", "size", F.explode(met).alias("met")).select(
+            "cluster", F.xxhash64("cluster", "met.token").alias("node"), "id", "of", "size", "met.place"
         )
 
     def clusters(self, hanging: DataFrame, left: DataFrame) -> DataFrame:
@@ -286,6 +307,43 @@ def in_blocks(members: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("node", pair).select(*members.columns)
 
 
+_BUCKET_COUNTS = "cluster long, bucket int, held long, low long, high long"
+
+
+def _bucket(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
+
+
+def _per_bucket(counted: DataFrame, value: Column, otherwise: Column) -> DataFrame:
+    """One row per cluster of (cluster, bucket, ...): ``values``, one of each bucket."""
+    known = counted.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("bucket", value))).alias("known"))
+    every = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
+    return known.select("cluster", F.transform(every, lambda b: F.coalesce(F.element_at("known", b), otherwise)).alias("values"))
+
+
+def _by_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens in each bucket of a part of a cluster, and the smallest and largest component that has some there."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cluster, part, of = (batch.column(c).to_numpy() for c in ("cluster", "part", "of"))
+        lists = batch.column("tokens")
+        edges = np.flatnonzero(np.r_[True, (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1]), True])
+        for start, stop in zip(edges[:-1], edges[1:]):
+            own = lists.slice(start, stop - start)
+            owners = np.repeat(of[start:stop], pc.list_value_length(own).to_numpy())
+            buckets = (own.flatten().to_numpy() & (BUCKETS - 1)).astype(np.int32)
+            order = np.lexsort((owners, buckets))
+            buckets, owners = buckets[order], owners[order]
+            first = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
+            ends = np.append(first[1:], len(buckets))
+            columns = [
+                pa.array(np.full(len(first), cluster[start])), pa.array(buckets[first]), pa.array((ends - first).astype(np.int64)),
+                pa.array(owners[first]), pa.array(owners[ends - 1]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["cluster", "bucket", "held", "low", "high"])
+
+
 def _sharing(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components in the nodes of a shared token (node, id, of, size, place, n) whose sizes, and places
     of the token, allow a link. Large nodes are dealt as pairs of blocks."""

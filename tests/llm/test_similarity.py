@@ -355,10 +355,14 @@ def test_links_inside_a_cluster_equal_all_pairs(spark, monkeypatch, dense, exhau
 
 
 def test_pages_of_one_template_make_few_candidates(spark):
-    template, pages = list(range(75)), 3000
-    sets = {i: set(template) | {1000 * (i + 1) + k for k in range(25)} for i in range(pages)}  # alike by 0.6
-    sets[pages] = set(sets[77]) ^ {1000 * 78, 5}
+    pages = 3000
+    hashed = near_dedup.mix(np.arange(75 + 25 * pages, dtype=np.uint64)).view(np.int64).tolist()  # tokens are mixed hashes
+    template, own = hashed[:75], hashed[75:]
+    sets = {i: {*template, *own[25 * i : 25 * i + 25]} for i in range(pages)}  # alike by 0.6
+    sets[pages] = sets[77] - {template[5], own[25 * 77]}
     known = _links_of(spark, sets)
     assert [tuple(r) for r in known.found.collect()] == [(77, pages)]
-    rows = spark.createDataFrame([(i, i, 0) for i in sets], "id long, of long, cluster long")
-    assert known.prefixes(rows).count() <= 2 * pages
+    rows = spark.createDataFrame([(i, i, 0, len(sets)) for i in sets], "id long, of long, cluster long, n long")
+    prefixes = known.prefixes(rows)
+    groups = prefixes.groupBy("node").count().where("count > 1").withColumnRenamed("count", "n")
+    assert near_dedup._sharing(prefixes.drop("cluster").join(groups, "node"), 80).count() <= 2 * pages
