@@ -8,9 +8,8 @@ Two passages of 50 words that are similar to 80 per cent differ in one word or s
 grams at least, and these have the same smallest gram in both. So one hash is enough for a pair to meet, and what meets has ``GRAM``
 words in common already. Windows are dealt out by ranges of (gram, context, place), where the context is all that a passage around the gram can
 hold. Equal contexts are the same passage, whoever holds them: they are one class, and only one of them goes on. Different contexts of a gram are
-compared word by word: all of a small group, and in a large one, as a common line makes it, the neighbours in two orders,
-by the words that follow and by the words that come before. Whoever goes on with the same words after or before the line is
-a neighbour, however many others hold the line.
+compared word by word, all with all; groups of many contexts, as a common line makes them, are dealt as pairs of blocks. Of these
+groups it is returned which contexts hang together and how far each is similar to others, not a row for every pair.
 """
 
 from collections.abc import Iterator
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from risklake.llm.common import slices
 from risklake.llm.components import components
+from risklake.llm.near_dedup import _by_key
 from risklake.llm.shingles import mix, words
 from risklake.llm.suffixes import NEW, _bucket_rows, _dealt, _differs, _powers, _suffix_batch
 from risklake.operators.stage import stage
@@ -30,10 +30,12 @@ from risklake.operators.stage import stage
 WORDS, PASSAGE, PERCENT = 5, 50, 80
 #: words of a gram, and grams that similar passages have in a row (25 words)
 GRAM, WIDTH = 12, 14
-#: distinct contexts of a gram that are all compared, and neighbours compared in larger groups
-SMALL, NEAR = 16, 3
+#: distinct contexts of a gram whose links are returned pair by pair, and contexts of a block; larger groups are compared block by block
+SMALL, BLOCK = 16, 1024
 #: words before and after the start of a gram that a passage around it can hold
 BEFORE, AFTER = PASSAGE - GRAM, PASSAGE
+#: pairs of contexts looked at together
+TILE = 2048
 #: bytes of text hashed together
 CHUNK = 2_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -192,23 +194,29 @@ def _matrix(column: pa.BinaryArray, width: int, salt: int) -> np.ndarray:
     return out
 
 
+def _shingled(x: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles of rows of words."""
+    size = x.shape[1] - WORDS + 1
+    h = np.zeros((len(x), size), np.uint64)
+    for k in range(WORDS):
+        h = (h ^ x[:, k : k + size].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k + 1)
+    return h
+
+
 def similar(a: np.ndarray, b: np.ndarray, passage: int, percent: int) -> tuple[np.ndarray, ...]:
     """Windows of ``passage`` words that are similar in rows of words that lie side by side: (row, first start, last start, shift).
 
     Shingles match their like at the same place or at one beside it, as a word that is left out or put in moves what follows.
     ``shift`` is how much later the window of ``b`` starts than that of ``a``.
     """
-    n = passage - WORDS + 1
-    size = a.shape[1] - WORDS + 1
-    starts = size - n + 1
+    return _similar(_shingled(a), _shingled(b), a >= 0, b >= 0, passage, percent)
 
-    def shingle(x: np.ndarray) -> np.ndarray:
-        h = np.zeros((len(x), size), np.uint64)
-        for k in range(WORDS):
-            h = (h ^ x[:, k : k + size].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k + 1)
-        return h
 
-    x, y = shingle(a), shingle(b)
+def _similar(x: np.ndarray, y: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, passage: int, percent: int) -> tuple[np.ndarray, ...]:
+    """``similar`` from the shingles of both, and where there is text."""
+    n = passage - WORDS + 1
+    size = x.shape[1]
+    starts = size - n + 1
     free = np.ones(x.shape, bool)
     sums = {}
     for s in (0, 1, -1):
@@ -217,61 +225,165 @@ def similar(a: np.ndarray, b: np.ndarray, passage: int, percent: int) -> tuple[n
         equal[:, of] = x[:, of] == y[:, to]
         equal &= free
         free &= ~equal
-        sums[s] = np.concatenate([np.zeros((len(x), 1), np.int64), np.cumsum(equal, axis=1)], axis=1)
-    p = np.arange(starts)
+        sums[s] = np.zeros((len(x), size + 1), np.int16)
+        np.cumsum(equal, axis=1, dtype=np.int16, out=sums[s][:, 1:])
+    least = -(-2 * n * percent // (100 + percent))
     found = []
-    taken = np.zeros(len(x), bool)
+    rows = np.arange(len(x))
     for shift in (0, 1, -1):
-        common = np.zeros((len(x), starts), np.int64)
+        common = np.zeros((len(rows), starts), np.int16)
         for s, c in sums.items():
-            low = np.clip(np.maximum(p, p + shift - s), 0, size)
-            high = np.clip(np.minimum(p + n, p + n + shift - s), 0, size)
-            common += c[:, high] - c[:, low]
-        good = (100 * common >= percent * (2 * n - common)) & (p + shift >= 0) & (p + shift <= starts - 1)
+            # shingles that match at s and lie in both windows
+            low, high = max(shift - s, 0), n + min(shift - s, 0)
+            common += c[rows, high : high + starts] - c[rows, low : low + starts]
         # padding is no text
-        good &= (a[:, : starts] >= 0) & (a[:, passage - 1 : passage - 1 + starts] >= 0)
-        inside = np.clip(p + shift, 0, starts - 1)
-        good &= (b[:, inside] >= 0) & (b[:, inside + passage - 1] >= 0)
-        row = np.flatnonzero(good.any(axis=1) & ~taken)
-        taken[row] = True
-        found.append((row, good[row].argmax(axis=1), starts - 1 - good[row][:, ::-1].argmax(axis=1), np.full(len(row), shift)))
+        good = (common >= least) & in_a[rows, :starts] & in_a[rows, passage - 1 : passage - 1 + starts]
+        to, of = slice(max(shift, 0), starts + min(shift, 0)), slice(max(-shift, 0), starts - max(shift, 0))
+        ends = slice(to.start + passage - 1, to.stop + passage - 1)
+        good[:, of] &= in_b[rows, to] & in_b[rows, ends]
+        good[:, : of.start] = good[:, of.stop :] = False
+        some = good.any(axis=1)
+        hit = good[some]
+        found.append((rows[some], hit.argmax(axis=1), starts - 1 - hit[:, ::-1].argmax(axis=1), np.full(len(hit), shift)))
+        rows = rows[~some]
     return tuple(map(np.concatenate, zip(*found)))
 
 
-_LINK = "a1 long, a2 long, a_from long, a_to long, b1 long, b2 long, b_from long, b_to long"
+def _reach(matched: np.ndarray, inside: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the windows ``inside`` that have ``least`` matched among their ``n`` shingles; first > last without any."""
+    sums = np.concatenate([np.zeros((len(matched), 1), np.int16), np.cumsum(matched, axis=1, dtype=np.int16)], axis=1)
+    good = (sums[:, n:] - sums[:, :-n] >= least) & inside
+    some = good.any(axis=1)
+    last = good.shape[1] - 1 - good[:, ::-1].argmax(axis=1)
+    return np.where(some, good.argmax(axis=1), 1), np.where(some, last, 0)
+
+
+def connect(context: np.ndarray, left: np.ndarray, right: np.ndarray, passage: int, percent: int) -> tuple[np.ndarray, ...]:
+    """What comparing all ``left`` with all ``right`` rows of words around one gram gives: for each row its label, first and last start
+    of a window that is similar to one of another row (first > last: none). Rows with a common label hang together by such windows.
+
+    All pairs are gone through, some at a time. A window around the gram holds all 19 shingles on one side of those that lie in the gram, or
+    more, so pairs without enough matches there are left at once. Of the others, those are compared that could connect rows or widen
+    what is known of one.
+    """
+    n = passage - WORDS + 1
+    least = -(-2 * n * percent // (100 + percent))
+    x, text = _shingled(context), context >= 0
+    size = x.shape[1]
+    short = (x >> np.uint64(32)).astype(np.uint32)
+    inside = text[:, : size - n + 1] & text[:, passage - 1 : passage + size - n]
+    half = (size - n) // 2
+    sides = ((half, size - n), (n, size - half))  # a window begins at ``half`` or before, or else after it
+    label, first, last = np.arange(len(x)), np.full(len(x), size), np.full(len(x), -1)
+    widest = inside.argmax(axis=1), inside.shape[1] - 1 - inside[:, ::-1].argmax(axis=1)
+
+    def promising(i, j) -> np.ndarray:
+        near = False
+        for begin, end in sides:
+            matched = short[j, begin:end] == short[i, begin:end]
+            matched |= short[j, begin + 1 : end + 1] == short[i, begin:end]
+            matched |= short[j, begin - 1 : end - 1] == short[i, begin:end]
+            near = near | (np.add.reduce(matched, axis=-1, dtype=np.uint8) >= least - n + half)
+        return near
+
+    whole = len(left) == len(right) and bool((left == right).all())
+    deep = max(1, TILE // len(right)) if len(right) else 1
+    for i0 in range(0, len(left), deep):
+        mine = left[i0 : i0 + deep]
+        others = right[i0 + 1 :] if whole else right
+        for j0 in range(0, len(others), TILE):
+            theirs = others[j0 : j0 + TILE]
+            full = (first == widest[0]) & (last == widest[1])
+            need = ~(full[mine][:, None] & full[theirs] & (label[mine][:, None] == label[theirs]))
+            if whole:
+                need &= mine[:, None] < theirs
+            i, j = np.nonzero(need)
+            if 4 * len(i) < need.size:
+                i, j = mine[i], theirs[j]
+                near = promising(i, j)
+                i, j = i[near], j[near]
+            else:
+                i, j = np.nonzero(need & promising(mine[:, None], theirs[None, :]))
+                i, j = mine[i], theirs[j]
+            for begin in range(0, len(i), TILE):
+                _join(i[begin : begin + TILE], j[begin : begin + TILE], x, short, text, inside, label, first, last, passage, percent)
+    return label, first, last
+
+
+def _join(i, j, x, short, text, inside, label, first, last, passage: int, percent: int) -> None:
+    """Compare rows ``i`` with rows ``j`` where that could change labels or reach, and change them."""
+    n = passage - WORDS + 1
+    least = -(-2 * n * percent // (100 + percent))
+    a, b = short[i], short[j]
+    same, later, earlier = a == b, a[:, :-1] == b[:, 1:], a[:, 1:] == b[:, :-1]
+    matched = same.copy()
+    matched[:, :-1] |= later
+    matched[:, 1:] |= earlier
+    low, high = _reach(matched, inside[i], n, least)
+    matched = same
+    matched[:, 1:] |= later
+    matched[:, :-1] |= earlier
+    low_j, high_j = _reach(matched, inside[j], n, least)
+    known = (label[j] == label[i]) & (low >= first[i]) & (high <= last[i]) & (low_j >= first[j]) & (high_j <= last[j])
+    open_ = (low <= high) & ~known
+    i, j = i[open_], j[open_]
+    row, begins, ends, shift = _similar(x[i], x[j], text[i], text[j], passage, percent)
+    i, j = i[row], j[row]
+    np.minimum.at(first, i, begins)
+    np.maximum.at(last, i, ends)
+    np.minimum.at(first, j, begins + shift)
+    np.maximum.at(last, j, ends + shift)
+    a, b = label[i], label[j]
+    while (a != b).any():
+        to = np.arange(len(label))
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+        while (to[to] != to).any():
+            to = to[to]
+        label[:] = to[label]
+        a, b = label[i], label[j]
+
+
+_RANGE = "token long, k1 long, k2 long, from long, to long"
 
 
 def _compared(passage: int, percent: int):
-    """Links between neighbours of a gram, in the order of the rows."""
-    names = [c.split()[0] for c in _LINK.split(", ")]
+    """Ranges of similar passages, from groups and pairs of blocks of contexts (block, k1, k2, word, after, before, left, right)."""
+    names = [c.split()[0] for c in _RANGE.split(", ")]
+
+    def batch(token: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *map(pa.array, columns)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks().to_batches()
-            if not rows:
-                continue
-            rows, old = rows[0], 0 if tail is None else tail.num_rows
-            tail = rows.slice(max(rows.num_rows - SMALL, 0))
-            gram, k1, k2, word = (rows.column(c).to_numpy() for c in range(4))
-            new = _differs(gram)
-            group = np.cumsum(new) - 1
-            size = np.bincount(group)
-            pairs = []
-            for k in range(1, SMALL):
-                j = np.arange(max(old, k), len(gram))
-                j = j[(gram[j] == gram[j - k]) & ((k <= NEAR) | (size[group[j]] <= SMALL))]
-                pairs.append((j - k, j))
-            i, j = map(np.concatenate, zip(*pairs))
-            context = np.concatenate([_matrix(rows.column(5), BEFORE, 1)[:, ::-1], _matrix(rows.column(4), AFTER, 2)], axis=1)
-            for at in range(0, len(i), 20_000):
-                x, y = i[at : at + 20_000], j[at : at + 20_000]
-                row, first, last, shift = similar(context[x], context[y], passage, percent)
-                x, y = x[row], y[row]
-                begin_x, begin_y = word[x] - BEFORE + first, word[y] - BEFORE + first + shift
-                length = last - first + passage
-                columns = [k1[x], k2[x], begin_x, begin_x + length, k1[y], k2[y], begin_y, begin_y + length]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        for table in _by_key(batches, "block"):
+            table = table.combine_chunks()
+            block, k1, k2, word = (table.column(c).to_numpy() for c in ("block", "k1", "k2", "word"))
+            left, right = (table.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+            after, before = (table.column(c).combine_chunks() for c in ("after", "before"))
+            context = np.concatenate([_matrix(before, BEFORE, 1)[:, ::-1], _matrix(after, AFTER, 2)], axis=1)
+            edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            sizes = np.diff(edges)
+            of = np.repeat(sizes, sizes)
+            for k in range(1, min(SMALL, int(sizes.max()))):  # small groups, all at once
+                x = np.flatnonzero((block[k:] == block[:-k]) & (of[k:] <= SMALL))
+                x = x[(left[x] & right[x + k]) | (right[x] & left[x + k])]
+                for at in range(0, len(x), 20_000):
+                    i = x[at : at + 20_000]
+                    row, first, last, shift = similar(context[i], context[i + k], passage, percent)
+                    i, j = i[row], i[row] + k
+                    a, b = word[i] - BEFORE + first, word[j] - BEFORE + first + shift
+                    length = last - first + passage
+                    token = np.zeros(len(i), np.uint64)
+                    for c in (k1[i], k2[i], a, k1[j], k2[j], b, length):
+                        token = mix(token * np.uint64(_BASE) + c.astype(np.int64).view(np.uint64))
+                    yield batch(token, k1[i], k2[i], a, a + length)
+                    yield batch(token, k1[j], k2[j], b, b + length)
+            for start, n in zip(edges[:-1][sizes > SMALL], sizes[sizes > SMALL]):
+                own = slice(start, start + n)
+                label, first, last = connect(context[own], np.flatnonzero(left[own]), np.flatnonzero(right[own]), passage, percent)
+                i = np.flatnonzero(first <= last)
+                token = mix(block[start : start + 1].view(np.uint64) + label[i].astype(np.uint64) * np.uint64(_BASE))
+                begin = word[own][i] - BEFORE
+                yield batch(token, k1[own][i], k2[own][i], begin + first[i], begin + last[i] + passage)
 
     return run
 
@@ -287,12 +399,16 @@ def ranges(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> Data
     met = stage(_dealt(rows, _centers, size / 50, buckets).mapInArrow(_meet, _MEETING), "met")
     open_ = met.where("open").groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "word")).alias("open"))
     around = stage(rows.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "open").mapInArrow(_contexts, _CONTEXT), "contexts")
-    links = None
-    for order in (["gram", "after", "before", "k1", "word"], ["gram", "before", "after", "k1", "word"]):
-        dealt = around.repartitionByRange(*order).sortWithinPartitions(*order)
-        found = dealt.mapInArrow(_compared(PASSAGE, percent), _LINK)
-        links = found if links is None else links.unionByName(found)
-    links = stage(links.distinct(), "similar").withColumn("token", F.xxhash64(*[c.split()[0] for c in _LINK.split(", ")]))
+    crowded = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    crowded = stage(crowded.select("gram", F.ceil(F.col("n") / BLOCK).alias("_blocks")), "crowded")
+    blocks = around.join(crowded, "gram", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
+    blocks = blocks.withColumn("_own", F.pmod(F.xxhash64("k1", "k2", "word"), "_blocks"))
+    blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    pair = F.xxhash64("gram", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    sides = [(F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right")]
+    blocks = blocks.select(pair.alias("block"), "k1", "k2", "word", "after", "before", *sides)
+    dealt = blocks.repartition("block").sortWithinPartitions("block", "after", "before", "k1", "k2", "word")
+    similar_ones = stage(dealt.mapInArrow(_compared(PASSAGE, percent), _RANGE), "similar")
     left = F.col("word") - F.floor(F.col("shape") / 128)
     equal = met.where("same").select(
         "token", "k1", "k2", left.alias("from"), (left + F.col("shape") % 128).alias("to")
@@ -300,16 +416,15 @@ def ranges(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> Data
     place = F.struct("k1", "k2", "from")
     spread = equal.groupBy("token").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a != _b").select("token")
     equal = equal.join(stage(spread, "classes"), "token")
-    sides = [links.select("token", *(F.col(f"{s}{c}").alias(n) for c, n in (("1", "k1"), ("2", "k2"), ("_from", "from"), ("_to", "to")))) for s in "ab"]
-    return stage(equal.unionByName(sides[0]).unionByName(sides[1]), "ranges")
+    return stage(equal.unionByName(similar_ones), "ranges")
 
 
 def repeated_passages(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
     """Passages of ``PASSAGE`` words and more that occur in several documents: (key, start_word, end_word, class_id, n_links, first).
 
     Overlapping ranges of a document are one passage. Passages that are linked, directly or through others, form a class;
-    ``class_id`` is the smallest key in it, ``n_links`` the ranges found that the passage takes part in, and
-    ``first`` marks the passages of that key. Ends are exclusive. Documents without shared passages have no row.
+    ``class_id`` is the smallest key in it, ``n_links`` the ranges found that the passage takes part in (what hangs
+    together around a gram of many contexts is one), and ``first`` marks the passages of that key. Ends are exclusive. Documents without shared passages have no row.
 
     NULL and empty texts, and those shorter than a passage, share nothing; neither do rows with a NULL key. Rows of one key share
     nothing among each other: repeated rows count once, and different texts of a key have rows of their own. A text is

@@ -258,6 +258,62 @@ def test_near_copies_of_a_text_that_many_hold(spark):
     assert {r["doc_id"] for r in found} <= set(range(60))
 
 
+def lines_with_pairs(rng):
+    """Sixty documents around one line of thirty words, and twelve pairs among them that go on alike after a changed word."""
+    line = words(rng, 30, 10**6)
+    texts = {i: words(rng, 40, 10**6) + line + words(rng, 40, 10**6) for i in range(100, 160)}
+    for pair in range(12):
+        after = words(rng, 20, 10**6)
+        for i in (2 * pair, 2 * pair + 1):
+            texts[i] = words(rng, 40, 10**6) + line + words(rng, 1, 10**6) + after + words(rng, 20, 10**6)
+    return texts
+
+
+@pytest.mark.parametrize("block", [1024, 20])
+def test_links_of_farther_members_of_a_large_group(spark, monkeypatch, block):
+    """The words next to the line differ in each pair, so no order puts the pair side by side; also block by block."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    texts = lines_with_pairs(random.Random(17))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r["doc_id"], r["class_id"]) for r in passages.repeated_passages(df, "doc_id", "text").collect()}
+    assert found == {(i, i - i % 2) for i in range(24)}
+
+
+def test_comparing_a_group_gives_what_all_its_pairs_give():
+    """Labels and reach of contexts around a gram, with changed, missing and added words, and ends of texts."""
+    rng = random.Random(18)
+    gram = words(rng, passages.GRAM, 10**6)
+    rows, base = [], [words(rng, passages.BEFORE, 10**6) + gram + words(rng, 38, 10**6) for _ in range(6)]
+    for k in range(90):
+        text = list(base[k % 6])
+        for _ in range(rng.randrange(4)):
+            at = rng.choice([*range(38), *range(50, 88)])
+            text[at] = rng.randrange(10**6)
+        if k % 5 == 0:
+            at = rng.randrange(50, 86)
+            text = text[:at] + ([] if k % 2 else words(rng, 1, 10**6)) + text[at + (k % 2) :]
+        rows.append([int(w[1:]) if isinstance(w, str) else w for w in (text + words(rng, 2, 10**6))[:88]])
+    context = np.array(rows, np.int64)
+    context[1, 70:], context[7, :20] = -3 - 2 * np.arange(18), -1000 - 2 * np.arange(20)
+    for left, right in ((np.arange(90), np.arange(90)), (np.arange(40), np.arange(40, 90))):
+        label, first, last = passages.connect(context, left, right, 50, 80)
+        pairs = [(i, j) for i in left for j in right if i < j]
+        x, y = map(np.array, zip(*pairs))
+        row, low, high, shift = passages.similar(context[x], context[y], 50, 80)
+        reach, linked = defaultdict(list), set()
+        for r, f, t, s in zip(row, low, high, shift):
+            reach[x[r]] += [f, t]
+            reach[y[r]] += [f + s, t + s]
+            linked.add((x[r], y[r]))
+        expected = np.arange(90)
+        for _ in range(90):
+            for i, j in linked:
+                expected[[i, j]] = min(expected[i], expected[j])
+        assert label.tolist() == expected.tolist() and len(linked) > 50
+        got = {i: (first[i], last[i]) for i in range(90) if first[i] <= last[i]}
+        assert got == {i: (min(v), max(v)) for i, v in reach.items()}
+
+
 def test_passages_of_odd_rows(spark):
     """Repeated rows, several texts of a key, further columns, and very long texts."""
     rng = random.Random(14)
