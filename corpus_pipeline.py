@@ -63,7 +63,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sized = named.select("_name", F.col("source"), n_words(F.col("text")).alias("_words"))
     copies = mixing.mix(sized, "_name", "source", "_words").where("copies > 0")
     copies = copies.groupBy("_name").agg(F.min("copies").alias("_copies"))
-    rows = named.join(copies, "_name").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    # texts are shuffled whatever the size, as they are at scale: a broadcast of the copies hides that on small tables
+    rows = named.hint("merge").join(copies, "_name").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
     return rows.select(*_names(docs))
 
 

@@ -182,3 +182,10 @@ def test_secrets_keep_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, 2, "password = abcdefghijklmnop " * 3000), (3, 4, None)], "_text int, _base int, t string")
     found = secrets.with_secrets(df, "t", ["_text", "_base"]).collect()
     assert [(r["_text"], r["_base"], len(r["secrets"])) for r in sorted(found)] == [(1, 2, 3000), (3, 4, 0)]
+
+
+def test_mixing_shuffles_small_tables_as_large_ones(spark):
+    """A join that is a broadcast on small tables only made the shuffle grow by steps."""
+    mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("SortMergeJoin")[0]
