@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from golden import write_files
-from risklake.plans import gold, loanbook
+from risklake.plans import gold, loanbook, silver
 from risklake.plans.refresh import refresh
 
 
@@ -109,6 +109,13 @@ def test_parsing_stays_in_generated_code(book):
         assert all(line.lstrip("+-: ").startswith("*") for line in plan(clean(book.tables[f"bronze_{entity}"]), "simple").split("\n") if "Project" in line)
 
 
+def test_each_day_is_parsed_once(book):
+    """A day that its month lacks costs an exception in each cast."""
+    optimized = silver.pagamentos(book.tables["bronze_pagamentos"])._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count(", 1, 10) as date)") == 2  # due and paid
+    assert "length(" not in optimized.replace("octet_length(", "")  # bytes need no count of characters
+
+
 def test_preview_is_a_top_k(book):
     text = plan(gold.preview_estados(book.views["gold_inadimplencia_por_estado"]), "simple")
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text

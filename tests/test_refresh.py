@@ -2,11 +2,12 @@
 
 import os
 import datetime as dt
+import threading
 
 import pytest
 
 from golden import write_files
-from risklake.plans import gold
+from risklake.plans import gold, silver
 from risklake.plans.refresh import export_views, refresh, reopen
 
 
@@ -201,3 +202,33 @@ def test_reopening_writes_nothing(spark, book):
     before = sorted(os.listdir(folder)) if os.path.isdir(folder) else []
     reopen(spark, book.path).views["gold_ranking_risco_clientes"].count()
     assert (sorted(os.listdir(folder)) if os.path.isdir(folder) else []) == before
+
+
+def test_ranking_does_not_wait_for_payments(spark, tmp_path, monkeypatch):
+    """It does not read them, and they take longest: what they leave idle is used."""
+    ranked, clean, rank = threading.Event(), silver.TABLES["pagamentos"], gold.ranking_risco_clientes
+
+    def ranking(*tables):
+        ranked.set()
+        return rank(*tables)
+
+    def payments(bronze):
+        assert ranked.wait(60)
+        return clean(bronze)
+
+    monkeypatch.setitem(silver.TABLES, "pagamentos", payments)
+    monkeypatch.setattr(gold, "ranking_risco_clientes", ranking)
+    (tmp_path / "raw").mkdir()
+    result = refresh(spark, write_files(tmp_path / "raw"), str(tmp_path / "lake"))
+    assert result.tables["silver_pagamentos"].count() == 6
+
+
+def test_files_are_cut_into_more_tasks_than_cores(spark, tmp_path, monkeypatch):
+    """Else the last few tasks of a load run alone."""
+    seen, setting, clean = [], "spark.sql.files.minPartitionNum", silver.TABLES["pagamentos"]
+    monkeypatch.setitem(silver.TABLES, "pagamentos", lambda df: seen.append(spark.conf.get(setting)) or clean(df))
+    before = spark.conf.get(setting, None)
+    (tmp_path / "raw").mkdir()
+    refresh(spark, write_files(tmp_path / "raw"), str(tmp_path / "lake"))
+    assert [int(n) for n in seen] == [4 * spark.sparkContext.defaultParallelism]
+    assert spark.conf.get(setting, None) == before

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from risklake.operators.stage import stage, stage_dir
+from risklake.operators.stage import even_splits, stage, stage_dir
 
 
 def session(folder, checkpoint, master):
@@ -26,3 +26,14 @@ def test_staged_table_is_cut_from_its_lineage(spark):
     df = stage(spark.range(10).selectExpr("id", "id % 3 as k"), "t")
     assert df.inputFiles()[0].startswith("file:")
     assert sorted(tuple(row) for row in df.collect()) == [(i, i % 3) for i in range(10)]
+
+
+def test_splits_keep_a_higher_number_of_the_session(spark):
+    setting = "spark.sql.files.minPartitionNum"
+    spark.conf.set(setting, "1000")
+    try:
+        with even_splits(spark):
+            assert spark.conf.get(setting) == "1000"
+        assert spark.conf.get(setting) == "1000"
+    finally:
+        spark.conf.unset(setting)
