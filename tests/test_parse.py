@@ -68,6 +68,15 @@ def test_julian_days(spark):
     assert got == [(2451545.0,), (2440587.5,), (2459220.25,), (None,)]
 
 
+def test_clocks(spark):
+    """Seconds, three digits of a fraction and the zone, each with and without the others."""
+    clocks = {"T10:30": 0, " 10:30:15": 15000, " 10:30:15.2": 15200, " 10:30:15.2509Z": 15250, " 10:30:15-00:30": 1815000}
+    clocks |= {" 10:30-03:00": 10800000, "T10:30:15.25 +14:59": 15250 - 53940000, " 10:30 Z": 0, " 10:30:5": None}
+    df = column(spark, ["2021-01-05" + clock for clock in clocks])
+    start = parse.to_millis(F.lit("2021-01-05 10:30"))
+    assert results(df, parse.to_millis(F.col("x")) - start) == [(n,) for n in clocks.values()]
+
+
 def test_text(spark):
     df = column(spark, ["  são paulo ", "\tab ", None, "NA", " NA ", "", "null", "-"])
     assert results(df, text.code(F.col("x"))) == [

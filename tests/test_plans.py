@@ -109,6 +109,14 @@ def test_parsing_stays_in_generated_code(book):
         assert all(line.lstrip("+-: ").startswith("*") for line in plan(clean(book.tables[f"bronze_{entity}"]), "simple").split("\n") if "Project" in line)
 
 
+def test_cleaning_is_compiled_in_any_session(book):
+    """HotSpot interprets methods of more than 8000 bytes, unless the session keeps Spark from making them."""
+    for entity, clean in silver.TABLES.items():
+        stages = clean(book.tables[f"bronze_{entity}"])._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) < 8000, entity
+
+
 def test_each_day_is_parsed_once(book):
     """A day that its month lacks costs an exception in each cast."""
     optimized = silver.pagamentos(book.tables["bronze_pagamentos"])._jdf.queryExecution().optimizedPlan().toString()
