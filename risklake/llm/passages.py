@@ -30,12 +30,12 @@ from risklake.operators.stage import stage
 WORDS, PASSAGE, PERCENT = 5, 50, 80
 #: words of a gram, and grams that similar passages have in a row (25 words)
 GRAM, WIDTH = 12, 14
-#: distinct contexts of a gram whose links are returned pair by pair, and contexts of a block; larger groups are compared block by block
-SMALL, BLOCK = 16, 1024
+#: distinct contexts of a gram whose links are returned pair by pair, that are compared pair by pair, and that one task gets for all windows
+SMALL, BLOCK, PART = 16, 512, 8192
 #: words before and after the start of a gram that a passage around it can hold
 BEFORE, AFTER = PASSAGE - GRAM, PASSAGE
-#: pairs of contexts looked at together
-TILE = 2048
+#: pairs of contexts looked at together, and rows times places whose fingerprints are sorted together
+TILE, TOGETHER = 2048, 1 << 14
 #: bytes of text hashed together
 CHUNK = 2_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -333,6 +333,11 @@ def _join(i, j, x, short, text, inside, label, first, last, passage: int, percen
     np.maximum.at(last, i, ends)
     np.minimum.at(first, j, begins + shift)
     np.maximum.at(last, j, ends + shift)
+    _unite(label, i, j)
+
+
+def _unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Give the rows ``i`` and ``j``, and what hangs together with them, a common label."""
     a, b = label[i], label[j]
     while (a != b).any():
         to = np.arange(len(label))
@@ -343,16 +348,257 @@ def _join(i, j, x, short, text, inside, label, first, last, passage: int, percen
         a, b = label[i], label[j]
 
 
+def keyed(passage: int, percent: int) -> bool:
+    """Whether ``connect_keyed`` knows all ways in which passages can be similar: no more of their shingles differ than one word touches."""
+    n = passage - WORDS + 1
+    return n - -(-2 * n * percent // (100 + percent)) <= WORDS
+
+
+class _Runs:
+    """Fingerprints of any stretches of rows of words, which say what words stand at which places, and in which group."""
+
+    def __init__(self, context: np.ndarray, group: np.ndarray):
+        self.group = mix(group.astype(np.uint64))
+        self.sums = np.zeros((context.shape[1] + 1, len(context)), np.uint64)
+        np.multiply(mix(context.T.astype(np.uint64)), _powers(_BASE, context.shape[1])[:, None], out=self.sums[1:])
+        np.cumsum(self.sums, axis=0, out=self.sums)
+
+    def plain(self, rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+        return self.sums[end][rows] - self.sums[begin][rows]
+
+    def of(self, rows: np.ndarray, *stretches: tuple[int, int]) -> np.ndarray:
+        out = self.group[rows]
+        for begin, end in stretches:
+            out += self.plain(rows, begin, end)
+        return out
+
+
+def _alike(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys that occur several times, key by key, and for each of them the first place of its key."""
+    order = np.argsort(keys)
+    new = _differs(keys[order])
+    several = ~(new & np.append(new[1:], True))
+    heads = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return order[several], heads[several]
+
+
+def _across(keys: np.ndarray, split: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_alike``, of the keys that occur both before the place ``split`` and from it on."""
+    at, head = _alike(keys)
+    new = _differs(head)
+    of = np.cumsum(new) - 1
+    early = np.bincount(of, weights=at < split)
+    both = ((early > 0) & (early < np.bincount(of)))[of]
+    return at[both], head[both]
+
+
+def _slipped(context: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of words with a word less in a run of equal words beside the gram, what lies farther out moved by one: (words, row, end, start).
+
+    ``end`` is that of a run before the gram, 0 without, ``start`` that of one after it, or the width. Where ``WORDS`` words of the run are left,
+    the row has the same shingles as before. The rows as they are come first.
+    """
+    n, size = context.shape
+    new = np.ones((n, size + 1), bool)
+    new[:, 1:size] = context[:, 1:] != context[:, :-1]
+    row, start = np.nonzero(new)
+    same = row[1:] == row[:-1]
+    row, start, end = row[:-1][same], start[:-1][same], start[1:][same]
+    long = (end - start > WORDS) & (context[row, start] >= 0)
+    row, start, end = row[long], start[long], end[long]
+    place = np.arange(size)
+    found = [(context, np.arange(n), np.zeros(n, np.int64), np.full(n, size))]
+    some = (start > 0) & (start < BEFORE)
+    rows, cut = row[some], np.minimum(end[some], BEFORE)
+    moved = np.where(place < cut[:, None], np.roll(context[rows], 1, axis=1), context[rows])
+    moved[:, 0] = -1
+    found.append((moved, rows, end[some], np.full(len(rows), size)))
+    some = (end > BEFORE + GRAM) & (end < size)
+    start, rows = start[some], row[some]
+    cut = np.maximum(start, BEFORE + GRAM)
+    first, after = np.searchsorted(rows, np.arange(n)), np.searchsorted(rows, np.arange(n), "right")
+    for words_, of, run, _ in found[:2]:
+        times = (after - first)[of]
+        each = np.repeat(np.arange(len(of)), times)
+        at = first[of][each] + np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
+        moved = np.where(place >= cut[at][:, None], np.roll(words_[each], -1, axis=1), words_[each])
+        moved[:, -1] = -1
+        found.append((moved, of[each], run[each], start[at]))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage: int, percent: int) -> tuple[np.ndarray, ...]:
+    """As ``connect`` of all rows of a group with each other, for windows that begin at ``starts``, by sorting rows instead of comparing pairs.
+
+    ``passage`` words that are similar differ in ``WORDS`` shingles at most, and there are three ways for that. They agree in all but a few
+    words at their ends (``ends``); in all but one word (``changed``); or one of them is the other with a word put in (``added``), one at an end
+    left out. Where a word stands several times in a row, one more or less changes no shingle, so rows with one less count too (``_slipped``).
+    For each window there are fingerprints that just the rows share that are alike in one of these ways. For a word inside, the side of
+    the gram that holds it is halved until one place is left, and a row goes on only with rows that agree outside that half. Rows alike
+    are joined with one of them, so the work grows as n log n with the rows.
+    """
+    size = context.shape[1]
+    slack = (n := passage - WORDS + 1) - -(-2 * n * percent // (100 + percent))
+    text = np.ascontiguousarray(context.T >= 0)
+    windows = size - passage + 1
+    inside = np.zeros((windows + 2, len(context)), bool)  # from a window before the first one on
+    inside[1:-1] = text[:windows] & text[passage - 1 : passage - 1 + windows]
+    label, first, last = np.arange(len(context)), np.full(len(context), size), np.full(len(context), -1)
+    forth, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
+    words_, owner, run_end, run_start = _slipped(context)
+    left, right = run_end > 0, run_start < size
+    kind = left + 2 * right
+    runs = _Runs(words_, group[owner])
+    del words_
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def found(rows: np.ndarray, heads: np.ndarray, start: np.ndarray) -> None:
+        mine = owner[rows]
+        np.minimum.at(first, mine, start)
+        np.maximum.at(last, mine, start)
+        links.append((mine, owner[heads]))
+
+    def alike(keys: np.ndarray, rows: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``rows`` that share a key with another one, and one of each key. ``need`` are the sides on which some must have a word less."""
+        at, head = _alike(keys)
+        if need and len(at):  # the same row may be there several times
+            of = np.cumsum(_differs(head)) - 1
+            kinds = kind[rows[at]]
+            some = np.zeros(of[-1] + 1, np.int64)
+            np.bitwise_or.at(some, of, kinds)
+            keep = some[of] == need
+            if need == 3:  # those as they are agree with one that has a word less on both sides only
+                whole = np.bincount(of, weights=kinds == 3) > 0
+                keep &= (kinds > 0) | whole[of]
+            at, of = at[keep], of[keep]
+            mine = owner[rows[at]]
+            head = mine[np.maximum.accumulate(np.where(_differs(of), np.arange(len(at)), 0))]
+            keep = np.bincount(of, weights=mine != head)[of] > 0
+            at, of = at[keep], of[keep]
+            new = _differs(of)
+            head = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        return rows[at], rows[head]
+
+    def begin(s: int, rows: np.ndarray, need: int) -> np.ndarray:
+        """Where the windows of rows start that hold the words from ``s`` on, without those that are too many; -1 for none."""
+        mine = owner[rows]
+        earlier = s - ((need >> 1) - right[rows])
+        later = s + ((need & 1) - left[rows])
+        beside = np.where(inside[earlier + 1, mine], earlier, np.where(inside[later + 1, mine], later, -1))
+        return np.where(inside[s + 1, mine], s, beside)
+
+    def ends(low: int, high: int, rows: np.ndarray, at: np.ndarray, need: int) -> None:
+        rows, _ = alike(runs.of(rows, (low + slack, high - slack)), rows, need)
+        for e in range(slack + 1 if len(rows) else 0):
+            some, heads = alike(runs.of(rows, (low + e, high - slack + e)), rows, need)
+            found(some, heads, at[some])
+
+    def ends_beside(s: int) -> None:
+        """Rows whose text ends with the window at ``s``, and rows whose text begins with the next window."""
+        a, b = np.flatnonzero(inside[s + 1] & ~inside[s + 2]), np.flatnonzero(inside[s + 2] & ~inside[s + 1])
+        rows = np.append(a, b)
+        for e in range(1, slack + 1 if len(a) and len(b) else 0):
+            at, head = _across(runs.of(rows, (s + e, s + e + passage - slack)), len(a))
+            found(rows[at], rows[head], s + (at >= len(a)))
+
+    def changed(low: int, high: int, p: int, q: int, rows: np.ndarray, at: np.ndarray, need: int) -> None:
+        rows, _ = alike(runs.of(rows, (low, p), (q, high)), rows, need)
+        if len(rows) * (q - p) > TOGETHER and q - p > 1:
+            changed(low, high, p, (p + q) // 2, rows, at, need)
+            changed(low, high, (p + q) // 2, q, rows, at, need)
+        elif len(rows):
+            keys = [runs.of(rows, (low, x), (x + 1, high)) + salt[x] for x in range(p, q)]
+            some, heads = alike(np.concatenate(keys), np.tile(rows, q - p), need)
+            found(some, heads, at[some])
+
+    def fewer(s: int, before: bool, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of one word less than a window at ``s``, those of a run's word less among them, and where their own windows begin."""
+        low, high = s + before, s + passage - 1 + before
+        beside = s + 1 if before else s - 1
+        found = [(rows, np.full(len(rows), s)), (some := np.flatnonzero(inside[beside + 1] & ~inside[s + 1]), np.full(len(some), beside))]
+        for side, run in ((1, run_end - low), (2, high - run_start)):
+            at = s if before == (side == 1) else beside
+            some = np.flatnonzero((kind == side) & (run >= WORDS) & inside[at + 1][owner])
+            found.append((some, np.full(len(some), at)))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def added(s: int, p: int, q: int, longer: np.ndarray, shorter: np.ndarray, at_s: np.ndarray, before: bool) -> None:
+        def without(p: int, q: int) -> np.ndarray:
+            if before:
+                return runs.of(longer, (q, s + passage)) + runs.plain(longer, s, p) * forth
+            return runs.of(longer, (s, p)) + runs.plain(longer, q, s + passage) * back
+
+        outside = ((s + 1, p + 1), (q, s + passage)) if before else ((s, p), (q - 1, s + passage - 1))
+        at, _ = _across(np.append(without(p, q), runs.of(shorter, *outside)), len(longer))
+        if not len(at):
+            return
+        keep = at[at >= len(longer)] - len(longer)
+        longer, shorter, at_s = longer[at[at < len(longer)]], shorter[keep], at_s[keep]
+        if len(longer) * (q - p) > TOGETHER and q - p > 1:
+            added(s, p, (p + q) // 2, longer, shorter, at_s, before)
+            added(s, (p + q) // 2, q, longer, shorter, at_s, before)
+            return
+        rows = np.append(np.tile(longer, q - p), shorter)
+        split = len(rows) - len(shorter)
+        keys = [*(without(x, x + 1) for x in range(p, q)), runs.of(shorter, (s + before, s + passage - 1 + before))]
+        at, head = _across(np.concatenate(keys), split)
+        of = np.cumsum(_differs(head)) - 1
+        keep = np.bincount(of, weights=owner[rows[at]] != owner[rows[head]])[of] > 0 if len(at) else of > 0
+        at, head = at[keep], head[keep]
+        found(rows[at], rows[head], np.append(np.full(split, s), at_s)[at])
+
+    salt = mix(np.arange(1, size + 1, dtype=np.uint64))
+    place = np.full(len(owner), -1)
+    for s in starts:
+        for need in range(4):
+            rows = np.flatnonzero(kind & ~need == 0)
+            if need and not (kind[rows] == need).any() and not (need == 3 and len(rows) > len(context)):
+                continue
+            low, high = s + (need & 1), s + passage - (need >> 1)
+            place[rows] = begin(s, rows, need)
+            within = (~left[rows] | (run_end[rows] - low >= WORDS)) & (~right[rows] | (high - run_start[rows] >= WORDS))
+            rows = rows[within & (place[rows] >= 0)]
+            whole = runs.of(rows, (low, high))
+            some, heads = alike(whole, rows, need)
+            found(some, heads, place[some])
+            some, heads = _alike(whole + kind[rows].astype(np.uint64))
+            other = np.ones(len(rows), bool)
+            other[some[some != heads]] = False
+            rows = rows[other]  # one of each stretch
+            ends(low, high, rows, place, need)
+            if not need and s + 1 < windows:
+                ends_beside(s)
+            if slack < WORDS:
+                continue
+            for p, q in ((low + WORDS, BEFORE), (BEFORE + GRAM, high - WORDS)):
+                if p < q:
+                    changed(low, high, p, q, rows, place, need)
+                    if not need:
+                        added(s, p, q, rows, *fewer(s, q == BEFORE, rows), q == BEFORE)
+        a, b = (np.concatenate(x) for x in zip(*links))
+        links.clear()
+        _unite(label, a, b)
+    return label, first, last
+
+
 _RANGE = "token long, k1 long, k2 long, from long, to long"
 
 
 def _compared(passage: int, percent: int):
-    """Ranges of similar passages, from groups and pairs of blocks of contexts (block, k1, k2, word, after, before, left, right)."""
+    """Ranges of similar passages, from groups of contexts, or what they are dealt as (block, k1, k2, word, after, before, left, right, part, parts)."""
     names = [c.split()[0] for c in _RANGE.split(", ")]
+    windows = BEFORE + AFTER - passage + 1
 
     def batch(token: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *map(pa.array, columns)], names=names)
 
+    def reached(own, block, k1, k2, word, label, first, last) -> Iterator[pa.RecordBatch]:
+        some = first <= last
+        own, label = own[some], label[some]
+        token = mix(block[own].view(np.uint64) + label.astype(np.uint64) * np.uint64(_BASE))
+        begin = word[own] - BEFORE
+        yield batch(token, k1[own], k2[own], begin + first[some], begin + last[some] + passage)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_key(batches, "block"):
             table = table.combine_chunks()
@@ -377,13 +623,17 @@ def _compared(passage: int, percent: int):
                         token = mix(token * np.uint64(_BASE) + c.astype(np.int64).view(np.uint64))
                     yield batch(token, k1[i], k2[i], a, a + length)
                     yield batch(token, k1[j], k2[j], b, b + length)
-            for start, n in zip(edges[:-1][sizes > SMALL], sizes[sizes > SMALL]):
-                own = slice(start, start + n)
-                label, first, last = connect(context[own], np.flatnonzero(left[own]), np.flatnonzero(right[own]), passage, percent)
-                i = np.flatnonzero(first <= last)
-                token = mix(block[start : start + 1].view(np.uint64) + label[i].astype(np.uint64) * np.uint64(_BASE))
-                begin = word[own][i] - BEFORE
-                yield batch(token, k1[own][i], k2[own][i], begin + first[i], begin + last[i] + passage)
+            part, parts = (table.column(c).to_numpy() for c in ("part", "parts"))
+            large = sizes > (BLOCK if keyed(passage, percent) else table.num_rows)
+            for start, n in zip(edges[:-1][(sizes > SMALL) & ~large], sizes[(sizes > SMALL) & ~large]):
+                own = np.arange(start, start + n)
+                compared = connect(context[own], np.flatnonzero(left[own]), np.flatnonzero(right[own]), passage, percent)
+                yield from reached(own, block, k1, k2, word, *compared)
+            whole = np.flatnonzero(np.repeat(large, sizes) & (parts == 1))
+            alone = [np.arange(start, start + n) for start, n in zip(edges[:-1][large], sizes[large]) if parts[start] > 1]
+            for own in [whole, *alone] if len(whole) else alone:
+                starts = range(part[own[0]], windows, parts[own[0]])
+                yield from reached(own, block, k1, k2, word, *connect_keyed(context[own], block[own], starts, passage, percent))
 
     return run
 
@@ -399,14 +649,22 @@ def ranges(docs: DataFrame, key: str, text: str, percent: int = PERCENT) -> Data
     met = stage(_dealt(rows, _centers, size / 50, buckets).mapInArrow(_meet, _MEETING), "met")
     open_ = met.where("open").groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "word")).alias("open"))
     around = stage(rows.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "open").mapInArrow(_contexts, _CONTEXT), "contexts")
-    crowded = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    crowded = stage(crowded.select("gram", F.ceil(F.col("n") / BLOCK).alias("_blocks")), "crowded")
-    blocks = around.join(crowded, "gram", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
-    blocks = blocks.withColumn("_own", F.pmod(F.xxhash64("k1", "k2", "word"), "_blocks"))
-    blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-    pair = F.xxhash64("gram", F.least("_own", "_other"), F.greatest("_own", "_other"))
-    sides = [(F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right")]
-    blocks = blocks.select(pair.alias("block"), "k1", "k2", "word", "after", "before", *sides)
+    crowded = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    if keyed(PASSAGE, percent):
+        n_parts = F.least(F.ceil(F.col("n") / PART), F.lit(BEFORE + AFTER - PASSAGE + 1))
+        crowded = stage(crowded.where(F.col("n") > PART).select("gram", n_parts.cast("int").alias("parts")), "crowded")
+        blocks = around.join(crowded, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        block, sides = F.xxhash64("gram", "part"), [F.lit(True).alias("left"), F.lit(True).alias("right")]
+    else:
+        crowded = crowded.where(F.col("n") > BLOCK).select("gram", F.ceil(F.col("n") / BLOCK).alias("_blocks"))
+        blocks = around.join(stage(crowded, "crowded"), "gram", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
+        blocks = blocks.withColumn("_own", F.pmod(F.xxhash64("k1", "k2", "word"), "_blocks"))
+        blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+        blocks = blocks.withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
+        block = F.xxhash64("gram", F.least("_own", "_other"), F.greatest("_own", "_other"))
+        sides = [(F.col("_own") <= F.col("_other")).alias("left"), (F.col("_own") >= F.col("_other")).alias("right")]
+    blocks = blocks.select(block.alias("block"), "k1", "k2", "word", "after", "before", *sides, "part", "parts")
     dealt = blocks.repartition("block").sortWithinPartitions("block", "after", "before", "k1", "k2", "word")
     similar_ones = stage(dealt.mapInArrow(_compared(PASSAGE, percent), _RANGE), "similar")
     left = F.col("word") - F.floor(F.col("shape") / 128)

@@ -314,6 +314,118 @@ def test_comparing_a_group_gives_what_all_its_pairs_give():
         assert got == {i: (min(v), max(v)) for i, v in reach.items()}
 
 
+def contexts_around(rng, n, runs=False):
+    """Words around one gram, of a few kinds: with words changed, missing and added, and texts that begin or end in them. ``runs``: one word
+    stands there seven to nine times in a row on each side."""
+    gram = words(rng, passages.GRAM, 10**6)
+    base = [words(rng, 46, 10**6) + gram + words(rng, 46, 10**6) for _ in range(n // 12)]
+    rows = []
+    for k in range(n):
+        sides = [(text := rng.choice(base))[:46][::-1], text[58:]]  # from the gram outward
+        for side in sides:
+            if runs:
+                side[10:17] = side[10:11] * rng.randrange(7, 10)
+            if rng.random() < (0.7 if not runs or side is sides[k % 2] else 0):
+                at, edit = rng.choice([*range(10), *range(20, 38)]), rng.randrange(3)
+                side[at : at + (edit < 2)] = words(rng, 1, 10**6) if edit else []
+        text = sides[0][37::-1] + gram + sides[1][:38]
+        row = [int(w[1:]) for w in text]
+        if k % 9 == 0:
+            row[: rng.randrange(38)] = []
+            row = [-k - 1] * (88 - len(row)) + row
+        elif k % 9 == 1:
+            row = row[: rng.randrange(50, 88)]
+            row += [-k - 1] * (88 - len(row))
+        rows.append(row)
+    rows = np.array(rows, np.int64)
+    assert rows.shape[1] == 88 and (rows[:, 38:50] == rows[0, 38:50]).all()
+    return np.unique(rows, axis=0)
+
+
+def all_pairs(context, percent=80):
+    """Label, first and last start of ``connect``, from ``similar`` of all pairs, whichever comes first in a pair."""
+    n = len(context)
+    label, first, last = np.arange(n), np.full(n, context.shape[1]), np.full(n, -1)
+    i, j = np.triu_indices(n, 1)
+    i, j = np.append(i, j), np.append(j, i)
+    row, low, high, shift = passages.similar(context[i], context[j], 50, percent)
+    for of, add in ((i[row], 0), (j[row], shift)):
+        np.minimum.at(first, of, low + add)
+        np.maximum.at(last, of, high + add)
+    for _ in range(n):
+        np.minimum.at(label, i[row], label[j[row]])
+    return label, first, last
+
+
+@pytest.mark.parametrize("runs", [False, True])
+@pytest.mark.parametrize("seed", range(4))
+def test_sorting_a_group_gives_what_all_its_pairs_give(seed, runs):
+    rng = random.Random(seed)
+    groups = [contexts_around(rng, n, runs) for n in (150, 40, 110)]
+    group = np.repeat([7, -3, 10**15], [len(g) for g in groups])
+    context = np.concatenate(groups)
+    context = np.where(context < 0, -1 - np.arange(len(context))[:, None], context)
+    parts = [passages.connect_keyed(context, group, range(k, 39, 3), 50, 80) for k in range(3)]
+    label, first, last = passages.connect_keyed(context, group, range(39), 50, 80)
+    assert (first == np.min([p[1] for p in parts], axis=0)).all() and (last == np.max([p[2] for p in parts], axis=0)).all()
+    at = 0
+    for g in groups:
+        own = slice(at, at := at + len(g))
+        expected, low, high = all_pairs(g)
+        mine, begin, end = label[own] - own.start, first[own], last[own]
+        assert len(set(expected)) > 2 and (low <= high).sum() > len(g) // 3
+        if runs:  # one shingle of 46 more may differ where a window cuts a run, and a reach may be a word shorter
+            wider, lowest, highest = all_pairs(g, 76)
+            assert (mine[expected] == mine).all() and (wider[mine] == wider).all()
+            assert (lowest <= begin).all() and (end <= highest).all()
+            assert (begin <= low + 1).all() and (high - 1 <= end).all() and ((begin > end) <= (low > high)).all()
+        else:
+            assert mine.tolist() == expected.tolist() and begin.tolist() == low.tolist() and end.tolist() == high.tolist()
+
+
+def test_large_groups_are_not_compared_pair_by_pair(monkeypatch):
+    """Pairs are gone through in groups up to ``BLOCK`` only; what is found in a larger one is what all its pairs give."""
+    monkeypatch.setattr(passages, "BLOCK", 60)
+    compare = passages.connect
+
+    def connect(context, *rest):
+        assert len(context) <= 60
+        return compare(context, *rest)
+
+    monkeypatch.setattr(passages, "connect", connect)
+    rng = random.Random(21)
+    groups = [contexts_around(rng, n) for n in (300, 50, 200)]
+    rows = []
+    for k, g in enumerate(groups):
+        for i, x in enumerate(g):
+            before, after = (w[w >= 0].astype(">u4").tobytes() for w in (x[37::-1], x[38:]))
+            rows.append({"block": k, "k1": i, "k2": k, "word": 100, "after": after, "before": before, "left": True, "right": True,
+                         "part": 0, "parts": 1})
+    found = pa.Table.from_batches(list(passages._compared(50, 80)(iter(pa.Table.from_pylist(rows).to_batches())))).to_pylist()
+    for k, g in enumerate(groups):
+        if len(g) <= 60:
+            continue
+        label, first, last = all_pairs(g)
+        assert {(r["k1"], r["from"], r["to"]) for r in found if r["k2"] == k} == {
+            (i, 62 + a, 112 + b) for i, (a, b) in enumerate(zip(first.tolist(), last.tolist())) if a <= b
+        }
+        members = defaultdict(set)
+        for r in found:
+            if r["k2"] == k:
+                members[r["token"]].add(r["k1"])
+        assert {frozenset(m) for m in members.values()} == {frozenset(np.flatnonzero(label == x)) for x in label[first <= last]}
+
+
+@pytest.mark.parametrize("part", [8192, 30])
+def test_a_line_that_very_many_documents_hold_is_dealt_in_parts(spark, monkeypatch, part):
+    monkeypatch.setattr(passages, "BLOCK", 20)
+    monkeypatch.setattr(passages, "PART", part)
+    texts = lines_with_pairs(random.Random(23))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r["doc_id"], r["class_id"]) for r in passages.repeated_passages(df, "doc_id", "text").collect()}
+    assert found == {(i, i - i % 2) for i in range(24)}
+
+
 def test_passages_of_odd_rows(spark):
     """Repeated rows, several texts of a key, further columns, and very long texts."""
     rng = random.Random(14)
