@@ -357,11 +357,14 @@ def keyed(passage: int, percent: int) -> bool:
 class _Runs:
     """Fingerprints of any stretches of rows of words, which say what words stand at which places, and in which group."""
 
-    def __init__(self, context: np.ndarray, group: np.ndarray):
+    def __init__(self, contexts: list[np.ndarray], group: np.ndarray):
         self.group = mix(group.astype(np.uint64))
-        self.sums = np.zeros((context.shape[1] + 1, len(context)), np.uint64)
-        np.multiply(mix(context.T.astype(np.uint64)), _powers(_BASE, context.shape[1])[:, None], out=self.sums[1:])
-        np.cumsum(self.sums, axis=0, out=self.sums)
+        powers = _powers(_BASE, contexts[0].shape[1])
+        self.sums = np.zeros((len(powers) + 1, len(group)), np.uint64)
+        at = 0
+        for part in (c[i : i + TILE] for c in contexts for i in range(0, len(c), TILE)):
+            np.cumsum(mix(part.T.astype(np.uint64)) * powers[:, None], axis=0, out=self.sums[1:, at : at + len(part)])
+            at += len(part)
 
     def plain(self, rows: np.ndarray, begin: int, end: int) -> np.ndarray:
         return self.sums[end][rows] - self.sums[begin][rows]
@@ -396,35 +399,41 @@ def _slipped(context: np.ndarray) -> tuple[np.ndarray, ...]:
     """Rows of words with a word less in a run of equal words beside the gram, what lies farther out moved by one: (words, row, end, start).
 
     ``end`` is that of a run before the gram, 0 without, ``start`` that of one after it, or the width. Where ``WORDS`` words of the run are left,
-    the row has the same shingles as before. The rows as they are come first.
+    the row has the same shingles as before.
     """
-    n, size = context.shape
-    new = np.ones((n, size + 1), bool)
+    size = context.shape[1]
+    same = context[:, 1:] == context[:, :-1]
+    long = same[:, WORDS - 1 :].copy()
+    for k in range(WORDS - 1):
+        long &= same[:, k : size - WORDS + k]
+    having = np.flatnonzero(long.any(axis=1))
+    context = context[having]
+    new = np.ones((len(context), size + 1), bool)
     new[:, 1:size] = context[:, 1:] != context[:, :-1]
     row, start = np.nonzero(new)
-    same = row[1:] == row[:-1]
-    row, start, end = row[:-1][same], start[:-1][same], start[1:][same]
-    long = (end - start > WORDS) & (context[row, start] >= 0)
-    row, start, end = row[long], start[long], end[long]
+    inner = row[1:] == row[:-1]
+    row, start, end = row[:-1][inner], start[:-1][inner], start[1:][inner]
+    used = (end - start > WORDS) & (context[row, start] >= 0)
+    row, start, end = row[used], start[used], end[used]
     place = np.arange(size)
-    found = [(context, np.arange(n), np.zeros(n, np.int64), np.full(n, size))]
     some = (start > 0) & (start < BEFORE)
-    rows, cut = row[some], np.minimum(end[some], BEFORE)
+    rows, run, cut = row[some], end[some], np.minimum(end[some], BEFORE)
     moved = np.where(place < cut[:, None], np.roll(context[rows], 1, axis=1), context[rows])
     moved[:, 0] = -1
-    found.append((moved, rows, end[some], np.full(len(rows), size)))
+    found = [(moved, rows, run, np.full(len(rows), size))]
     some = (end > BEFORE + GRAM) & (end < size)
-    start, rows = start[some], row[some]
+    start, row = start[some], row[some]
     cut = np.maximum(start, BEFORE + GRAM)
-    first, after = np.searchsorted(rows, np.arange(n)), np.searchsorted(rows, np.arange(n), "right")
-    for words_, of, run, _ in found[:2]:
+    first, after = (np.searchsorted(row, np.arange(len(context)), side) for side in ("left", "right"))
+    for words_, of, ended in ((context, np.arange(len(context)), np.zeros(len(context), np.int64)), (moved, rows, run)):
         times = (after - first)[of]
         each = np.repeat(np.arange(len(of)), times)
         at = first[of][each] + np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
-        moved = np.where(place >= cut[at][:, None], np.roll(words_[each], -1, axis=1), words_[each])
-        moved[:, -1] = -1
-        found.append((moved, of[each], run[each], start[at]))
-    return tuple(map(np.concatenate, zip(*found)))
+        again = np.where(place >= cut[at][:, None], np.roll(words_[each], -1, axis=1), words_[each])
+        again[:, -1] = -1
+        found.append((again, of[each], ended[each], start[at]))
+    words_, of, run_end, run_start = map(np.concatenate, zip(*found))
+    return words_, having[of], run_end, run_start
 
 
 def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage: int, percent: int) -> tuple[np.ndarray, ...]:
@@ -445,11 +454,13 @@ def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage
     inside[1:-1] = text[:windows] & text[passage - 1 : passage - 1 + windows]
     label, first, last = np.arange(len(context)), np.full(len(context), size), np.full(len(context), -1)
     forth, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
-    words_, owner, run_end, run_start = _slipped(context)
+    moved, of, *runs_at = _slipped(context)
+    owner = np.append(np.arange(len(context)), of)
+    run_end, run_start = (np.append(np.full(len(context), none), x) for none, x in zip((0, size), runs_at))
     left, right = run_end > 0, run_start < size
     kind = left + 2 * right
-    runs = _Runs(words_, group[owner])
-    del words_
+    runs = _Runs([context, moved], group[owner])
+    del moved
     links: list[tuple[np.ndarray, np.ndarray]] = []
 
     def found(rows: np.ndarray, heads: np.ndarray, start: np.ndarray) -> None:
@@ -630,10 +641,15 @@ def _compared(passage: int, percent: int):
                 compared = connect(context[own], np.flatnonzero(left[own]), np.flatnonzero(right[own]), passage, percent)
                 yield from reached(own, block, k1, k2, word, *compared)
             whole = np.flatnonzero(np.repeat(large, sizes) & (parts == 1))
-            alone = [np.arange(start, start + n) for start, n in zip(edges[:-1][large], sizes[large]) if parts[start] > 1]
-            for own in [whole, *alone] if len(whole) else alone:
-                starts = range(part[own[0]], windows, parts[own[0]])
-                yield from reached(own, block, k1, k2, word, *connect_keyed(context[own], block[own], starts, passage, percent))
+            if len(whole):
+                compared = connect_keyed(context[whole], block[whole], range(windows), passage, percent)
+                yield from reached(whole, block, k1, k2, word, *compared)
+            for start, n in zip(edges[:-1][large], sizes[large]):
+                if parts[start] > 1:
+                    own = slice(start, start + n)
+                    starts = range(part[start], windows, parts[start])
+                    compared = connect_keyed(context[own], block[own], starts, passage, percent)
+                    yield from reached(np.arange(start, start + n), block, k1, k2, word, *compared)
 
     return run
 
