@@ -8,8 +8,9 @@ Two passages of 50 words that are similar to 80 per cent differ in one word or s
 grams at least, and these have the same smallest gram in both. So one hash is enough for a pair to meet, and what meets has ``GRAM``
 words in common already. Windows are dealt out by ranges of (gram, context, place), where the context is all that a passage around the gram can
 hold. Equal contexts are the same passage, whoever holds them: they are one class, and only one of them goes on. Different contexts of a gram are
-compared word by word, all with all; groups of many contexts, as a common line makes them, are dealt as pairs of blocks. Of these
-groups it is returned which contexts hang together and how far each is similar to others, not a row for every pair.
+compared word by word, all with all, if they are few. Groups of many contexts, as a common line makes them, are sorted by fingerprints that just
+similar windows share, very large ones some windows in each task (if passages may differ in more than a word, they are compared as pairs of
+blocks). Of these groups it is returned which contexts hang together and how far each is similar to others, not a row for every pair.
 """
 
 from collections.abc import Iterator
@@ -444,7 +445,8 @@ def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage
     left out. Where a word stands several times in a row, one more or less changes no shingle, so rows with one less count too (``_slipped``).
     For each window there are fingerprints that just the rows share that are alike in one of these ways. For a word inside, the side of
     the gram that holds it is halved until one place is left, and a row goes on only with rows that agree outside that half. Rows alike
-    are joined with one of them, so the work grows as n log n with the rows.
+    are joined with one of them, so the work grows as n log n with the rows. In texts that are nearly all runs, windows can be similar in
+    further ways (runs that differ by two words, several runs and a word at once), which are not looked for here.
     """
     size = context.shape[1]
     slack = (n := passage - WORDS + 1) - -(-2 * n * percent // (100 + percent))
@@ -498,10 +500,15 @@ def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage
         beside = np.where(inside[earlier + 1, mine], earlier, np.where(inside[later + 1, mine], later, -1))
         return np.where(inside[s + 1, mine], s, beside)
 
+    def cut_within(rows: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Whether the runs that have a word less keep enough words between two places."""
+        return (~left[rows] | (run_end[rows] - low >= WORDS)) & (~right[rows] | (high - run_start[rows] >= WORDS))
+
     def ends(low: int, high: int, rows: np.ndarray, at: np.ndarray, need: int) -> None:
         rows, _ = alike(runs.of(rows, (low + slack, high - slack)), rows, need)
         for e in range(slack + 1 if len(rows) else 0):
-            some, heads = alike(runs.of(rows, (low + e, high - slack + e)), rows, need)
+            some = rows[cut_within(rows, low + e, high - slack + e)]
+            some, heads = alike(runs.of(some, (low + e, high - slack + e)), some, need)
             found(some, heads, at[some])
 
     def ends_beside(s: int) -> None:
@@ -567,8 +574,7 @@ def connect_keyed(context: np.ndarray, group: np.ndarray, starts: range, passage
                 continue
             low, high = s + (need & 1), s + passage - (need >> 1)
             place[rows] = begin(s, rows, need)
-            within = (~left[rows] | (run_end[rows] - low >= WORDS)) & (~right[rows] | (high - run_start[rows] >= WORDS))
-            rows = rows[within & (place[rows] >= 0)]
+            rows = rows[cut_within(rows, low, high) & (place[rows] >= 0)]
             whole = runs.of(rows, (low, high))
             some, heads = alike(whole, rows, need)
             found(some, heads, place[some])
